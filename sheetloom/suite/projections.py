@@ -39,15 +39,11 @@ def transmute(t: Tables) -> DataFrame:
 
 
 @query("relocate", """
-SELECT row_number() OVER (PARTITION BY c_custkey ORDER BY place)::INT AS place, c_custkey, name FROM (
-  SELECT c_custkey, unnest(range(1, 6))::INT AS place,
-         unnest(['c_mktsegment', 'c_name', 'c_custkey', 'c_nationkey', 'c_acctbal']) AS name FROM customer)""")
+SELECT c_mktsegment AS at1_c_mktsegment, c_name AS at2_c_name, c_custkey AS at3_c_custkey,
+       c_nationkey AS at4_c_nationkey, c_acctbal AS at5_c_acctbal FROM customer""")
 def relocate(t: Tables) -> DataFrame:
     moved = P.relocate(t.customer, "c_mktsegment", "not_there", "c_name")
-    names = F.array(*[F.lit(c) for c in moved.columns])
-    return moved.select("c_custkey", F.posexplode(names).alias("at", "name")).select(
-        (F.col("at") + 1).alias("place"), "c_custkey", "name"
-    )
+    return moved.toDF(*[f"at{i}_{name}" for i, name in enumerate(moved.columns, start=1)])
 
 
 @query("across", """
