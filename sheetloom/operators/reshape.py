@@ -25,21 +25,28 @@ def matrix_to_bridge(
     header: str,
     marks: Sequence[str] = ("x", "X"),
     header_id: Callable[[Column], Column] | None = None,
+    position: str | None = None,
 ) -> DataFrame:
     """Rows of a presence matrix that carry a mark, one per marked cell.
 
     The header text, or what ``header_id`` reads from it, becomes the second key. Several columns may
-    share one header, so cells are addressed by position and named only afterwards.
+    share one header, so cells are addressed by position and named only afterwards. ``position`` names
+    an extra column with the place of the marked column, from 1.
     """
     if not cols:
         raise ValueError("no matrix columns")
     marked = F.filter(
-        F.array(*[F.struct(F.lit(c).alias("h"), F.col(f"`{c}`").alias("v")) for c in cols]),
+        F.array(*[
+            F.struct(F.lit(c).alias("h"), F.lit(i).alias("i"), F.col(f"`{c}`").alias("v"))
+            for i, c in enumerate(cols, start=1)
+        ]),
         lambda cell: cell["v"].isin(*marks),
     )
     head = F.col("_cell.h")
     return df.select(*ids, F.explode(marked).alias("_cell")).select(
-        *ids, (header_id(head) if header_id else head).alias(header)
+        *ids,
+        (header_id(head) if header_id else head).alias(header),
+        *([F.col("_cell.i").alias(position)] if position else []),
     )
 
 
@@ -62,10 +69,18 @@ def narrow_id(header: Column) -> Column:
     return F.replace(F.substring(header, 2, 2), F.lit("_"), F.lit("")).try_cast("int")
 
 
-def explode_delim(df: DataFrame, col: str, sep: str) -> DataFrame:
-    """One row per piece of a delimited cell; a null cell keeps its row."""
-    pieces = F.explode_outer(F.split(F.col(col), literal(sep), -1))
-    return df.select(*[pieces.alias(c) if c == col else F.col(c) for c in df.columns])
+def explode_delim(df: DataFrame, col: str, sep: str, position: str | None = None) -> DataFrame:
+    """One row per piece of a delimited cell; a null cell keeps its row. ``position`` names an extra
+    column with the place of the piece in its cell, from 1."""
+    pieces = F.split(F.col(col), literal(sep), -1)
+    if position is None:
+        rows = F.explode_outer(pieces)
+        return df.select(*[rows.alias(c) if c == col else F.col(c) for c in df.columns])
+    rows = df.select("*", F.posexplode_outer(pieces).alias("_at", "_piece"))
+    return rows.select(
+        *[F.col("_piece").alias(c) if c == col else F.col(c) for c in df.columns],
+        F.coalesce(F.col("_at") + 1, F.lit(1)).alias(position),
+    )
 
 
 def explode_chain(df: DataFrame, seps: Mapping[str, str]) -> DataFrame:

@@ -47,10 +47,10 @@ def extract_links(pages: DataFrame, html: str, keep: list[str]) -> DataFrame:
 
 
 def extract_attr(pages: DataFrame, html: str, tag: str, attr: str, keep: list[str], name: str) -> DataFrame:
-    """An attribute of every such tag that has it."""
+    """An attribute of every such tag that has it, with the tag's position on its page."""
     opened = F.regexp_extract_all(F.col(html), F.lit(rf"(?is)<{tag}(?:\s[^>]*)?>"), F.lit(0))
-    tags = pages.select(*keep, F.explode(opened).alias("_tag"))
-    return tags.select(*keep, attribute(F.col("_tag"), attr).alias(name)).where(F.col(name).isNotNull())
+    tags = pages.select(*keep, F.posexplode(opened).alias("position", "_tag"))
+    return tags.select(*keep, "position", attribute(F.col("_tag"), attr).alias(name)).where(F.col(name).isNotNull())
 
 
 def extract_text(pages: DataFrame, html: str, tag: str, cls: str | None, keep: list[str]) -> DataFrame:
