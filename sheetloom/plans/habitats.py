@@ -35,7 +35,7 @@ def habitat_tables(creation: DataFrame, management: DataFrame) -> dict[str, Data
     }
     placed = union_with_key(long, "_sheet").withColumn("_at", F.struct("_sheet", "area_id", "_ord"))
     seen = O.first_seen(placed, ["habitat"], "_at")
-    habitat = O.add_id(seen, "habitat_id", ["_seen"]).select(F.col("habitat_id").cast("int").alias("habitat_id"), "habitat")
+    habitat = O.add_id(seen, "habitat_id", ["_seen"]).select("habitat_id", "habitat")
 
     def bridge(sheet: DataFrame) -> DataFrame:
         return lookup_join(sheet, habitat, ["habitat"], "inner").select("area_id", "habitat_id")

@@ -21,7 +21,8 @@ def _text(*names: str) -> list[tuple[str, T.DataType]]:
 
 
 def _number(*names: str) -> list[tuple[str, T.DataType]]:
-    return [(name, T.IntegerType()) for name in names]
+    """Ids are 64 bits wide, so that no key of a large table is lost."""
+    return [(name, T.LongType()) for name in names]
 
 
 # The tables, their keys and what they refer to.
@@ -41,7 +42,7 @@ COLUMNS: dict[str, list[tuple[str, T.DataType]]] = {
         "kingdom", "phylum", "order", "family", "genus", "species", "kingdom_key", "phylum_key", "class_key",
         "order_key", "family_key", "genus_key", "species_key", "synonym", "class", "accepted_usage_key",
         "verbatim_name",
-    ) + [("verbatim_index", T.LongType())] + _text("gbif_species_url", "image_url", "license", "attribution"),
+    ) + [("verbatim_index", T.LongType())] + _text("gbif_species_url", "image_url", "license", "attribution", "photo_url"),
     "grant_table": _text("grant_id", "grant_name", "grant_scheme", "url", "grant_summary"),
     "measure_area_priority": _number("measure_id", "area_id", "priority_id"),
     "measure_area_priority_grant": _number("measure_id", "area_id", "priority_id") + _text("grant_id"),
@@ -108,12 +109,12 @@ def staged(df: DataFrame, label: str) -> DataFrame:
 def dimension(source: DataFrame, col: str, key: str) -> DataFrame:
     """Distinct values of a column, numbered from 1."""
     values = source.select(col).where(F.col(col).isNotNull()).distinct()
-    return O.add_id(values, key, [col]).withColumn(key, F.col(key).cast("int"))
+    return O.add_id(values, key, [col])
 
 
 def bridge(source: DataFrame, owner: DataFrame, values: DataFrame, owner_key: str, col: str, key: str) -> DataFrame:
     """Distinct pairs of an existing owner and a numbered value."""
-    pairs = source.select(owner_key, col).dropna().distinct()
+    pairs = source.select(F.col(owner_key).cast("long").alias(owner_key), col).dropna().distinct()
     valid = equi_join(pairs, owner, [owner_key], "left_semi")
     return equi_join(valid, values, [col]).select(owner_key, key)
 
@@ -126,6 +127,7 @@ def load_core(
     A fact needs its parents; a grant is kept where it exists or is missing. Without ``validate`` the
     facts are taken as they come, as in the earlier load.
     """
+
     def shaped(df: DataFrame, name: str) -> DataFrame:
         return apply_schema(df, SCHEMAS[name])
 
@@ -144,7 +146,7 @@ def load_core(
         source, tables["measure"], tables["stakeholder"], "measure_id", "stakeholder", "stakeholder_id"
     )
     keys = ["measure_id", "area_id", "priority_id"]
-    facts = source.select(*keys, "grant_id").dropna(subset=keys).distinct()
+    facts = shaped(source, "measure_area_priority_grant").dropna(subset=keys).distinct()
     triples = facts.select(*keys).distinct()
     if validate:
         triples = semi_all(triples, [(tables["measure"], ["measure_id"]), (tables["area"], ["area_id"]),
