@@ -140,7 +140,7 @@ def s_paste(t: Tables) -> DataFrame:
 
 
 @query("s_clean_name", r"""
-WITH v AS (SELECT page_id, replace(replace(replace(replace(html, '''', ''), '"', ''), '%', '_percent_'), '#', '_number_') AS v FROM pages),
+WITH v AS (SELECT page_id, replace(replace(replace(replace(replace(replace(replace(html, 'ß', 'ss'), 'œ', 'oe'), 'æ', 'ae'), '''', ''), '"', ''), '%', '_percent_'), '#', '_number_') AS v FROM pages),
 a AS (SELECT page_id, trim(regexp_replace(strip_accents(v), '[^\p{L}\p{N}]+', '_', 'g'), '_') AS v FROM v),
 b AS (SELECT page_id, lower(regexp_replace(regexp_replace(regexp_replace(v, '([a-z])([A-Z])', '\1_\2', 'g'), '([0-9])([A-Z][a-z])', '\1_\2', 'g'),
                     '([A-Z])([A-Z][a-z])', '\1_\2', 'g')) AS v FROM a)
