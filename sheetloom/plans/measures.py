@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sheetloom.functions import text as X
 from sheetloom.functions.names import clean_names
@@ -140,5 +141,5 @@ def older_measures(by_area: DataFrame, by_priority: DataFrame) -> DataFrame:
         "guidance": "link_to_further_guidance",
     })
     first = ("measure_id", "measure", "ambition", "land_type", "stakeholder_type", "area_id", "priority_id", "guidance")
-    typed = P.across(named, P.columns_where(named, suffix="_id"), lambda c, name: P.as_integer(c))
+    typed = P.across(named, P.columns_where(named, suffix="_id", dtype=T.StringType), lambda c, name: P.as_integer(c))
     return P.relocate(typed, *first)

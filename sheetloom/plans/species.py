@@ -66,7 +66,7 @@ def species_measures(sheet: DataFrame, names: DataFrame) -> DataFrame:
     """Measures and the species they help, with the place of the species' column; a column is one
     species, joined by its cleaned name."""
     cols = [c for c in sheet.columns if c not in ("measure_id", "priority", "measure", "_ord")]
-    bridge = R.matrix_to_bridge(sheet, ["measure_id"], cols, "clean_name")
+    bridge = R.matrix_to_bridge(sheet, ["measure_id"], cols, "clean_name", position="place")
     return lookup_join(bridge, names.select("clean_name", "species_id"), ["clean_name"], "inner").drop("clean_name")
 
 
