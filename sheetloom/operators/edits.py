@@ -86,7 +86,7 @@ def update_by_key(df: DataFrame, changes: DataFrame, keys: Sequence[str], set_nu
 
 def delete_by_key(df: DataFrame, keys: DataFrame) -> DataFrame:
     """Drop the rows whose key is listed; the key table's columns are the key."""
-    return equi_join(df, keys.distinct(), keys.columns, "left_anti")
+    return equi_join(df, keys, keys.columns, "left_anti")
 
 
 def clear(df: DataFrame) -> DataFrame:
@@ -118,7 +118,7 @@ def delete_cascade(
     parents: dict[str, list[str]] = {}
     for ref in references:
         parents.setdefault(ref.child, []).append(ref.parent)
-    gone: dict[str, DataFrame] = {table: equi_join(tables[table], keys.distinct(), keys.columns, "left_semi")}
+    gone: dict[str, DataFrame] = {table: equi_join(tables[table], keys, keys.columns, "left_semi")}
     result = dict(tables)
     result[table] = delete_by_key(tables[table], keys)
     for name in load_order(tables, parents):
@@ -126,7 +126,7 @@ def delete_cascade(
         for ref in references:
             if ref.child != name or ref.parent not in gone:
                 continue
-            parent_keys = gone[ref.parent].select(*[F.col(p).alias(c) for c, p in ref.on]).distinct()
+            parent_keys = gone[ref.parent].select(*[F.col(p).alias(c) for c, p in ref.on])
             cols = [c for c, _ in ref.on]
             hit = equi_join(kept, parent_keys, cols, "left_semi")
             lost = hit if lost is None else lost.unionByName(hit)

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sheetloom.operators.joins import lookup_join
+from sheetloom.operators.joins import equi_join, lookup_join
 
 
 def _piece_start(length: Column, number: Column, pieces: int) -> Column:
@@ -117,5 +117,5 @@ def fuzzy_join(
         left.select(F.col(left_on).alias("text")), right.select(F.col(right_on).alias("text")), max_dist, ignore_case
     ).withColumnRenamed("distance", distance)
     with_left = lookup_join(left, pairs, [(left_on, "left_text")], "inner")
-    joined = lookup_join(with_left, right.withColumnRenamed(right_on, "_match"), [("right_text", "_match")], "inner")
+    joined = equi_join(with_left, right.withColumnRenamed(right_on, "_match"), [("right_text", "_match")])
     return joined.withColumnRenamed("right_text", right_on if right_on not in left.columns else f"matched_{right_on}")

@@ -1,8 +1,10 @@
 """Joins with the null and name rules of the wrangling scripts, and with hot keys handled.
 
-Plain joins are left to the optimiser and to adaptive execution, which also splits skewed sort-merge
-partitions. ``lookup_join`` is for wide facts against lookups: keys that hold very many fact rows
-never enter the shuffle.
+Plain joins are left to the optimiser and to adaptive execution, which picks broadcasts by measured
+size and splits skewed sort-merge partitions; that needs both sides to come straight from a shuffle,
+so semi and anti joins take their key tables as they are, without a distinct. ``lookup_join`` is for
+stored facts against lookups that were aggregated on the same key: keys that hold very many fact rows
+never enter the shuffle. It counts the left keys first, so the left side should be cheap to read.
 """
 
 from __future__ import annotations
@@ -13,6 +15,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sheetloom.session import staged
+
 Keys = Sequence[str | tuple[str, str]]
 
 # A key with more fact rows than this is hot, so a table of n rows has at most n / HOT_ROWS of them.
@@ -48,6 +52,10 @@ def equi_join(left: DataFrame, right: DataFrame, on: Keys, how: str = "inner", n
     return joined.drop(*[f"_right_{r}" for _, r in pairs]) if how not in ("left_semi", "left_anti") else joined
 
 
+def left_join(left: DataFrame, right: DataFrame, on: Keys, null_safe: bool = False) -> DataFrame:
+    return equi_join(left, right, on, "left", null_safe)
+
+
 def lookup_join(
     left: DataFrame,
     right: DataFrame,
@@ -103,9 +111,11 @@ def coalesce_join(left: DataFrame, right: DataFrame, on: Keys, shared: Sequence[
 def tiered_fill(rows: DataFrame, key: str, tier: str) -> DataFrame:
     """Rows of the first tier that has any, for each key.
 
-    Equals trying each tier in turn for the keys still without rows, in one pass: the lowest tier
-    per key is a small map-side aggregate, and the join back leaves hot keys out of the shuffle.
+    Equals trying each tier in turn for the keys still without rows. The rows are read several times,
+    so they are written once; the lowest tier per key is combined before the shuffle, and the join back
+    leaves hot keys out of it.
     """
+    rows = staged(rows, "tiers")
     lowest = rows.groupBy(key).agg(F.min(tier).alias("_tier"))
     return lookup_join(rows, lowest, [key], "inner").where(F.col(tier) == F.col("_tier")).drop("_tier")
 

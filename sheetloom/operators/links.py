@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sheetloom.functions import text as X
 from sheetloom.functions.names import clean_name_column
-from sheetloom.operators.joins import lookup_join
+from sheetloom.operators.joins import equi_join, lookup_join
 
 # The status of a missing page, and of a sound one.
 MISSING_PAGE = "httr2_http_404"
@@ -36,7 +36,7 @@ def apply_link_status(
 def media_files(media: DataFrame, names: DataFrame, key: str, root: str) -> DataFrame:
     """Still images with an address, joined with names, and the file each is to be stored in."""
     images = media.where((F.col("format") == "image/jpeg") & F.col("identifier").isNotNull())
-    named = lookup_join(images, names.select(key, "common_name"), [key], "inner")
+    named = equi_join(images, names.select(key, "common_name"), [key])
     cleaned = named.withColumns({
         "license_short": clean_name_column(X.licence_short(F.col("license"))),
         "common_name": clean_name_column(F.col("common_name")),

@@ -105,7 +105,7 @@ def leading_integer(col: Column) -> Column:
 
 def known_or_null(df: DataFrame, key: str, lookup: DataFrame) -> DataFrame:
     """Rows whose key is null or occurs in the lookup's column of the same name."""
-    known = lookup.select(F.col(key)).where(F.col(key).isNotNull()).distinct()
+    known = lookup.select(F.col(key))
     present = df.where(F.col(key).isNotNull()).join(known, key, "left_semi")
     return present.select(*df.columns).unionByName(df.where(F.col(key).isNull()))
 

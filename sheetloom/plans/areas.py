@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from sheetloom.functions import text as X
 from sheetloom.operators import ordering as O
 from sheetloom.operators import projection as P
-from sheetloom.operators.joins import lookup_join
+from sheetloom.operators.joins import left_join
 from sheetloom.operators.reshape import explode_delim
 
 
@@ -41,4 +41,4 @@ def condensed_schemes(schemes: DataFrame) -> DataFrame:
 def areas_table(areas: DataFrame, management: DataFrame, creation: DataFrame) -> DataFrame:
     """Areas with their habitat texts."""
     linked = areas.withColumn("area_link", X.replace_all(F.col("area_link"), [("; ", "\n")])).drop("local_funding_schemes")
-    return lookup_join(lookup_join(linked, management, ["area_id"]), creation, ["area_id"])
+    return left_join(left_join(linked, management, ["area_id"]), creation, ["area_id"])

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sheetloom.operators import ordering as O
-from sheetloom.operators.joins import lookup_join
+from sheetloom.operators.joins import equi_join
 from sheetloom.operators.reshape import explode_delim, matrix_to_bridge, prefixed_id
 from sheetloom.operators.sets import union_with_key
 
@@ -38,7 +38,7 @@ def habitat_tables(creation: DataFrame, management: DataFrame) -> dict[str, Data
     habitat = O.add_id(seen, "habitat_id", ["_seen"]).select("habitat_id", "habitat")
 
     def bridge(sheet: DataFrame) -> DataFrame:
-        return lookup_join(sheet, habitat, ["habitat"], "inner").select("area_id", "habitat_id")
+        return equi_join(sheet, habitat, ["habitat"]).select("area_id", "habitat_id")
 
     return {
         "habitat": habitat,

@@ -13,7 +13,7 @@ from sheetloom.functions.names import clean_names
 from sheetloom.operators import ordering as O
 from sheetloom.operators import projection as P
 from sheetloom.operators import reshape as R
-from sheetloom.operators.joins import lookup_join
+from sheetloom.operators.joins import equi_join, left_join
 from sheetloom.operators.sets import union_by_name
 
 # The stand-in for a missing grant cell, and what is removed from the joined cells.
@@ -63,12 +63,12 @@ def area_measures(
     split: DataFrame, areas: DataFrame, priorities: DataFrame, grants: DataFrame, schemes: DataFrame, concise: DataFrame
 ) -> DataFrame:
     """The wide published table. A missing grant matches a missing one; grants without address are dropped."""
-    wide = lookup_join(split, areas, ["area_id"])
-    wide = lookup_join(wide, priorities, ["priority_id"])
+    wide = left_join(split, areas, ["area_id"])
+    wide = left_join(wide, priorities, ["priority_id"])
     details = grants.select("grant_id", "grant_name", "grant_scheme", "grant_summary", "url")
-    wide = P.without_dead_links(lookup_join(wide, details, ["grant_id"], null_safe=True))
-    wide = lookup_join(wide, schemes, ["area_id"])
-    return lookup_join(wide, concise, ["measure_id"])
+    wide = P.without_dead_links(left_join(wide, details, ["grant_id"], null_safe=True))
+    wide = left_join(wide, schemes, ["area_id"])
+    return left_join(wide, concise, ["measure_id"])
 
 
 def slim(wide: DataFrame) -> DataFrame:
@@ -90,15 +90,15 @@ def bridge_by_header(sheet: DataFrame, ids: Mapping[str, int], name: str, marks:
 
 def collapsed_names(bridge: DataFrame, names: DataFrame, key: str, text: str, name: str) -> DataFrame:
     """Names behind a measure's ids as one text, in the order of the sheet's columns."""
-    rows = lookup_join(bridge, names.select(key, text), [key])
+    rows = left_join(bridge, names.select(key, text), [key])
     return O.collapse(rows, ["measure_id"], text, "\n", ["place", key], name)
 
 
 def measures_table(base: DataFrame, benefits: DataFrame, species: DataFrame, concise: DataFrame) -> DataFrame:
     """Measures with texts of benefits and species; a measure without benefit is left out, one without
     species stays."""
-    rows = lookup_join(base, benefits, ["measure_id"], "inner")
-    return lookup_join(lookup_join(rows, species, ["measure_id"]), concise, ["measure_id"])
+    rows = equi_join(base, benefits, ["measure_id"])
+    return left_join(left_join(rows, species, ["measure_id"]), concise, ["measure_id"])
 
 
 def two_scheme_grants(rows: DataFrame, first: str, second: str) -> DataFrame:
@@ -113,7 +113,7 @@ def two_scheme_grants(rows: DataFrame, first: str, second: str) -> DataFrame:
 
 def linked_grants(long: DataFrame, grants: DataFrame, by: Sequence[str]) -> DataFrame:
     """Addresses of all grants of a wide key as one text; a missing address reads NA."""
-    linked = lookup_join(long, grants.select("grant_id", "url"), ["grant_id"], null_safe=True)
+    linked = left_join(long, grants.select("grant_id", "url"), ["grant_id"], null_safe=True)
     return O.collapse(linked, by, "url", "\n", ["grant_id"], "grant_link")
 
 

@@ -13,7 +13,6 @@ from sheetloom.operators.catalog import apply_schema
 from sheetloom.operators.edits import Reference
 from sheetloom.operators.joins import equi_join, lookup_join, semi_all
 from sheetloom.operators.projection import known_or_null
-from sheetloom.session import scratch_path
 
 
 def _text(*names: str) -> list[tuple[str, T.DataType]]:
@@ -99,13 +98,6 @@ REFERENCES = [
 ]
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
-    """The table written once to the shared folder, for plans that read it many times."""
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def dimension(source: DataFrame, col: str, key: str) -> DataFrame:
     """Distinct values of a column, numbered from 1."""
     values = source.select(col).where(F.col(col).isNotNull()).distinct()

@@ -11,7 +11,7 @@ from sheetloom.functions.names import clean_name_column
 from sheetloom.operators import ordering as O
 from sheetloom.operators import projection as P
 from sheetloom.operators import reshape as R
-from sheetloom.operators.joins import equi_join, lookup_join
+from sheetloom.operators.joins import equi_join, left_join
 
 # Columns shown with a species.
 SHOWN = ("species_id", "common_name", "scientific_name", "gbif_species_url", "species_link")
@@ -28,8 +28,8 @@ def species_table(sheet: DataFrame, backbone: DataFrame, images: DataFrame, base
     """Species found in the backbone by name, with a picture where there is one."""
     named = P.rename(sheet.drop("relevant_priorities"), {"common_name": "species", "species_link": "link_to_further_guidance"})
     addressed = backbone.withColumn("gbif_species_url", F.concat(F.lit(base_url), F.col("usage_key").cast("string")))
-    found = lookup_join(named, addressed, [("linnaean_name", "canonical_name")], "inner")
-    return lookup_join(found, images.select("usage_key", "image_url", "license", "attribution"), ["usage_key"])
+    found = equi_join(named, addressed, [("linnaean_name", "canonical_name")])
+    return left_join(found, images.select("usage_key", "image_url", "license", "attribution"), ["usage_key"])
 
 
 def species_priority(sheet: DataFrame) -> DataFrame:
@@ -52,8 +52,8 @@ def species_area(sheet: DataFrame, header_row: int, narrow: bool = False) -> Dat
 
 def enriched(bridge: DataFrame, species: DataFrame, dimension: DataFrame, key: str, shown: Sequence[str] = SHOWN) -> DataFrame:
     """A species bridge with the columns of its other side and of the species."""
-    rows = lookup_join(bridge, dimension, [key])
-    return lookup_join(rows, species.select(*shown), ["species_id"])
+    rows = left_join(bridge, dimension, [key])
+    return left_join(rows, species.select(*shown), ["species_id"])
 
 
 def names_table(species: DataFrame) -> DataFrame:
@@ -67,7 +67,7 @@ def species_measures(sheet: DataFrame, names: DataFrame) -> DataFrame:
     species, joined by its cleaned name."""
     cols = [c for c in sheet.columns if c not in ("measure_id", "priority", "measure", "_ord")]
     bridge = R.matrix_to_bridge(sheet, ["measure_id"], cols, "clean_name", position="place")
-    return lookup_join(bridge, names.select("clean_name", "species_id"), ["clean_name"], "inner").drop("clean_name")
+    return equi_join(bridge, names.select("clean_name", "species_id"), ["clean_name"]).drop("clean_name")
 
 
 def species_priority_area(
@@ -76,8 +76,8 @@ def species_priority_area(
     """Every priority and area of each species; species without either keep one row."""
     rows = equi_join(species, by_priority.select("species_id", "priority_id"), ["species_id"], "left")
     rows = equi_join(rows, by_area.select("species_id", "area_id"), ["species_id"], "left")
-    rows = lookup_join(rows, priorities, ["priority_id"])
-    return lookup_join(rows, areas.select("area_id", "area_name"), ["area_id"])
+    rows = left_join(rows, priorities, ["priority_id"])
+    return left_join(rows, areas.select("area_id", "area_name"), ["area_id"])
 
 
 def species_of(rows: DataFrame, col: str, value: int) -> DataFrame:

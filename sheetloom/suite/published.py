@@ -8,6 +8,7 @@ from sheetloom.operators.checks import compare_tables
 from sheetloom.plans import normalise as N
 from sheetloom.plans import portal
 from sheetloom.plans.measures import SLIM
+from sheetloom.session import staged
 from sheetloom.suite.registry import Tables, query
 
 FLAT = """
@@ -58,7 +59,7 @@ AREA = "Customer#000000077"
 
 def core_tables(t: Tables) -> dict[str, DataFrame]:
     """The normal form of the flat source, which is written once since many tables read it."""
-    source = N.staged(flat_source(t), "flat-source")
+    source = staged(flat_source(t), "flat-source")
     return N.load_core(
         source,
         measures=source.select("measure_id", "measure", "core_supplementary", "link_to_further_guidance", "concise_measure"),
