@@ -2,7 +2,8 @@
 
 Spark keeps no row order, so each of these takes the columns that define it. A plain window sends
 a whole group to one task, which is right for groups of a known size only. Each operator therefore
-measures its largest group first and beyond ``group_rows`` takes the range route: rows are range
+measures its largest group first, and beyond ``group_rows`` (``TABLE_ROWS`` where the table as a whole
+is ordered) takes the range route: rows are range
 partitioned on group and order, written once, worked on within their partitions, and corrected by
 what earlier partitions of the same group hold. A partition edge cuts at most one group, so the
 table of corrections has fewer rows than there are partitions and can be broadcast.
@@ -18,7 +19,11 @@ from pyspark.sql import functions as F
 from sheetloom.functions.text import NA_TEXT, sql_text
 from sheetloom.session import shared_dir
 
+# Most rows that one task may hold for a group, and for a table that is ordered as a whole.
 GROUP_ROWS = 5_000_000
+TABLE_ROWS = 200_000
+# Rows for which a further partition pays after a whole-table window.
+SPREAD_ROWS = 2_000
 
 
 def largest_group(df: DataFrame, by: Sequence[str]) -> int:
@@ -28,6 +33,16 @@ def largest_group(df: DataFrame, by: Sequence[str]) -> int:
     return df.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
 
 
+def _limit(by: Sequence[str], group_rows: int) -> int:
+    return group_rows if by else min(group_rows, TABLE_ROWS)
+
+
+def _spread(df: DataFrame, rows: int) -> DataFrame:
+    """Partitions again after a whole-table window has put all rows into one."""
+    parts = min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), rows // SPREAD_ROWS)
+    return df.repartition(parts) if parts > 1 else df
+
+
 def nulls_last(*names: str) -> list[Column]:
     """Sort order with missing values at the end; ``-name`` sorts downwards."""
     return [F.col(n[1:]).desc_nulls_last() if n.startswith("-") else F.col(n).asc_nulls_last() for n in names]
@@ -76,9 +91,11 @@ def row_numbers(
     df: DataFrame, by: Sequence[str], order: Sequence[str], name: str = "rn", group_rows: int = GROUP_ROWS
 ) -> DataFrame:
     """Position of each row in its group, from 1."""
-    if largest_group(df, by) <= group_rows:
+    largest = largest_group(df, by)
+    if largest <= _limit(by, group_rows):
         window = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
-        return df.withColumn(name, F.row_number().over(window.orderBy(*nulls_last(*order))).cast("long"))
+        numbered = df.withColumn(name, F.row_number().over(window.orderBy(*nulls_last(*order))).cast("long"))
+        return numbered if by else _spread(numbered, largest)
     rows = _ranged(df, by, order)
     if not by:
         counts = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
@@ -123,10 +140,12 @@ def fill_down(
 ) -> DataFrame:
     """Replace nulls with the last value above, inside each group."""
     names = df.columns
-    if largest_group(df, by) <= group_rows:
+    largest = largest_group(df, by)
+    if largest <= _limit(by, group_rows):
         window = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
         window = window.orderBy(*nulls_last(*order)).rowsBetween(Window.unboundedPreceding, 0)
-        return df.withColumns({c: F.last(c, ignorenulls=True).over(window) for c in cols})
+        filled = df.withColumns({c: F.last(c, ignorenulls=True).over(window) for c in cols})
+        return filled if by else _spread(filled, largest)
     rows = _ranged(df, by, order)
     upto = Window.partitionBy("_part", *by).orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
     inside = rows.withColumns({c: F.last(c, ignorenulls=True).over(upto) for c in cols})

@@ -138,13 +138,13 @@ def load_core(
         source, tables["measure"], tables["stakeholder"], "measure_id", "stakeholder", "stakeholder_id"
     )
     keys = ["measure_id", "area_id", "priority_id"]
-    facts = shaped(source, "measure_area_priority_grant").dropna(subset=keys).distinct()
-    triples = facts.select(*keys).distinct()
+    rows = shaped(source, "measure_area_priority_grant").dropna(subset=keys)
+    triples = rows.select(*keys).distinct()
     if validate:
         triples = semi_all(triples, [(tables["measure"], ["measure_id"]), (tables["area"], ["area_id"]),
                                      (tables["priority"], ["priority_id"])])
     tables["measure_area_priority"] = triples
-    tables["measure_area_priority_grant"] = known_or_null(facts, "grant_id", tables["grant_table"])
+    tables["measure_area_priority_grant"] = known_or_null(rows.distinct(), "grant_id", tables["grant_table"])
     return tables
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sheetloom.functions.geometry import parse_polygon
+from sheetloom.functions.geometry import polygon_literal
 from sheetloom.functions.names import clean_names
 from sheetloom.operators import spatial as S
 
@@ -19,7 +19,7 @@ PUBLISHED = (
 
 def region_occurrences(archive: DataFrame, keys: DataFrame, region_wkt: str, first: int, last: int) -> DataFrame:
     """Published columns, under cleaned names, of the occurrences of listed taxa in a region and years."""
-    region = archive.sparkSession.range(1).select(parse_polygon(F.lit(region_wkt)).alias("polygon"))
+    region = archive.sparkSession.range(1).select(polygon_literal(region_wkt).alias("polygon"))
     found = S.near_occurrences(
         archive, region, keys, "decimalLongitude", "decimalLatitude", F.col("year"), first, last, "taxonKey"
     )

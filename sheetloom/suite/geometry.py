@@ -65,7 +65,7 @@ c AS (SELECT vec_id, x, y, list_sum(list_transform(rs, lambda r: len(list_filter
       AND x < (r[i+1].x - r[i].x) * (y - r[i].y) / nullif(r[i+1].y - r[i].y, 0) + r[i].x)))) AS n FROM p, rings)
 SELECT vec_id, n % 2 = 1 AS inside FROM c""")
 def g_contains(t: Tables) -> DataFrame:
-    inside = G.contains(G.parse_polygon(F.lit(REGION)), F.col("x"), F.col("y"))
+    inside = G.contains(G.polygon_literal(REGION), F.col("x"), F.col("y"))
     return located(t).select("vec_id", inside.alias("inside"))
 
 

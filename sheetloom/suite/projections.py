@@ -170,7 +170,7 @@ def occ_predicate(t: Tables) -> DataFrame:
         "event_id", "user_id", "event_type", F.col("value").alias("x"), "ts",
         F.get_json_object("props", "$.k").cast("double").alias("y"),
     )
-    region = t.spark.range(1).select(G.parse_polygon(F.lit(REGION)).alias("polygon"))
+    region = t.spark.range(1).select(G.polygon_literal(REGION).alias("polygon"))
     keys = points.where(F.col("event_type").isin("view", "click")).select("event_type").distinct()
     found = S.near_occurrences(points, region, keys, "x", "y", F.year("ts"), 2019, 2024, "event_type")
     return found.select("event_id", "user_id", "x", "y")
