@@ -66,14 +66,17 @@ def clean_names(t: Tables) -> DataFrame:
 
 
 @query("promote_header", """
-WITH numbered AS (SELECT *, row_number() OVER (ORDER BY c_custkey) AS n FROM customer)
-SELECT n AS _ord, CAST(c_custkey AS VARCHAR) AS x0, c_name AS customer_number_000000000, c_mktsegment AS household
-FROM numbered WHERE n > 1""")
+SELECT c_custkey + 1 AS _ord, CAST(c_custkey AS VARCHAR) AS customer_no, c_name AS x2_name, c_mktsegment AS segment_percent
+FROM customer""")
 def promote_header(t: Tables) -> DataFrame:
-    sheet = t.customer.select(F.col("c_custkey").cast("string").alias("x1"), F.col("c_name").alias("x2"),
-                              F.col("c_mktsegment").alias("x3"), "c_custkey")
-    ordered = O.row_numbers(sheet, [], ["c_custkey"], "_ord").drop("c_custkey")
-    return P.promote_header(ordered, "_ord", 1)
+    """Customers as text under a first row that names the columns."""
+    body = t.customer.select(
+        F.col("c_custkey").cast("string").alias("x1"), F.col("c_name").alias("x2"), F.col("c_mktsegment").alias("x3"),
+        (F.col("c_custkey") + 1).alias("_ord"),
+    )
+    names = [F.lit(name).alias(f"x{i}") for i, name in enumerate(("Customer no.", "2 Name", "segment %"), start=1)]
+    header = t.spark.range(1).select(*names, F.lit(0).cast("long").alias("_ord"))
+    return P.promote_header(body.unionByName(header), "_ord", 0)
 
 
 @query("try_casts", """
