@@ -22,7 +22,7 @@ Keys = Sequence[str | tuple[str, str]]
 # A key with more fact rows than this is hot, so a table of n rows has at most n / HOT_ROWS of them.
 HOT_ROWS = 10_000_000
 # Most lookup rows that may be broadcast for the hot keys.
-BROADCAST_ROWS = 1_000_000
+BROADCAST_ROWS = 100_000
 
 
 def _pairs(on: Keys) -> list[tuple[str, str]]:
@@ -64,19 +64,22 @@ def lookup_join(
     null_safe: bool = False,
     hot_rows: int = HOT_ROWS,
     broadcast_rows: int = BROADCAST_ROWS,
+    keys_from: DataFrame | None = None,
 ) -> DataFrame:
     """Inner or left join of a large table with a lookup, safe against hot keys.
 
     The rows of hot keys meet a broadcast of just those keys' lookup rows, counted beforehand; all
     other rows take the ordinary join. When those lookup rows are too many to broadcast, the ordinary
-    join does it all and adaptive execution splits the skewed partitions.
+    join does it all and adaptive execution splits the skewed partitions. ``keys_from`` is a cheaper
+    table to count the keys on, such as the stored facts behind a joined left side; the result does
+    not depend on it.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"unsupported join type {how!r}")
     pairs = _pairs(on)
     left_keys = [l for l, _ in pairs]
-    counted = left.groupBy(*left_keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
-    # At most (rows of left / hot_rows) keys: a short list by construction.
+    counted = (left if keys_from is None else keys_from).groupBy(*left_keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
+    # At most (rows counted / hot_rows) keys: a short list by construction.
     hot_rows_found = counted.select(*left_keys).collect()
     if not hot_rows_found:
         return equi_join(left, right, on, how, null_safe)

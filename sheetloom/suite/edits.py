@@ -32,13 +32,16 @@ def cat_tables(t: Tables) -> DataFrame:
     return _stack([t.spark.table(n).agg(F.lit(n).alias("table_name"), F.count(F.lit(1)).alias("n")) for n in listed])
 
 
-@query("cat_describe", """
-SELECT position, column_name, column_type, (SELECT count(*) FROM orders) AS n FROM (VALUES
-  (1, 'o_orderkey', 'bigint'), (2, 'o_custkey', 'bigint'), (3, 'o_orderstatus', 'string'), (4, 'o_totalprice', 'double'),
-  (5, 'o_orderdate', 'timestamp_ntz'), (6, 'o_orderpriority', 'string')) v(position, column_name, column_type)""")
+ORDERS = {"o_orderkey": "bigint", "o_custkey": "bigint", "o_orderstatus": "string", "o_totalprice": "double",
+          "o_orderdate": "timestamp_ntz", "o_orderpriority": "string"}
+
+
+@query("cat_describe", " UNION ALL ".join(
+    f"SELECT {i} AS position, '{c}' AS column_name, '{k}' AS column_type, count(*) - count({c}) AS nulls FROM orders"
+    for i, (c, k) in enumerate(ORDERS.items(), start=1)))
 def cat_describe(t: Tables) -> DataFrame:
-    counted = t.orders.agg(F.count(F.lit(1)).alias("n"))
-    return K.describe(t.orders).join(F.broadcast(counted))
+    """Columns and types, with the number of nulls of each."""
+    return K.describe(t.orders).join(Q.check_not_null(t.orders, t.orders.columns), "column_name")
 
 
 PROFILED = {"doc_id": "bigint", "lang": "string", "source": "string", "quality": "int", "toxic": "int"}
@@ -85,13 +88,13 @@ def schema_conform(t: Tables) -> DataFrame:
 
 
 @query("schema_report", """
-SELECT column_name, wanted, found, state, (SELECT count(*) FROM part) AS n FROM (VALUES
+SELECT column_name, wanted, found, state, CASE WHEN found IS NOT NULL THEN (SELECT count(*) - count(p_partkey) FROM part) END AS nulls FROM (VALUES
   ('p_partkey', 'int', 'bigint', 'wrong type'), ('p_name', 'string', 'string', 'ok'), ('p_size', 'int', 'int', 'ok'),
   ('p_retailprice', 'string', 'double', 'wrong type'), ('p_comment', 'string', NULL, 'missing'),
   ('p_brand', NULL, 'string', 'extra'), ('p_type', NULL, 'string', 'extra')) v(column_name, wanted, found, state)""")
 def schema_report(t: Tables) -> DataFrame:
-    counted = t.part.agg(F.count(F.lit(1)).alias("n"))
-    return K.conformity(t.part, K.record_schema(RECORD)).join(F.broadcast(counted))
+    nulls = Q.check_not_null(t.part, t.part.columns)
+    return K.conformity(t.part, K.record_schema(RECORD)).join(nulls, "column_name", "left")
 
 
 @query("check_pk", """
