@@ -243,3 +243,22 @@ def test_a_failed_load_is_never_read(spark, rows):
     assert PUB.current_version(spark, root) == 1 and rows(PUB.read_published(spark, root, "t")) == [(1,)]
     with pytest.raises(FileNotFoundError):
         PUB.read_published(spark, root + "-none", "t")
+
+
+def test_helpers_of_python_tasks_travel_with_the_task(tmp_path):
+    """A worker without this package can still run them."""
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    from sheetloom.functions.text import _even_lines
+    from sheetloom.sources.html import _page_tables
+
+    (tmp_path / "job.bin").write_bytes(cloudpickle.dumps((_page_tables, _even_lines)))
+    script = (
+        "import pickle; tables, wrap = pickle.load(open('job.bin', 'rb'));"
+        "print(tables('<table><tr><td>a</table>'), wrap('aa bb cc', 5).split())"
+    )
+    done = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, capture_output=True, text=True, timeout=120)
+    assert done.stdout.strip() == "[[['a']]] ['aa', 'bb', 'cc']", done.stderr
