@@ -24,12 +24,19 @@ GROUP_ROWS = 5_000_000
 TABLE_ROWS = 200_000
 # Rows for which a further partition pays after a whole-table window.
 SPREAD_ROWS = 2_000
+# Largest k that Spark applies to a group before the shuffle.
+PUSHED_K = 1_000
 
 
-def largest_group(df: DataFrame, by: Sequence[str]) -> int:
-    """Rows of the largest group; counts are combined before the shuffle."""
-    if not by:
-        return df.count()
+def largest_group(df: DataFrame, by: Sequence[str], enough: int = 0) -> int:
+    """Rows of the largest group; counts are combined before the shuffle.
+
+    A table of at most ``enough`` rows has no larger group, so its number of rows, which a file source
+    knows without reading, is answer enough.
+    """
+    total = df.count() if enough or not by else 0
+    if not by or total < enough:
+        return total
     return df.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
 
 
@@ -91,7 +98,7 @@ def row_numbers(
     df: DataFrame, by: Sequence[str], order: Sequence[str], name: str = "rn", group_rows: int = GROUP_ROWS
 ) -> DataFrame:
     """Position of each row in its group, from 1."""
-    largest = largest_group(df, by)
+    largest = largest_group(df, by, group_rows)
     if largest <= _limit(by, group_rows):
         window = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
         numbered = df.withColumn(name, F.row_number().over(window.orderBy(*nulls_last(*order))).cast("long"))
@@ -140,7 +147,7 @@ def fill_down(
 ) -> DataFrame:
     """Replace nulls with the last value above, inside each group."""
     names = df.columns
-    largest = largest_group(df, by)
+    largest = largest_group(df, by, group_rows)
     if largest <= _limit(by, group_rows):
         window = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
         window = window.orderBy(*nulls_last(*order)).rowsBetween(Window.unboundedPreceding, 0)
@@ -181,7 +188,7 @@ def collapse(
     needed = df.select(*by, (F.coalesce(value, F.lit(na_text)) if na_text is not None else value).alias("_value"),
                        *[F.col(n.lstrip("-")).alias(f"_key{i}") for i, n in enumerate(order)])
     keys = [("-" if n.startswith("-") else "") + f"_key{i}" for i, n in enumerate(order)]
-    if largest_group(df, by) <= group_rows:
+    if largest_group(df, by, group_rows) <= group_rows:
         return needed.groupBy(*by).agg(_listagg("_value", sep, keys).alias(name))
     rows = _ranged(needed, by, keys)
     pieces = rows.groupBy(*by, "_part").agg(_listagg("_value", sep, ["_pos"]).alias("_piece"))
@@ -189,7 +196,10 @@ def collapse(
 
 
 def top_k(df: DataFrame, by: Sequence[str], order: Sequence[str], k: int) -> DataFrame:
-    """First k rows of each group. Spark keeps at most k rows a group in each task before the shuffle."""
+    """First k rows of each group. Spark keeps at most k rows a group in each task before the shuffle;
+    it does so up to PUSHED_K, and beyond that rows are numbered by the route their groups need."""
+    if k > PUSHED_K:
+        return row_numbers(df, by, order, "_nth").where(F.col("_nth") <= k).drop("_nth")
     window = Window.partitionBy(*by).orderBy(*nulls_last(*order))
     return df.withColumn("_nth", F.row_number().over(window)).where(F.col("_nth") <= k).drop("_nth")
 

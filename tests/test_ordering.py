@@ -99,9 +99,10 @@ def test_large_tables_are_never_ordered_in_one_task(spark, monkeypatch):
 
 
 def test_top_k_limits_groups_before_the_shuffle(spark):
-    df = spark.range(1000).withColumn("g", F.lit("hot"))
+    df = spark.range(1000).withColumn("g", F.when(F.col("id") > 99, "hot").otherwise("cold"))
     top = O.top_k(df, ["g"], ["-id"], 3)
-    assert sorted(r.id for r in top.collect()) == [997, 998, 999]
+    assert sorted(r.id for r in top.collect()) == [97, 98, 99, 997, 998, 999]
+    assert O.top_k(df, ["g"], ["-id"], 2000).count() == 1000
     assert "WindowGroupLimit" in top._jdf.queryExecution().executedPlan().toString()
 
 
