@@ -19,9 +19,12 @@ JSON_TYPES: dict[str, T.DataType] = {
 
 
 def list_tables(spark: SparkSession, database: str | None = None) -> DataFrame:
-    """Names of the tables and views of a database."""
-    scope = f" IN `{database}`" if database else ""
-    return spark.sql(f"SHOW TABLES{scope}").select(F.col("tableName").alias("table_name"))
+    """Names of the tables of a database; without one, of the current database and the session's views."""
+    if database is None:
+        listed = spark.sql("SHOW TABLES")
+    else:
+        listed = spark.sql(f"SHOW TABLES IN `{database}`").where(~F.col("isTemporary"))
+    return listed.select(F.col("tableName").alias("table_name"))
 
 
 def describe(df: DataFrame) -> DataFrame:
