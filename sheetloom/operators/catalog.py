@@ -143,10 +143,10 @@ def drop_tables(spark: SparkSession, tables: Iterable[str], parents: Mapping[str
     return ordered
 
 
-def recreate_database(spark: SparkSession, name: str) -> None:
-    """An empty database in place of one that may exist."""
+def recreate_database(spark: SparkSession, name: str, location: str | None = None) -> None:
+    """An empty database, at a location if given, in place of one that may exist."""
     spark.sql(f"DROP DATABASE IF EXISTS `{name}` CASCADE")
-    spark.sql(f"CREATE DATABASE `{name}`")
+    spark.sql(f"CREATE DATABASE `{name}`" + (f" LOCATION '{location}'" if location else ""))
 
 
 def split_lookups(names: Iterable[str], word: str = "lookup") -> tuple[list[str], list[str]]:

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sheetloom.operators.catalog import recreate_database
 from sheetloom.operators.edits import Reference, load_report
 from sheetloom.session import scratch_path
 
@@ -15,8 +16,7 @@ MARK = "_published"
 
 def publish_database(spark: SparkSession, source: str, target: str, location: str | None = None) -> list[str]:
     """Copy every table of a database to another that is created anew, at a location if given."""
-    spark.sql(f"DROP DATABASE IF EXISTS `{target}` CASCADE")
-    spark.sql(f"CREATE DATABASE `{target}`" + (f" LOCATION '{location}'" if location else ""))
+    recreate_database(spark, target, location)
     names = sorted(t.name for t in spark.catalog.listTables(source) if not t.isTemporary)
     for name in names:
         spark.table(f"`{source}`.`{name}`").write.format("parquet").saveAsTable(f"`{target}`.`{name}`")

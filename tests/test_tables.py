@@ -189,18 +189,18 @@ def test_cascade_follows_composite_references_only_to_its_own_rows(spark, rows):
     assert rows(left["measure_type"]) == [(1,), (2,)]
 
 
-def test_catalogue(spark, rows):
+def test_catalogue(spark, rows, tmp_path):
     assert K.load_order(["c", "a", "b"], {"c": ["b"], "b": ["a"]}) == ["a", "b", "c"]
     with pytest.raises(ValueError):
         K.load_order(["a", "b"], {"a": ["b"], "b": ["a"]})
     assert K.split_lookups(["areas", "areas-lookup"]) == (["areas"], ["areas-lookup"])
-    K.recreate_database(spark, "loom_test")
+    K.recreate_database(spark, "loom_test", f"{tmp_path}/first")
     for name in ("parent", "child"):
         spark.range(2).write.format("parquet").saveAsTable(f"loom_test.{name}")
     assert rows(K.list_tables(spark, "loom_test")) == [("child",), ("parent",)]
     dropped = K.drop_tables(spark, ["loom_test.parent", "loom_test.child"], {"loom_test.child": ["loom_test.parent"]})
     assert dropped == ["loom_test.child", "loom_test.parent"]
-    K.recreate_database(spark, "loom_test")
+    K.recreate_database(spark, "loom_test", f"{tmp_path}/second")
     assert rows(K.list_tables(spark, "loom_test")) == []
     spark.sql("DROP DATABASE loom_test CASCADE")
     df = spark.createDataFrame([("1", "a"), ("x", None)], "id string, v string")
