@@ -4,11 +4,13 @@ import json
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sheetloom.operators import catalog as K
 from sheetloom.operators import checks as Q
 from sheetloom.operators import edits as E
 from sheetloom.operators.joins import equi_join
+from sheetloom.operators.ordering import add_id, next_key
 from sheetloom.session import scratch_path
 from sheetloom.sinks.publish import bulk_load, read_published
 from sheetloom.suite.projections import labelled
@@ -65,8 +67,6 @@ def profile_approximate(t: Tables) -> DataFrame:
 SELECT CAST(o_custkey AS INT) AS area_id, CAST(o_orderkey AS VARCHAR) AS area_name, TRY_CAST(o_orderpriority AS INT) AS priority_id,
        CAST(NULL AS VARCHAR) AS area_link FROM orders""")
 def schema_apply(t: Tables) -> DataFrame:
-    from pyspark.sql import types as T
-
     schema = T.StructType.fromDDL("area_id int, area_name string, priority_id int, area_link string")
     rows = t.orders.select(F.col("o_orderkey").alias("area_name"), F.col("o_custkey").alias("area_id"),
                            F.col("o_orderpriority").alias("priority_id"), "o_totalprice")
@@ -134,8 +134,6 @@ n AS (SELECT DISTINCT p_type FROM part WHERE p_type NOT IN (SELECT p_type FROM d
 SELECT type_id, p_type FROM d UNION ALL
 SELECT (SELECT coalesce(max(type_id), 0) FROM d) + row_number() OVER (ORDER BY p_type), p_type FROM n""")
 def c_insert_distinct(t: Tables) -> DataFrame:
-    from sheetloom.operators.ordering import add_id
-
     known = t.part.where("p_size > 49 AND p_retailprice > 1050").select("p_type").distinct()
     return E.insert_distinct(add_id(known, "type_id", ["p_type"]), t.part, "type_id", ["p_type"])
 
@@ -144,8 +142,6 @@ def c_insert_distinct(t: Tables) -> DataFrame:
 SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer UNION ALL
 SELECT s_suppkey + (SELECT max(c_custkey) + 1 FROM customer), s_name, s_nationkey, NULL, NULL FROM supplier""")
 def c_insert_by_name(t: Tables) -> DataFrame:
-    from sheetloom.operators.ordering import next_key
-
     start = next_key(t.customer, "c_custkey")
     rows = t.supplier.select(
         F.col("s_nationkey").alias("c_nationkey"), F.col("s_name").alias("c_name"), (F.col("s_suppkey") + start).alias("c_custkey")
@@ -157,8 +153,6 @@ def c_insert_by_name(t: Tables) -> DataFrame:
 SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier
 UNION ALL SELECT (SELECT max(s_suppkey) + 1 FROM supplier), 'New supplier', NULL, 12.5""")
 def c_insert_values(t: Tables) -> DataFrame:
-    from sheetloom.operators.ordering import next_key
-
     key = next_key(t.supplier, "s_suppkey")
     return E.insert_values(t.supplier, {"s_name": "New supplier", "s_suppkey": key, "s_acctbal": 12.5}, ["s_suppkey"])
 
@@ -206,8 +200,6 @@ def c_cascade(t: Tables) -> DataFrame:
 SELECT p_partkey, p_name, p_brand, p_type, CASE WHEN p_size > 40 THEN 0 ELSE p_size END AS p_size, p_retailprice FROM part
 UNION ALL SELECT p_partkey + (SELECT max(p_partkey) + 1 FROM part), NULL, NULL, NULL, 0, NULL FROM part WHERE p_size < 3""")
 def c_upsert(t: Tables) -> DataFrame:
-    from sheetloom.operators.ordering import next_key
-
     changed = t.part.where("p_size > 40").select("p_partkey", F.lit(0).alias("p_size"))
     start = next_key(t.part, "p_partkey")
     new = t.part.where("p_size < 3").select((F.col("p_partkey") + start).alias("p_partkey"), F.lit(0).alias("p_size"))
