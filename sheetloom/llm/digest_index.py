@@ -16,6 +16,8 @@ import hashlib
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sheetloom.session import staged
+
 
 def text_digest(text: Column) -> Column:
     return F.unhex(F.sha2(F.coalesce(text.cast("string"), F.lit("")).cast("binary"), 256))
@@ -58,7 +60,8 @@ class DigestIndex:
         groups = self.groups(docs, doc_id, text).join(entries.hint("merge"), "digest", "left")
         own = F.col("_entry").eqNullSafe(F.col("_own"))
         groups = groups.withColumnRenamed("keep_id", "_own").select("digest", "group_size", F.col("_entry").alias("keep_id"), (~own).alias("indexed"))
-        # Both sides are dealt by digest anew, so that adaptive execution may split the rows of a frequent text.
+        # Written first, so that both sides of the next join come straight from a shuffle: adaptive execution then splits a frequent text.
+        groups = staged(groups, "digest-groups")
         joined = rows.join(groups, "digest")
         kept = F.col("doc_id").eqNullSafe(F.col("keep_id")) & ~F.col("indexed")
         return joined.select("doc_id", "keep_id", "group_size", kept.alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"), "indexed")
