@@ -153,7 +153,8 @@ def labelled(rows: DataFrame, distance: int = DISTANCE) -> DataFrame:
     named = linked.join(fps.withColumnRenamed("fp", "node"), "node")
     least = named.groupBy("root").agg(F.min("first").alias("least"))
     moved = linked.join(least, "root").select(F.col("node").alias("fp"), "least")
-    known = fps.join(moved, "fp", "left").select("fp", F.coalesce("least", "first").alias("component_id"))
+    # Written first, so that both sides of the join come straight from a shuffle: adaptive execution then splits a frequent fingerprint.
+    known = staged(fps.join(moved, "fp", "left").select("fp", F.coalesce("least", "first").alias("component_id")), "component-ids")
     return rows.join(known, "fp")
 
 
