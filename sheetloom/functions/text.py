@@ -216,7 +216,7 @@ def folder_and_file(path: Column) -> tuple[Column, Column]:
 
 def trailing_key(col: Column, width: int = 7) -> Column:
     """Exactly the last ``width`` digits at the end of a folder name, as a number."""
-    return extract(col, rf"[0-9]{{{width}}}$").try_cast("int")
+    return extract(col, rf"[0-9]{{{width}}}$").try_cast("bigint")
 
 
 def licence_short(col: Column) -> Column:

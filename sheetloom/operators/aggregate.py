@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sheetloom.session import staged
+
 NEST_ROWS = 100_000
 COPY_BLOCK = 4096
 
@@ -18,10 +21,9 @@ def ratio(df: DataFrame, by: Sequence[str], numerator: Column, denominator: Colu
 
 def with_totals(df: DataFrame, by: Sequence[str], **aggs: Column) -> DataFrame:
     """Aggregates per group and one grand-total row, marked by ``is_total``."""
-    rolled = df.rollup(*by).agg(F.grouping_id().alias("_gid"), *[agg.alias(name) for name, agg in aggs.items()])
-    total = (1 << len(by)) - 1
-    kept = rolled.where(F.col("_gid").isin(0, total))
-    return kept.withColumn("is_total", F.col("_gid") == total).drop("_gid")
+    keys = [F.col(c) for c in by]
+    grouped = df.groupingSets([keys, []], *keys).agg(F.grouping_id().alias("_gid"), *[agg.alias(name) for name, agg in aggs.items()])
+    return grouped.withColumn("is_total", F.col("_gid") == (1 << len(by)) - 1).drop("_gid")
 
 
 def all_true(df: DataFrame, test: Column) -> tuple[DataFrame, DataFrame]:
@@ -71,15 +73,21 @@ def analyze(
 def nest(df: DataFrame, by: Sequence[str], name: str = "data", nest_rows: int = NEST_ROWS) -> DataFrame:
     """Rows of each key folded into arrays of structs.
 
-    Equal rows are held once with their number of ``copies``, and a key with very many different rows
-    is spread over several pieces, so that no array and no task grows with the key.
+    Equal rows are held once with their number of ``copies``. A key with at most ``nest_rows`` different rows is one
+    piece, whatever other keys hold; a key with more is spread over as many pieces as it needs, so that no array and no
+    task grows with the key.
     """
     rest = [c for c in df.columns if c not in by]
     counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("copies"))
-    largest = counted.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
-    pieces = -(-largest // nest_rows) or 1
-    piece = F.pmod(F.xxhash64(*rest), F.lit(pieces)).cast("int") if rest and pieces > 1 else F.lit(0)
-    return counted.groupBy(*by, piece.alias("piece")).agg(F.collect_list(F.struct(*rest, "copies")).alias(name))
+    if not rest:
+        return counted.groupBy(*by, F.lit(0).alias("piece")).agg(F.collect_list(F.struct("copies")).alias(name))
+    # The rows are read twice, so they are written once; only keys above the limit, a short list, are joined back.
+    counted = staged(counted, "nested")
+    large = counted.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > nest_rows)
+    known = large.select(*[F.col(f"`{c}`").alias(f"_large_{c}") for c in by], F.ceil(F.col("_n") / nest_rows).alias("_pieces"))
+    same = reduce(lambda a, b: a & b, [F.col(f"`{c}`").eqNullSafe(F.col(f"_large_{c}")) for c in by])
+    piece = F.pmod(F.xxhash64(*rest), F.coalesce("_pieces", F.lit(1))).cast("int")
+    return counted.join(known, same, "left").groupBy(*by, piece.alias("piece")).agg(F.collect_list(F.struct(*rest, "copies")).alias(name))
 
 
 def unnest(df: DataFrame, by: Sequence[str], name: str = "data") -> DataFrame:

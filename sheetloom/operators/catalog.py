@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 # Record-schema types and their column types.
 JSON_TYPES: dict[str, T.DataType] = {
-    "integer": T.IntegerType(),
+    "integer": T.LongType(),
     "number": T.DoubleType(),
     "string": T.StringType(),
     "boolean": T.BooleanType(),

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sheetloom.functions.text import NA_TEXT, sql_text
-from sheetloom.session import shared_dir
+from sheetloom.session import shared_dir, staged
 
 # Most rows that one task may hold for a group, and for a table that is ordered as a whole.
 GROUP_ROWS = 5_000_000
@@ -221,7 +221,16 @@ def limit_rows(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
 
 
 def unique_suffix(df: DataFrame, col: str, order: Sequence[str], name: str, group_rows: int = GROUP_ROWS) -> DataFrame:
-    """Number the later copies of a repeated value: a, a_2, a_3."""
-    numbered = row_numbers(df, [col], order, "_nth", group_rows)
-    suffixed = F.when(F.col("_nth") == 1, F.col(col)).otherwise(F.concat_ws("_", F.col(col), F.col("_nth").cast("string")))
-    return numbered.withColumn(name, suffixed).drop("_nth")
+    """Number the later copies of a repeated value: a, a_2, a_3.
+
+    A numbered value may meet one that was there before, so repeated values are numbered again, in the same order, until
+    all differ: a, a, a_2 gives a, a_2, a_2_2, as it does for a header. Nulls are left alone.
+    """
+    out = df.withColumn("_now", F.col(col))
+    while True:
+        out = staged(row_numbers(out, ["_now"], order, "_nth", group_rows), "suffixed")
+        again = F.col("_now").isNotNull() & (F.col("_nth") > 1)
+        if not out.agg(F.count_if(again)).first()[0]:
+            return out.withColumn(name, F.col("_now")).drop("_now", "_nth")
+        numbered = F.when(again, F.concat_ws("_", F.col("_now"), F.col("_nth").cast("string"))).otherwise(F.col("_now"))
+        out = out.withColumn("_now", numbered).drop("_nth")

@@ -93,9 +93,9 @@ def promote_header(df: DataFrame, order: str, row: int, cols: Sequence[str] | No
 
 
 def as_integer(col: Column) -> Column:
-    """Number of a text, null where it is not one; fractions are cut off."""
+    """Number of a text, null where it is not one; fractions are cut off. 64 bits wide and exact over its range."""
     text = F.trim(col.cast("string"))
-    return F.when(text.rlike(r"^[-+]?[0-9]*\.?[0-9]+(?:[eE][-+]?[0-9]+)?$"), text.try_cast("double").try_cast("int"))
+    return F.when(text.rlike(r"^[-+]?[0-9]*\.?[0-9]+(?:[eE][-+]?[0-9]+)?$"), text.try_cast("decimal(38,18)").try_cast("bigint"))
 
 
 def leading_integer(col: Column) -> Column:
@@ -104,10 +104,10 @@ def leading_integer(col: Column) -> Column:
 
 
 def known_or_null(df: DataFrame, key: str, lookup: DataFrame) -> DataFrame:
-    """Rows whose key is null or occurs in the lookup's column of the same name."""
-    known = lookup.select(F.col(key))
-    present = df.where(F.col(key).isNotNull()).join(known, key, "left_semi")
-    return present.select(*df.columns).unionByName(df.where(F.col(key).isNull()))
+    """Rows whose key is null or occurs in the lookup's column of the same name, in one pass over the rows."""
+    known = lookup.select(F.col(key).alias("_known")).where(F.col("_known").isNotNull()).distinct()
+    joined = df.join(known, F.col(key) == F.col("_known"), "left")
+    return joined.where(F.col(key).isNull() | F.col("_known").isNotNull()).select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def without_dead_links(df: DataFrame, key: str = "grant_id", url: str = "url") -> DataFrame:

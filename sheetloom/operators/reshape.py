@@ -55,18 +55,18 @@ def header_lookup(bridge: DataFrame, header: str, ids: Mapping[str, int], name:
 
     The mapping holds one entry per column of a sheet, so its table is small enough to broadcast.
     """
-    table = bridge.sparkSession.createDataFrame(list(ids.items()) or [("", 0)], f"`{header}` string, `{name}` int")
+    table = bridge.sparkSession.createDataFrame(list(ids.items()) or [("", 0)], f"`{header}` string, `{name}` bigint")
     return bridge.join(F.broadcast(table), header).drop(header)
 
 
 def prefixed_id(header: Column, prefix: str = "x") -> Column:
     """Area number of a header such as ``x7`` or ``x7_2``."""
-    return F.regexp_extract(header, rf"^{prefix}([0-9]+)", 1).try_cast("int")
+    return F.regexp_extract(header, rf"^{prefix}([0-9]+)", 1).try_cast("bigint")
 
 
 def narrow_id(header: Column) -> Column:
     """Area number from characters two and three only, as in the older layout."""
-    return F.replace(F.substring(header, 2, 2), F.lit("_"), F.lit("")).try_cast("int")
+    return F.replace(F.substring(header, 2, 2), F.lit("_"), F.lit("")).try_cast("bigint")
 
 
 def explode_delim(df: DataFrame, col: str, sep: str, position: str | None = None) -> DataFrame:

@@ -13,6 +13,7 @@ from sheetloom.operators.catalog import apply_schema
 from sheetloom.operators.edits import Reference
 from sheetloom.operators.joins import equi_join, lookup_join, semi_all
 from sheetloom.operators.projection import known_or_null
+from sheetloom.session import staged
 
 
 def _text(*names: str) -> list[tuple[str, T.DataType]]:
@@ -36,8 +37,8 @@ COLUMNS: dict[str, list[tuple[str, T.DataType]]] = {
     "measure_has_stakeholder": _number("measure_id", "stakeholder_id"),
     "area": _number("area_id") + _text("area_name", "area_description", "area_link", "bng_hab_mgt", "bng_hab_creation"),
     "priority": _number("priority_id") + _text("biodiversity_priority", "simplified_biodiversity_priority", "theme"),
-    "species": _number("species_id") + _text(
-        "taxa", "common_name", "assemblage", "species_link", "linnaean_name", "usage_key", "scientific_name", "status",
+    "species": _text("taxa", "common_name", "assemblage", "species_link", "linnaean_name") + _number("species_id") + _text(
+        "usage_key", "scientific_name", "status",
         "kingdom", "phylum", "order", "family", "genus", "species", "kingdom_key", "phylum_key", "class_key",
         "order_key", "family_key", "genus_key", "species_key", "synonym", "class", "accepted_usage_key",
         "verbatim_name",
@@ -99,8 +100,8 @@ REFERENCES = [
 
 
 def dimension(source: DataFrame, col: str, key: str) -> DataFrame:
-    """Distinct values of a column, numbered from 1."""
-    values = source.select(col).where(F.col(col).isNotNull()).distinct()
+    """Distinct values of a column, numbered from 1. They are written before they are counted and numbered."""
+    values = staged(source.select(col).where(F.col(col).isNotNull()).distinct(), key)
     return O.add_id(values, key, [col])
 
 
@@ -116,35 +117,47 @@ def load_core(
 ) -> dict[str, DataFrame]:
     """The tables behind measures, areas, priorities and grants.
 
-    A fact needs its parents; a grant is kept where it exists or is missing. Without ``validate`` the
-    facts are taken as they come, as in the earlier load.
+    A fact needs its parents, and a grant fact its triple; a grant is kept where it exists or is missing.
+    Without ``validate`` the facts are taken as they come, as in the earlier load.
+
+    Every table is written once, as in a database, and later steps read what was written: they know its true size,
+    so small tables are broadcast by the optimiser and facts are dealt by their triple alone.
     """
 
     def shaped(df: DataFrame, name: str) -> DataFrame:
         return apply_schema(df, SCHEMAS[name])
 
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        return staged(df, name.replace("_", "-"))
+
+    # Types and holders hang on the measure alone: their pairs are few and stand for the facts.
+    pairs = kept(source.select("measure_id", "measure_type", "stakeholder").distinct(), "measure_pairs")
+
     tables = {
         "measure": shaped(measures, "measure").distinct(),
         "area": shaped(areas.where(F.col("area_id").isNotNull()), "area").distinct(),
         "priority": shaped(priorities, "priority"),
         "grant_table": shaped(grants.where(F.col("grant_id").isNotNull()), "grant_table").distinct(),
-        "measure_type": dimension(source, "measure_type", "measure_type_id").select("measure_type_id", "measure_type"),
-        "stakeholder": dimension(source, "stakeholder", "stakeholder_id").select("stakeholder_id", "stakeholder"),
+        "measure_type": dimension(pairs, "measure_type", "measure_type_id").select("measure_type_id", "measure_type"),
+        "stakeholder": dimension(pairs, "stakeholder", "stakeholder_id").select("stakeholder_id", "stakeholder"),
     }
-    tables["measure_has_type"] = bridge(
-        source, tables["measure"], tables["measure_type"], "measure_id", "measure_type", "measure_type_id"
-    )
-    tables["measure_has_stakeholder"] = bridge(
-        source, tables["measure"], tables["stakeholder"], "measure_id", "stakeholder", "stakeholder_id"
-    )
+    tables = {name: kept(df, name) for name, df in tables.items()}
+    tables["measure_has_type"] = kept(bridge(
+        pairs, tables["measure"], tables["measure_type"], "measure_id", "measure_type", "measure_type_id"
+    ), "measure_has_type")
+    tables["measure_has_stakeholder"] = kept(bridge(
+        pairs, tables["measure"], tables["stakeholder"], "measure_id", "stakeholder", "stakeholder_id"
+    ), "measure_has_stakeholder")
     keys = ["measure_id", "area_id", "priority_id"]
     rows = shaped(source, "measure_area_priority_grant").dropna(subset=keys)
+    facts = known_or_null(rows.distinct(), "grant_id", tables["grant_table"])
     triples = rows.select(*keys).distinct()
     if validate:
-        triples = semi_all(triples, [(tables["measure"], ["measure_id"]), (tables["area"], ["area_id"]),
-                                     (tables["priority"], ["priority_id"])])
-    tables["measure_area_priority"] = triples
-    tables["measure_area_priority_grant"] = known_or_null(rows.distinct(), "grant_id", tables["grant_table"])
+        # What holds for a triple holds for its grant facts, so both are tested against the same parents.
+        parents = [(tables["measure"], ["measure_id"]), (tables["area"], ["area_id"]), (tables["priority"], ["priority_id"])]
+        triples, facts = semi_all(triples, parents), semi_all(facts, parents)
+    tables["measure_area_priority"] = kept(triples, "measure_area_priority")
+    tables["measure_area_priority_grant"] = kept(facts, "measure_area_priority_grant")
     return tables
 
 
@@ -167,7 +180,7 @@ def load_rest(core: Mapping[str, DataFrame], published: Mapping[str, DataFrame],
             for parent, cols in PARENTS.get(name, {}).items():
                 if name in tables and parent in tables:
                     tables[name] = equi_join(tables[name], tables[parent], list(cols), "left_semi")
-    return tables
+    return {name: df if name in core else staged(df, name.replace("_", "-")) for name, df in tables.items()}
 
 
 Join = Callable[..., DataFrame]

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from sheetloom.functions.geometry import polygon_literal
 from sheetloom.functions.names import clean_names
@@ -21,7 +20,7 @@ def region_occurrences(archive: DataFrame, keys: DataFrame, region_wkt: str, fir
     """Published columns, under cleaned names, of the occurrences of listed taxa in a region and years."""
     region = archive.sparkSession.range(1).select(polygon_literal(region_wkt).alias("polygon"))
     found = S.near_occurrences(
-        archive, region, keys, "decimalLongitude", "decimalLatitude", F.col("year"), first, last, "taxonKey"
+        archive, region, keys, "decimalLongitude", "decimalLatitude", "year", first, last, "taxonKey"
     )
     located = found.withColumnsRenamed({"decimalLatitude": "latitude", "decimalLongitude": "longitude"})
     return located.select(*PUBLISHED).toDF(*clean_names(PUBLISHED))

@@ -24,7 +24,7 @@ def priority_areas(sheet: DataFrame, names: Sequence[str], area_ids: Sequence[in
     body = sheet.where(F.col(cols[0]) != "Theme").select(*cols, "_ord")
     renamed = body.toDF(*names, *[f"x{i}" for i in area_ids], "_ord")
     long = matrix_to_bridge(renamed, [*names, "_ord"], [f"x{i}" for i in area_ids], "area_id", marks,
-                            lambda header: F.substring(header, 2, 10).cast("int"), position="_at")
+                            lambda header: F.substring(header, 2, 10).cast("bigint"), position="_at")
     return P.across(long, P.columns_where(long, suffix="_id"), lambda c, name: P.as_integer(c))
 
 

@@ -34,12 +34,15 @@ def bulk_load(
 ) -> tuple[bool, DataFrame]:
     """Write all tables, check them, and mark the version as published only if every rule holds.
 
-    Checks read the written files, so what was checked is what is published. A version without its mark
+    A version that is published already is refused. Checks read the written files, so what was checked is what is published. A version without its mark
     is never read, so a failed or interrupted load leaves the earlier version in force.
     """
+    if version in published_versions(spark, root):
+        raise ValueError(f"version {version} is published already")
     folder = f"{root}/v{version:08d}"
     for name, table in tables.items():
-        table.write.parquet(f"{folder}/{name}")
+        # An earlier attempt at this version that was refused or broke off is written over; nobody reads it.
+        table.write.mode("overwrite").parquet(f"{folder}/{name}")
     written = {name: spark.read.parquet(f"{folder}/{name}") for name in tables}
     report_path = scratch_path(spark, "load-report")
     load_report(written, primary, references, required).write.parquet(report_path)
@@ -50,12 +53,16 @@ def bulk_load(
     return sound, report
 
 
-def current_version(spark: SparkSession, root: str) -> int | None:
-    """Largest published version below the root."""
+def published_versions(spark: SparkSession, root: str) -> list[int]:
+    """Versions below the root that carry the mark."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/v*/{MARK}/_SUCCESS")
     found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
-    versions = [int(f.getPath().getParent().getParent().getName()[1:]) for f in (found or [])]
-    return max(versions, default=None)
+    return sorted(int(f.getPath().getParent().getParent().getName()[1:]) for f in (found or []))
+
+
+def current_version(spark: SparkSession, root: str) -> int | None:
+    """Largest published version below the root."""
+    return max(published_versions(spark, root), default=None)
 
 
 def read_published(spark: SparkSession, root: str, name: str) -> DataFrame:

@@ -13,14 +13,16 @@ from sheetloom.functions.names import clean_names
 
 
 def read_delim(
-    spark: SparkSession, path: str, sep: str = ";", schema: T.StructType | str | None = None, decimal_comma: bool = False
+    spark: SparkSession, path: str, sep: str = ";", schema: T.StructType | str | None = None, decimal_comma: bool = False,
+    multi_line: bool = True,
 ) -> DataFrame:
     """Delimited text with a header. Without a schema every column is text, so nothing is scanned twice.
 
     With ``decimal_comma`` the floating-point columns of the schema are read from numbers such as 1,5.
-    Cells may hold line breaks inside quotes.
+    Cells may hold line breaks inside quotes; a file is then one task. Pass ``multi_line=False`` for files without them,
+    which Spark splits.
     """
-    options = {"sep": sep, "header": "true", "multiLine": "true", "quote": '"', "escape": '"', "nullValue": ""}
+    options = {"sep": sep, "header": "true", "multiLine": str(multi_line).lower(), "quote": '"', "escape": '"', "nullValue": ""}
     reader = spark.read.options(**options)
     if schema is None:
         return reader.option("inferSchema", "false").csv(path)
@@ -39,8 +41,8 @@ def read_delim(
     ])
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
-    return read_delim(spark, path, ",", schema)
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None, multi_line: bool = True) -> DataFrame:
+    return read_delim(spark, path, ",", schema, multi_line=multi_line)
 
 
 def read_tsv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
@@ -70,8 +72,12 @@ def pluck(bundle: Mapping[str, DataFrame], name: str) -> DataFrame:
 
 
 def with_order(df: DataFrame, name: str = "_ord") -> DataFrame:
-    """Add a column that follows the order of the lines of a file source."""
-    return df.withColumn(name, F.monotonically_increasing_id())
+    """Add a column that follows the order of the lines of a file source: by file name, place in the file, line.
+
+    Several files are packed into tasks by size, so the running id alone follows the lines of one split only.
+    """
+    place = (F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("line"))
+    return df.withColumn(name, F.struct(*place))
 
 
 def list_files(spark: SparkSession, folder: str, pattern: str = "*", recursive: bool = False) -> DataFrame:

@@ -1,48 +1,63 @@
-"""Pieces of HTML pages as rows. Links, attributes and texts stay on the JVM; tables use a parser."""
+"""Pieces of HTML pages as rows. Links and attributes stay on the JVM; nested elements and tables use a parser."""
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from html.entities import name2codepoint
 from html.parser import HTMLParser
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheetloom.functions.names import clean_names
+from sheetloom.functions.names import clean_name_column, clean_names
 
-# The named character references of HTML that plain text needs most; the ampersand comes last.
-ENTITIES = (
-    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&nbsp;", " "), ("&amp;", "&"),
-)
+# Character references: decimal, hexadecimal or named.
+REFERENCE = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
+
+
+def decoded(text: Column) -> Column:
+    """Text with its character references decoded, each once; unknown ones stay as they are."""
+    # The standard library has the names of HTML 4; the apostrophe came later.
+    names = F.create_map(*[F.lit(x) for name, code in (name2codepoint | {"apos": 0x27}).items() for x in (name, chr(code))])
+
+    def character(ref: Column) -> Column:
+        inner = F.substring(ref, F.lit(2), F.length(ref) - 2)
+        digits = F.substring(inner, F.lit(3), F.length(inner))
+        hexed = F.when(F.lower(F.substring(inner, 2, 1)) == "x", digits).otherwise(F.conv(F.substring(inner, F.lit(2), F.length(inner)), 10, 16))
+        code = F.conv(hexed, 16, 10).cast("long")
+        sound = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+        number = F.when(sound, F.decode(F.unhex(F.lpad(hexed, 8, "0")), "UTF-32")).otherwise(F.lit("\ufffd"))
+        return F.when(inner.startswith("#"), number).otherwise(F.coalesce(F.try_element_at(names, inner), ref))
+
+    found = F.regexp_extract_all(text, F.lit(REFERENCE), F.lit(0))
+    pieces = F.split(text, REFERENCE, -1)
+    joined = F.array_join(F.zip_with(pieces, F.transform(found, character), lambda piece, char: F.concat(piece, F.coalesce(char, F.lit("")))), "")
+    return F.when(F.contains(text, F.lit("&")), joined).otherwise(text)
 
 
 def plain(html: Column) -> Column:
     """Text of a fragment: tags dropped, character references decoded."""
-    text = F.regexp_replace(html, r"(?s)<!--.*?-->|<[^>]*>", "")
-    for entity, char in ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return text
+    return decoded(F.regexp_replace(html, r"(?s)<!--.*?-->|<[^>]*>", ""))
 
 
 def attribute(tag: Column, name: str) -> Column:
     """Value of an attribute in an opening tag, quoted or bare; null where the tag lacks it."""
     pattern = rf"""(?is)^<[^>]*?\s{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
     found = F.concat(*[F.regexp_extract(tag, pattern, i) for i in (1, 2, 3)])
-    decoded = found
-    for entity, char in ENTITIES:
-        decoded = F.replace(decoded, F.lit(entity), F.lit(char))
-    return F.when(tag.rlike(pattern), decoded)
+    return F.when(tag.rlike(pattern), decoded(found))
 
 
-def _elements(html: Column, tag: str) -> Column:
+def _flat_elements(html: Column, tag: str) -> Column:
+    """Elements that never hold one of their own kind, such as links."""
     return F.regexp_extract_all(html, F.lit(rf"(?is)<{tag}(?:\s[^>]*)?>.*?</{tag}\s*>"), F.lit(0))
 
 
 def extract_links(pages: DataFrame, html: str, keep: list[str]) -> DataFrame:
     """Text and address of every link of every page; a link without address has a null one."""
-    found = pages.select(*keep, F.posexplode(_elements(F.col(html), "a")).alias("position", "_a"))
+    found = pages.select(*keep, F.posexplode(_flat_elements(F.col(html), "a")).alias("position", "_a"))
     return found.select(*keep, "position", plain(F.col("_a")).alias("text"), attribute(F.col("_a"), "href").alias("url"))
 
 
@@ -54,14 +69,72 @@ def extract_attr(pages: DataFrame, html: str, tag: str, attr: str, keep: list[st
 
 
 def extract_text(pages: DataFrame, html: str, tag: str, cls: str | None, keep: list[str]) -> DataFrame:
-    """Text of every such element, and its first line; with ``cls`` only elements of that class."""
-    found = pages.select(*keep, F.explode(_elements(F.col(html), tag)).alias("_e"))
-    if cls is not None:
-        classes = F.split(attribute(F.col("_e"), "class"), r"\s+")
-        found = found.where(F.array_contains(classes, cls))
-    broken = F.regexp_replace(F.col("_e"), r"(?i)<br\s*/?>", "\n")
-    text = F.trim(plain(broken))
-    return found.select(*keep, text.alias("text"), F.element_at(F.split(text, "\n"), 1).alias("first_line"))
+    """Text of every such element with what it holds, and its first line; with ``cls`` only elements of that class.
+
+    An element inside one of its own kind is an element too, as a parser sees it; the pages stay where they are.
+    """
+    kept = pages.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{html}`").alias("_html"))
+
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pages_of = batch.column("_html").to_pylist()
+            texts = [(i, text) for i, page in enumerate(pages_of) if page is not None for text in _element_texts(page, tag, cls)]
+            at = pa.array([i for i, _ in texts], pa.int64())
+            names = [n for n in batch.schema.names if n != "_html"]
+            yield pa.RecordBatch.from_arrays([*[batch.column(n).take(at) for n in names], pa.array([t for _, t in texts], pa.string())], names=[*names, "text"])
+
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema if f.name != "_html")
+    found = kept.mapInArrow(parse, f"{fields}, text string")
+    return found.select(*keep, "text", F.element_at(F.split("text", "\n"), 1).alias("first_line"))
+
+
+# Elements whose end tag may be left out, and what an open one does not reach out of.
+OPTIONAL_END = {
+    "li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "td": ("table",), "th": ("table",), "tr": ("table",), "p": ("div", "td", "li", "section"),
+}
+
+
+class _Elements(HTMLParser):
+    """Texts of the elements of one kind, in the order in which they open."""
+
+    def __init__(self, tag: str, cls: str | None) -> None:
+        super().__init__(convert_charrefs=True)
+        self.tag, self.cls, self.fence = tag, cls, OPTIONAL_END.get(tag, ())
+        self.texts: list[str | None] = []
+        self.open: list[tuple[int, int]] = []
+        self.depth = 0
+
+    def handle_starttag(self, tag: str, attrs: list) -> None:
+        if tag == "br":
+            self.handle_data("\n")
+        if tag in self.fence:
+            self.depth += 1
+        if tag == self.tag:
+            if self.fence and self.open and self.open[-1][1] == self.depth:
+                self.open.pop()
+            classes = (dict(attrs).get("class") or "").split()
+            self.texts.append("" if self.cls is None or self.cls in classes else None)
+            self.open.append((len(self.texts) - 1, self.depth))
+
+    def handle_endtag(self, tag: str) -> None:
+        if tag == self.tag and self.open:
+            self.open.pop()
+        if tag in self.fence:
+            self.depth -= 1
+            while self.open and self.open[-1][1] > self.depth:
+                self.open.pop()
+
+    def handle_data(self, data: str) -> None:
+        for place, _ in self.open:
+            if self.texts[place] is not None:
+                self.texts[place] += data
+
+
+def _element_texts(html: str, tag: str, cls: str | None) -> list[str]:
+    parser = _Elements(tag, cls)
+    parser.feed(html)
+    parser.close()
+    return [text.strip(" ") for text in parser.texts if text is not None]
 
 
 class _Tables(HTMLParser):
@@ -134,6 +207,22 @@ def table_columns(rows: DataFrame, names: list[str], key: str) -> DataFrame:
     return body.select(key, *[F.element_at("cells", i).alias(n) for i, n in enumerate(clean_names(names), start=1)])
 
 
+def stacked_tables(rows: DataFrame, key: str, names: list[str]) -> DataFrame:
+    """Body rows of all extracted tables, each under its own header, one below the other.
+
+    ``names`` are the cleaned names wanted; a table without one of them has null there, and further columns are left out.
+    Rows meet their header in a join on page and table, so any number of pages will do.
+    """
+    headers = rows.where(F.col("row") == 0).select(F.col(key).alias("_key"), F.col("table").alias("_table"), F.transform("cells", clean_name_column).alias("_names"))
+    body = rows.where(F.col("row") > 0).join(headers, (F.col(key) == F.col("_key")) & (F.col("table") == F.col("_table")))
+
+    def cell(name: str) -> Column:
+        place = F.array_position("_names", F.lit(name)).cast("int")
+        return F.when(place > 0, F.try_element_at("cells", place)).alias(name)
+
+    return body.select(key, "table", "row", *[cell(n) for n in names])
+
+
 def page_urls(spark: SparkSession, base: str, pages: int) -> DataFrame:
     """Addresses of a listing: the first page bare, the others with their number."""
     number = F.col("id").cast("string")

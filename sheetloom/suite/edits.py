@@ -81,7 +81,7 @@ RECORD = json.dumps({"type": "object", "properties": {"fields": {"type": "object
 
 
 @query("schema_conform", """
-SELECT CAST(p_partkey AS INT) AS p_partkey, p_name, p_size, CAST(p_retailprice AS VARCHAR) AS p_retailprice, CAST(NULL AS VARCHAR) AS p_comment
+SELECT p_partkey, p_name, CAST(p_size AS BIGINT) AS p_size, CAST(p_retailprice AS VARCHAR) AS p_retailprice, CAST(NULL AS VARCHAR) AS p_comment
 FROM part""")
 def schema_conform(t: Tables) -> DataFrame:
     return K.conform(t.part, K.record_schema(RECORD))
@@ -89,7 +89,7 @@ def schema_conform(t: Tables) -> DataFrame:
 
 @query("schema_report", """
 SELECT column_name, wanted, found, state, CASE WHEN found IS NOT NULL THEN (SELECT count(*) - count(p_partkey) FROM part) END AS nulls FROM (VALUES
-  ('p_partkey', 'int', 'bigint', 'wrong type'), ('p_name', 'string', 'string', 'ok'), ('p_size', 'int', 'int', 'ok'),
+  ('p_partkey', 'bigint', 'bigint', 'ok'), ('p_name', 'string', 'string', 'ok'), ('p_size', 'bigint', 'int', 'wrong type'),
   ('p_retailprice', 'string', 'double', 'wrong type'), ('p_comment', 'string', NULL, 'missing'),
   ('p_brand', NULL, 'string', 'extra'), ('p_type', NULL, 'string', 'extra')) v(column_name, wanted, found, state)""")
 def schema_report(t: Tables) -> DataFrame:

@@ -45,14 +45,14 @@ dim AS (SELECT row_number() OVER (ORDER BY f) AS habitat_id, habitat FROM firsts
 
 
 @query("habitat_texts", f"""
-WITH {HABITATS} SELECT area_id, string_agg(habitat, ':' || chr(10) ORDER BY o) AS bng_hab_creation FROM rows WHERE s = 1 GROUP BY area_id""")
+WITH {HABITATS} SELECT area_id, string_agg(habitat, ':' || chr(10) ORDER BY o) AS bng_hab_creation FROM rows WHERE s = 1 GROUP BY area_id""", wide=("area_id",))
 def habitat_texts(t: Tables) -> DataFrame:
     return PH.habitat_texts(PH.habitat_rows(habitat_sheet(t, "p_retailprice <= 1000")), "bng_hab_creation")
 
 
 @query("habitats", f"""
 WITH {HABITATS}
-SELECT CASE s WHEN 1 THEN 'creation' ELSE 'management' END AS sheet, area_id, habitat_id, habitat FROM rows JOIN dim USING (habitat)""")
+SELECT CASE s WHEN 1 THEN 'creation' ELSE 'management' END AS sheet, area_id, habitat_id, habitat FROM rows JOIN dim USING (habitat)""", wide=("area_id",))
 def habitats(t: Tables) -> DataFrame:
     creation = PH.habitat_rows(habitat_sheet(t, "p_retailprice <= 1000"))
     management = PH.habitat_rows(habitat_sheet(t, "p_retailprice > 1000"))
@@ -83,7 +83,7 @@ s AS (SELECT area_id, area_name, unnest([1, 2, 3]) AS pos, unnest([c_mktsegment,
 
 
 @query("area_funding_schemes", f"""
-WITH {AREAS} SELECT row_number() OVER (ORDER BY area_id, pos) AS id, CAST(area_id AS INT) AS area_id, area_name, scheme AS local_funding_schemes FROM s""")
+WITH {AREAS} SELECT row_number() OVER (ORDER BY area_id, pos) AS id, CAST(area_id AS INT) AS area_id, area_name, scheme AS local_funding_schemes FROM s""", wide=("area_id",))
 def area_funding_schemes(t: Tables) -> DataFrame:
     return PA.funding_schemes(PA.parsed_areas(area_sheet(t)))
 
@@ -92,7 +92,7 @@ def area_funding_schemes(t: Tables) -> DataFrame:
 WITH {AREAS}, c AS (SELECT area_id, string_agg(scheme, chr(10) ORDER BY pos) AS schemes FROM s GROUP BY area_id),
 h AS (SELECT c_custkey AS area_id, c_name AS hab FROM customer WHERE c_acctbal > 4000)
 SELECT CAST(a.area_id AS INT) AS area_id, area_name, area_description, area_link, h.hab AS bng_hab_mgt, h.hab AS bng_hab_creation, c.schemes AS local_funding_schemes
-FROM a LEFT JOIN h ON a.area_id = h.area_id LEFT JOIN c ON a.area_id = c.area_id""")
+FROM a LEFT JOIN h ON a.area_id = h.area_id LEFT JOIN c ON a.area_id = c.area_id""", wide=("area_id",))
 def areas(t: Tables) -> DataFrame:
     parsed = PA.parsed_areas(area_sheet(t))
     texts = t.customer.where("c_acctbal > 4000").select(F.col("c_custkey").cast("int").alias("area_id"), F.col("c_name").alias("hab"))
@@ -106,7 +106,7 @@ def areas(t: Tables) -> DataFrame:
 
 @query("priorities", """
 SELECT p_partkey + 1 AS _ord, p_type AS theme, p_name AS biodiversity_priority,
-       CASE WHEN p_size > 40 THEN NULL ELSE CAST(p_partkey AS INT) END AS priority_id FROM part""")
+       CASE WHEN p_size > 40 THEN NULL ELSE CAST(p_partkey AS INT) END AS priority_id FROM part""", wide=("priority_id",))
 def priorities(t: Tables) -> DataFrame:
     code = F.when(F.col("p_size") > 40, F.lit("none")).otherwise(text("p_partkey"))
     rows = t.part.select(F.col("p_type").alias("x1"), code.alias("x2"), F.col("p_name").alias("x3"), (F.col("p_partkey") + 1).alias("_ord"))
@@ -116,7 +116,7 @@ def priorities(t: Tables) -> DataFrame:
 
 @query("priority_areas", """
 WITH m AS (SELECT l_partkey AS priority_id, l_linenumber AS area_id FROM lineitem GROUP BY ALL)
-SELECT row_number() OVER (ORDER BY priority_id, area_id) AS id, CAST(priority_id AS INT) AS priority_id, area_id FROM m""")
+SELECT row_number() OVER (ORDER BY priority_id, area_id) AS id, CAST(priority_id AS INT) AS priority_id, area_id FROM m""", wide=("priority_id", "area_id"))
 def priority_areas(t: Tables) -> DataFrame:
     wide = line_matrix(t).join(t.part.select("p_partkey", "p_type", "p_name"), "p_partkey")
     sheet = wide.select(F.col("p_type").alias("x1"), text("p_partkey").alias("x2"), F.col("p_name").alias("x3"),
@@ -178,7 +178,7 @@ def split_measures(t: Tables) -> DataFrame:
 
 @query("area_measures_split", f"""
 WITH {MEASURES} SELECT measure_id, CAST(priority_id AS INT) AS priority_id, measure, core_supplementary, area_id, link_to_further_guidance,
-  grant_id, stakeholder, measure_type FROM split""")
+  grant_id, stakeholder, measure_type FROM split""", wide=("priority_id", "area_id"))
 def area_measures_split(t: Tables) -> DataFrame:
     return split_measures(t)
 
@@ -196,7 +196,7 @@ wide AS (SELECT s.*, ar.area_name, pr.biodiversity_priority, gr.grant_name, gr.u
 
 @query("area_measures", f"""
 WITH {WIDE} SELECT core_supplementary, measure_type, stakeholder, area_name, area_id, grant_id, CAST(priority_id AS INT) AS priority_id,
-  biodiversity_priority, measure, concise_measure, measure_id, link_to_further_guidance, grant_name, url FROM wide""")
+  biodiversity_priority, measure, concise_measure, measure_id, link_to_further_guidance, grant_name, url FROM wide""", wide=("area_id", "priority_id"))
 def area_measures(t: Tables) -> DataFrame:
     brand = F.col("p_brand")
     grants = t.part.select(brand.alias("grant_id")).distinct().select(
@@ -229,7 +229,7 @@ def two_scheme_grants(t: Tables) -> DataFrame:
 @query("linked_grants", f"""
 WITH {MEASURES}, gr AS (SELECT DISTINCT p_brand AS grant_id, CASE WHEN p_brand > 'Brand#2' THEN 'https://g.example/' || p_brand END AS url FROM part)
 SELECT measure_id, area_id, string_agg(coalesce(url, 'NA'), chr(10) ORDER BY s.grant_id NULLS LAST) AS grant_link
-FROM (SELECT DISTINCT measure_id, area_id, grant_id FROM split) s LEFT JOIN gr ON s.grant_id = gr.grant_id GROUP BY ALL""")
+FROM (SELECT DISTINCT measure_id, area_id, grant_id FROM split) s LEFT JOIN gr ON s.grant_id = gr.grant_id GROUP BY ALL""", wide=("area_id",))
 def linked_grants(t: Tables) -> DataFrame:
     grants = t.part.select(F.col("p_brand").alias("grant_id")).distinct().withColumn(
         "url", F.when(F.col("grant_id") > "Brand#2", F.concat(F.lit("https://g.example/"), F.col("grant_id")))
@@ -247,7 +247,7 @@ z AS (SELECT *, unnest(['Farmers', 'Owners']) AS stakeholder_type, unnest(CASE W
 p AS (SELECT *, unnest([p_size, p_size + 1]) AS priority_id FROM z),
 a AS (SELECT *, unnest([1, 2]) AS area_id FROM p)
 SELECT measure_id, measure, ambition, stakeholder_type, CAST(area_id AS INT) AS area_id, CAST(priority_id AS INT) AS priority_id, 'countryside_stewardship' AS grant_scheme, cs AS link_or_code FROM a
-UNION ALL SELECT measure_id, measure, ambition, stakeholder_type, CAST(area_id AS INT), CAST(priority_id AS INT), 'sfi', p_brand FROM a WHERE sheet = 1""")
+UNION ALL SELECT measure_id, measure, ambition, stakeholder_type, CAST(area_id AS INT), CAST(priority_id AS INT), 'sfi', p_brand FROM a WHERE sheet = 1""", wide=("area_id", "priority_id"))
 def older_measures(t: Tables) -> DataFrame:
     stewardship = F.when(F.col("size") > 20, F.lit("AB1 and text; CD22")).otherwise("see text")
 
@@ -347,7 +347,7 @@ def species_query(t: Tables) -> DataFrame:
 
 
 @query("species_priority", f"""
-WITH {SPECIES} SELECT row_number() OVER (ORDER BY species_id, pos) AS id, CAST(priority_id AS INT) AS priority_id, species_id FROM spp""")
+WITH {SPECIES} SELECT row_number() OVER (ORDER BY species_id, pos) AS id, CAST(priority_id AS INT) AS priority_id, species_id FROM spp""", wide=("priority_id",))
 def species_priority(t: Tables) -> DataFrame:
     return PS.species_priority(species_sheet(t))
 
@@ -361,7 +361,7 @@ def species_area_sheet(t: Tables) -> DataFrame:
 @query("species_area", f"""
 WITH {SPECIES} SELECT row_number() OVER (ORDER BY a.area_id, a.species_id) AS id, CAST(a.species_id AS INT) AS species_id, a.area_id,
   'Area ' || a.area_id AS area_name, sp.common_name, sp.scientific_name, sp.gbif_species_url, sp.species_link, sp.image_url
-FROM spa a LEFT JOIN sp ON a.species_id = sp.species_id""")
+FROM spa a LEFT JOIN sp ON a.species_id = sp.species_id""", wide=("species_id", "area_id"))
 def species_area(t: Tables) -> DataFrame:
     bridge = PS.species_area(species_area_sheet(t), 0)
     names = t.lineitem.select(F.col("l_linenumber").alias("area_id")).distinct().withColumn("area_name", F.concat(F.lit("Area "), text("area_id")))
@@ -370,7 +370,7 @@ def species_area(t: Tables) -> DataFrame:
 
 @query("species_priority_area", f"""
 WITH {SPECIES} SELECT sp.species_id, sp.common_name, CAST(p.priority_id AS INT) AS priority_id, a.area_id FROM sp
-LEFT JOIN spp p ON sp.species_id = p.species_id LEFT JOIN spa a ON sp.species_id = a.species_id""")
+LEFT JOIN spp p ON sp.species_id = p.species_id LEFT JOIN spa a ON sp.species_id = a.species_id""", wide=("priority_id", "area_id"))
 def species_priority_area(t: Tables) -> DataFrame:
     codes = t.part.select(F.col("p_size").alias("priority_id")).distinct().withColumn("theme", F.lit("t"))
     lines = t.lineitem.select(F.col("l_linenumber").alias("area_id")).distinct().withColumn("area_name", text("area_id"))
@@ -481,7 +481,7 @@ def occurrences(t: Tables) -> DataFrame:
 @query("keys_without_files", r"""
 WITH f AS (SELECT c_name AS folder FROM customer)
 SELECT CAST(nullif(regexp_extract(folder, '[0-9]{7}$'), '') AS INT) AS usage_key FROM f
-WHERE folder NOT IN (SELECT c_name FROM customer JOIN orders ON c_custkey = o_custkey WHERE o_orderstatus = 'P')""")
+WHERE folder NOT IN (SELECT c_name FROM customer JOIN orders ON c_custkey = o_custkey WHERE o_orderstatus = 'P')""", wide=("usage_key",))
 def keys_without_files(t: Tables) -> DataFrame:
     partial = t.orders.where("o_orderstatus = 'P'")
     files = t.customer.join(partial, F.col("c_custkey") == F.col("o_custkey")).select(F.col("c_name").alias("folder"))

@@ -84,7 +84,7 @@ def priority_matrix(t: Tables) -> DataFrame:
 
 
 @query("header_lookup", """
-SELECT DISTINCT o_custkey, CAST(o_orderpriority[1] AS INT) AS priority_id FROM orders""")
+SELECT DISTINCT o_custkey, CAST(o_orderpriority[1] AS INT) AS priority_id FROM orders""", wide=("priority_id",))
 def header_lookup(t: Tables) -> DataFrame:
     matrix = priority_matrix(t)
     bridge = R.matrix_to_bridge(matrix, ["o_custkey"], matrix.columns[1:], "header")

@@ -80,9 +80,9 @@ def promote_header(t: Tables) -> DataFrame:
 
 
 @query("try_casts", """
-SELECT o_orderkey, TRY_CAST(string_split(o_orderpriority, '-')[1] AS INT) AS priority_id,
-       TRY_CAST(string_split(o_orderpriority, '-')[2] AS INT) AS not_a_number,
-       CASE WHEN regexp_matches(o_orderpriority, '^[0-9]+$') THEN TRY_CAST(o_orderpriority AS INT) END AS whole
+SELECT o_orderkey, TRY_CAST(string_split(o_orderpriority, '-')[1] AS BIGINT) AS priority_id,
+       TRY_CAST(string_split(o_orderpriority, '-')[2] AS BIGINT) AS not_a_number,
+       CASE WHEN regexp_matches(o_orderpriority, '^[0-9]+$') THEN TRY_CAST(o_orderpriority AS BIGINT) END AS whole
 FROM orders""")
 def try_casts(t: Tables) -> DataFrame:
     return t.orders.select(
@@ -175,7 +175,7 @@ def occ_predicate(t: Tables) -> DataFrame:
     )
     region = t.spark.range(1).select(G.polygon_literal(REGION).alias("polygon"))
     keys = points.where(F.col("event_type").isin("view", "click")).select("event_type").distinct()
-    found = S.near_occurrences(points, region, keys, "x", "y", F.year("ts"), 2019, 2024, "event_type")
+    found = S.near_occurrences(points, region, keys, "x", "y", "ts", 2019, 2024, "event_type")
     return found.select("event_id", "user_id", "x", "y")
 
 

@@ -26,15 +26,19 @@ class Tables:
         return f"{self.folder}/{name}.parquet"
 
 
-def query(name: str, sql: str | None = None) -> Callable[[Callable[[Tables], DataFrame]], Callable[[Tables], DataFrame]]:
-    """Register a function from tables to a result, with its equivalent SQL where SQL can express it."""
+def query(name: str, sql: str | None = None, wide: tuple[str, ...] = ()) -> Callable[[Callable[[Tables], DataFrame]], Callable[[Tables], DataFrame]]:
+    """Register a function from tables to a result, with its equivalent SQL where SQL can express it.
+
+    ``wide``: columns that hold ids read from texts or headers, which are 64 bits wide whatever the SQL counts with.
+    """
 
     def register(build: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
         if name in QUERIES:
             raise ValueError(f"query {name!r} is registered twice")
         QUERIES[name] = lambda spark, folder: build(Tables(spark, folder))
         if sql is not None:
-            SQL[name] = sql
+            casts = ", ".join(f"CAST({c} AS BIGINT) AS {c}" for c in wide)
+            SQL[name] = f"SELECT * REPLACE ({casts}) FROM ({sql})" if wide else sql
         return build
 
     return register

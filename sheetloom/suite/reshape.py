@@ -33,7 +33,7 @@ def r_melt_nulls(t: Tables) -> DataFrame:
 
 
 @query("r_matrix", """
-SELECT DISTINCT o_custkey, CAST(o_orderpriority[1] AS INT) AS area_id FROM orders""")
+SELECT DISTINCT o_custkey, CAST(o_orderpriority[1] AS INT) AS area_id FROM orders""", wide=("area_id",))
 def r_matrix(t: Tables) -> DataFrame:
     matrix = priority_matrix(t)
     return R.matrix_to_bridge(matrix, ["o_custkey"], matrix.columns[1:], "area_id", header_id=R.prefixed_id)
