@@ -7,8 +7,10 @@ of those below it, half and half in probability; the weights so found mix the es
 A node that training never met leaves the prediction to the deepest one it did meet.
 
 The unit of work is the distinct string of DEPTH + 1 bytes: counting, weighting and mixing are groupings and joins over
-them. Texts are dealt into chunks of some megabytes; a chunk lists its distinct strings and words, these are joined with
-their values, and chunk and values meet again. Nothing whole is broadcast, so the tree may grow with the corpus.
+them. Texts are written once in chunks of some megabytes, as they are read, bucketed by chunk; a chunk lists its distinct
+strings and words, in a table bucketed by them, where they are counted and joined with their values without another
+shuffle; values then meet the texts of their chunk. Nothing whole is broadcast, so the tree may grow with the corpus.
+Words that one chunk alone holds are counted there and not sent back.
 
 Defined results: a null text is empty; A-Z are lower-cased; a text ends with the byte 0xFF, which UTF-8 never uses, and
 starts after DEPTH of them. An empty text scores its end. A null doc_id is in training. Without training texts each bit
@@ -22,14 +24,20 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sheetloom.llm.common import partitions
-from sheetloom.session import staged
+from sheetloom.session import scratch_path, staged
 
 DEPTH = 4
-CHUNK_BYTES = 24 << 20
+#: Context bytes that the strings of a subtree share, and the strings that meet in a task, about.
+TOP = 3
+STRINGS = 400_000
+#: Bytes of text that a task lists at once, about, and the rows of a chunk.
+CHUNK_BYTES = 40 << 20
+CHUNK_ROWS = 1 << 14
 END = 0xFF
 HELD_OUT = (7, 2)
 
@@ -101,83 +109,176 @@ def _listing(depth: int):
         times = np.array([words[True][w] for w in names], np.int64)
         size = len(found) + len(names)
         return pa.table({
-            "chunk": np.full(size, table.column("chunk")[0].as_py(), np.int32), "kind": np.repeat(np.array([0, 1], np.int8), [len(found), len(names)]),
+            "chunk": np.full(size, table.column("chunk")[0].as_py(), np.int64), "kind": np.repeat(np.array([0, 1], np.int8), [len(found), len(names)]),
             "key": pa.concat_arrays([_eight(found), pa.array(names, pa.binary())]), "n": np.concatenate((n, times)),
         })
 
     return distinct
 
 
-def tree(strings: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """Nodes with the probability of a one: ``depth``, ``node`` (context and bits so far as one number), ``one``.
+def _log_beta(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
+    """ln of the Krichevsky-Trofimov probability of so many zeros and ones, as log_gamma() has it for columns."""
 
-    ``strings`` has ``key`` (a string of depth + 1 bytes as a number) and ``n`` (times in training, above 0).
+    def log_gamma_of(x: np.ndarray) -> np.ndarray:
+        z = x + 6
+        steps = x * (x + 1) * (x + 2) * (x + 3) * (x + 4) * (x + 5)
+        return (z - 0.5) * np.log(z) - z + 0.5 * math.log(2 * math.pi) + 1 / (12 * z) - 1 / (360 * z**3) + 1 / (1260 * z**5) - np.log(steps)
+
+    return log_gamma_of(zeros + 0.5) + log_gamma_of(ones + 0.5) - log_gamma_of(zeros + ones + 1) - math.log(math.pi)
+
+
+def _bit(key: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The bits of the last byte before bit k, behind a one, and bit k itself."""
+    byte = key & 255
+    return (1 << k) | (byte >> (8 - k)), (byte >> (7 - k)) & 1
+
+
+def _parent(node: np.ndarray, d: int) -> np.ndarray:
+    """The node of depth d - 1 above one of depth d: the byte that lies farthest back is dropped."""
+    return node & ((1 << (8 * d)) - 1)
+
+
+def _climb(key: np.ndarray, n: np.ndarray, k: int, depth: int, top: int) -> tuple[list[tuple], np.ndarray]:
+    """Nodes for bit k from the deepest level up to ``top``: (node, zeros, ones, own, below) each, and the top's weighted value."""
+    prefix, bit = _bit(key, k)
+    nodes, at = np.unique(((key >> 8) << 8) | prefix, return_inverse=True)
+    zeros, ones = np.bincount(at, n * (1 - bit), len(nodes)), np.bincount(at, n * bit, len(nodes))
+    levels, below, weighted = [], None, np.zeros(0)
+    for d in range(depth, top - 1, -1):
+        own = _log_beta(zeros, ones)
+        weighted = own if below is None else np.logaddexp(own, below) - math.log(2)
+        levels.append((nodes, zeros, ones, own, own if below is None else below))
+        if d > top:
+            nodes, at = np.unique(_parent(nodes, d), return_inverse=True)
+            zeros, ones, below = (np.bincount(at, x, len(nodes)) for x in (zeros, ones, weighted))
+    return levels, weighted
+
+
+def _numbers(table: pa.Table, name: str) -> np.ndarray:
+    return table.column(name).to_numpy()
+
+
+def _tops(depth: int, top: int):
+    """For strings that share their last ``top`` context bytes: the nodes of that depth, the subtrees below summed up."""
+
+    def climb(table: pa.Table) -> pa.Table:
+        key, n = _numbers(table, "key"), _numbers(table, "n")
+        out = []
+        for k in range(8):
+            levels, weighted = _climb(key, n, k, depth, top)
+            out.append((*levels[-1][:3], weighted))
+        node, zeros, ones, weighted = (np.concatenate(x) for x in zip(*out, strict=True))
+        return pa.table({"node": node.astype(np.int64), "zeros": zeros.astype(float), "ones": ones.astype(float), "weighted": weighted})
+
+    return climb
+
+
+def _codes(depth: int, top: int):
+    """For the same strings, and what lies above their top nodes: the log10 probability of the bits that the subtrees know.
+
+    ``miss`` lists the other bits, whose nodes are above.
     """
-    byte = F.col("key").bitwiseAND(F.lit(255))
-    bits = F.array(*[
-        F.struct(F.shiftright(byte, 8 - k).bitwiseOR(F.lit(1 << k)).alias("prefix"), F.shiftright(byte, 7 - k).bitwiseAND(F.lit(1)).alias("bit"))
-        for k in range(8)
-    ])
-    rows = strings.select(F.shiftrightunsigned("key", 8).alias("context"), "n", F.explode(bits).alias("b"))
-    node = F.shiftleft(F.col("context"), 8).bitwiseOR(F.col("b.prefix"))
-    level = rows.groupBy(node.alias("node")).agg(
-        F.sum(F.when(F.col("b.bit") == 0, F.col("n")).otherwise(0)).cast("double").alias("zeros"),
-        F.sum(F.when(F.col("b.bit") == 1, F.col("n")).otherwise(0)).cast("double").alias("ones"),
-    )
+
+    def descend(strings: pa.Table, above: pa.Table) -> pa.Table:
+        key, n = _numbers(strings, "key"), _numbers(strings, "n")
+        order = np.argsort(_numbers(above, "node"))
+        top_node, top_said, top_left = (_numbers(above, c)[order] for c in ("node", "said", "left"))
+        value, miss = np.zeros(len(key)), np.zeros((len(key), 8), bool)
+        for k in range(8):
+            levels, _ = _climb(key[n > 0], n[n > 0], k, depth, top)
+            known, said, left = {}, None, None
+            for d, (node, zeros, ones, own, below) in zip(range(top, depth + 1), reversed(levels), strict=True):
+                if d == top:
+                    at = np.searchsorted(top_node, node)
+                    said, left = top_said[at], top_left[at]
+                else:
+                    at = np.searchsorted(known[d - 1][0], _parent(node, d))
+                    said, left = said[at], left[at]
+                kt = (ones + 0.5) / (zeros + ones + 1)
+                weight = np.ones(len(node)) if d == depth else 1 / (1 + np.exp(np.minimum(below - own, 700.0)))
+                known[d] = (node, said + left * kt)
+                said, left = said + left * weight * kt, left * (1 - weight)
+            prefix, bit = _bit(key, k)
+            open_ = np.arange(len(key))
+            for d in range(depth, top - 1, -1):
+                node, one = known[d]
+                asked = (((key[open_] >> 8) & ((1 << (8 * d)) - 1)) << 8) | prefix[open_]
+                at = np.minimum(np.searchsorted(node, asked), max(0, len(node) - 1))
+                hit = node[at] == asked if len(node) else np.zeros(len(asked), bool)
+                chance = one[at[hit]]
+                value[open_[hit]] += np.log10(np.where(bit[open_[hit]] == 1, chance, 1 - chance))
+                open_ = open_[~hit]
+            miss[open_, k] = True
+        lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(miss.sum(1)))), pa.int32()), pa.array(np.nonzero(miss)[1], pa.int32()))
+        return pa.table({"key": key, "value": value, "miss": lists})
+
+    return descend
+
+
+def code_lengths(strings: DataFrame, depth: int = DEPTH) -> DataFrame:
+    """``key`` and ``value``, the log10 probability of the last byte of a string after the others.
+
+    ``strings`` has ``key`` (a string of depth + 1 bytes as a number) and ``n`` (times in training). Subtrees below contexts
+    of TOP bytes lie in one task each: with DEPTH 5 such a context has 2^24 strings at most. Levels above are SQL.
+    """
+    top = min(TOP, depth)
+    groups = max(1, -(-strings.count() // STRINGS))
+    context = F.shiftrightunsigned("key", 8).bitwiseAND(F.lit((1 << (8 * top)) - 1))
+    dealt = strings.withColumn("part", F.pmod(F.xxhash64(context), F.lit(groups)).cast("int"))
+    trained = dealt.where("n > 0").groupBy("part").applyInArrow(_tops(depth, top), "node bigint, zeros double, ones double, weighted double")
+    level = staged(trained, f"tree-{top}")
+    # Upwards: a node's own probability and that of the nodes below, half and half, added without leaving the logarithm.
     own = log_gamma(F.col("zeros") + 0.5) + log_gamma(F.col("ones") + 0.5) - log_gamma(F.col("zeros") + F.col("ones") + 1) - math.log(math.pi)
-    levels = []
-    for d in range(depth, -1, -1):
+    levels = {top: level}
+    for d in range(top - 1, -1, -1):
+        parent = F.col("node").bitwiseAND(F.lit((1 << (8 * (d + 1))) - 1))
+        level = level.groupBy(parent.alias("node")).agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("weighted").alias("below"))
         level = level.withColumn("own", own)
-        if d == depth:
-            level = level.withColumn("below", F.col("own"))
-        # Half the node's own probability and half that of the nodes below, added without leaving the logarithm.
-        top, low = F.greatest("own", "below"), F.least("own", "below")
-        both = top + F.log1p(F.exp(low - top)) - math.log(2)
-        level = level.withColumn("weighted", F.col("own") if d == depth else both)
-        level = staged(level.select("node", "zeros", "ones", "own", "below", "weighted"), f"tree-{d}")
-        levels.append(level)
-        if d:
-            # The parent drops the byte that lies farthest back.
-            parent = F.col("node").bitwiseAND(F.lit((1 << (8 * d)) - 1))
-            level = level.groupBy(parent.alias("node")).agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("weighted").alias("below"))
+        high, low = F.greatest("own", "below"), F.least("own", "below")
+        level = level.withColumn("weighted", high + F.log1p(F.exp(low - high)) - math.log(2))
+        level = levels[d] = staged(level, f"tree-{d}")
     # Downwards: what the nodes above say, and the weight they leave to those below.
     kt = (F.col("ones") + 0.5) / (F.col("zeros") + F.col("ones") + 1)
-    out = None
-    for d in range(depth + 1):
-        level = levels[depth - d].withColumn("kt", kt)
-        weight = F.lit(1.0) if d == depth else 1 / (1 + F.exp(F.least(F.col("below") - F.col("own"), F.lit(700.0))))
-        if d == 0:
+    weight = 1 / (1 + F.exp(F.least(F.col("below") - F.col("own"), F.lit(700.0))))
+    upper, down = None, None
+    for d in range(top):
+        level = levels[d].withColumn("kt", kt)
+        if down is None:
             level = level.withColumn("said", F.lit(0.0)).withColumn("left", F.lit(1.0))
         else:
-            above = down.select(F.col("node").alias("_up"), "said", "left")
-            level = level.join(above, F.col("node").bitwiseAND(F.lit((1 << (8 * d)) - 1)) == F.col("_up"))
+            level = _below(level, down, d)
         down = staged(level.select(
             "node", (F.col("said") + F.col("left") * F.col("kt")).alias("one"),
             (F.col("said") + F.col("left") * weight * F.col("kt")).alias("said"), (F.col("left") * (1 - weight)).alias("left"),
         ), f"mix-{d}")
         one = down.select(F.lit(d).alias("depth"), "node", "one")
-        out = one if out is None else out.unionByName(one)
-    return out
-
-
-def code_lengths(strings: DataFrame, nodes: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """``key`` and ``value``, the log10 probability of its last byte after the others.
-
-    Strings met in training (``n`` above 0) have all their deepest nodes; the others ask all depths for the deepest there is.
-    """
-    byte = F.col("key").bitwiseAND(F.lit(255))
-
-    def step(k: int, d: int) -> Column:
-        prefix, bit = F.shiftright(byte, 8 - k).bitwiseOR(F.lit(1 << k)), F.shiftright(byte, 7 - k).bitwiseAND(F.lit(1))
-        context = F.shiftrightunsigned("key", 8).bitwiseAND(F.lit((1 << (8 * d)) - 1))
-        return F.struct(F.lit(k).alias("k"), bit.alias("bit"), F.lit(d).alias("depth"), F.shiftleft(context, 8).bitwiseOR(prefix).alias("node"))
-
-    deepest = F.array(*[step(k, depth) for k in range(8)])
-    every = F.array(*[step(k, d) for k in range(8) for d in range(depth + 1)])
-    asked = strings.select("key", F.explode(F.when(F.col("n") > 0, deepest).otherwise(every)).alias("s")).select("key", "s.*")
-    met = asked.join(nodes, ["depth", "node"], "left").groupBy("key", "k", "bit").agg(F.max(F.when(F.col("one").isNotNull(), F.struct("depth", "one"))).alias("best"))
-    one = F.coalesce(F.col("best.one"), F.lit(0.5))
-    return met.groupBy("key").agg(F.sum(F.log10(F.when(F.col("bit") == 1, one).otherwise(1 - one))).alias("value"))
+        upper = one if upper is None else upper.unionByName(one)
+    tops = levels[top].select("node")
+    tops = _below(tops, down, top).select("node", "said", "left") if top else tops.select("node", F.lit(0.0).alias("said"), F.lit(1.0).alias("left"))
+    tops = tops.withColumn("part", F.pmod(F.xxhash64(F.shiftrightunsigned("node", 8)), F.lit(groups)).cast("int"))
+    coded = staged(dealt.groupBy("part").cogroup(tops.groupBy("part")).applyInArrow(_codes(depth, top), "key bigint, value double, miss array<int>"), "codes")
+    # Bits that no subtree knows ask the levels above for the deepest node there is.
+    prefix = F.expr("shiftright(key & 255, 8 - k) | shiftleft(1L, k)")
+    bit = F.expr("shiftright(key & 255, 7 - k) & 1L")
+
+    def node(d: int) -> Column:
+        return F.shiftleft(F.shiftrightunsigned("key", 8).bitwiseAND(F.lit((1 << (8 * d)) - 1)), 8).bitwiseOR(F.col("prefix"))
+
+    missed = coded.select("key", F.explode("miss").alias("k")).withColumn("prefix", prefix).withColumn("bit", bit)
+    if top:
+        asked = missed.select("key", "k", "bit", F.explode(F.array(*[F.struct(F.lit(d).alias("depth"), node(d).alias("node")) for d in range(top)])).alias("s")).select("key", "k", "bit", "s.*")
+        met = asked.join(upper, ["depth", "node"], "left").groupBy("key", "k", "bit").agg(F.max(F.when(F.col("one").isNotNull(), F.struct("depth", "one"))).alias("best"))
+        found = F.coalesce(F.col("best.one"), F.lit(0.5))
+    else:
+        met, found = missed, F.lit(0.5)
+    rest = met.groupBy("key").agg(F.sum(F.log10(F.when(F.col("bit") == 1, found).otherwise(1 - found))).alias("rest"))
+    return coded.join(rest, "key", "left").select("key", (F.col("value") + F.coalesce("rest", F.lit(0.0))).alias("value"))
+
+
+def _below(level: DataFrame, down: DataFrame, d: int) -> DataFrame:
+    """Nodes of depth d with what the level above says and leaves."""
+    above = down.select(F.col("node").alias("_up"), "said", "left")
+    return level.join(above, F.col("node").bitwiseAND(F.lit((1 << (8 * d)) - 1)) == F.col("_up"))
 
 
 def _scoring(depth: int, base: int, ends: int):
@@ -187,21 +288,28 @@ def _scoring(depth: int, base: int, ends: int):
     """
 
     def score(texts: pa.Table, values: pa.Table) -> pa.Table:
+        if not texts.num_rows:
+            raise ValueError("values without their texts")
         kind, value = values.column("kind").to_numpy(), values.column("value").to_numpy()
         key = values.column("key").combine_chunks()
         grams = np.frombuffer(b"".join(key.filter(pa.array(kind == 0)).to_pylist()), ">u8").astype(np.uint64)
         order = np.argsort(grams)
         grams, chance = grams[order], value[kind == 0][order]
-        count = value[kind == 1]
-        names = key.filter(pa.array(kind == 1)).to_pylist()
-        known, logs = set(n for n, c in zip(names, count, strict=True) if c > 0), dict(zip(names, np.log10((count + 1) / base).tolist(), strict=True))
-        end = math.log10((ends + 1) / base)
+        data = [_lower(t) for t in texts.column("text").to_pylist()]
+        # Words that are nowhere else have their counts here.
+        counts: Counter = Counter()
+        for t, learn in zip(data, texts.column("train").to_pylist(), strict=True):
+            if learn:
+                counts.update(t.split())
+        counts.update(dict.fromkeys(names := key.filter(pa.array(kind == 1)).to_pylist(), 0))
+        counts |= dict(zip(names, value[kind == 1].astype(np.int64).tolist(), strict=True))
+        logs = {w: math.log10((c + 1) / base) for w, c in counts.items()}
+        unseen, end = math.log10(1 / base), math.log10((ends + 1) / base)
         # A direct table finds most strings in one step; those that share a place are searched for.
         bits = max(10, len(grams).bit_length() + 2)
         factor, shift = np.uint64(0x9E3779B97F4A7C15), np.uint64(64 - bits)
         table = np.zeros(1 << bits, np.int32)
         table[(grams * factor) >> shift] = np.arange(len(grams), dtype=np.int32)
-        data = [_lower(t) for t in texts.column("text").to_pylist()]
         sums = []
         for part in _slices(data, 2 << 20):
             asked, sizes = _strings(part, depth)
@@ -209,41 +317,55 @@ def _scoring(depth: int, base: int, ends: int):
             wrong = np.flatnonzero(grams[at] != asked)
             at[wrong] = np.searchsorted(grams, asked[wrong])
             sums.append(np.add.reduceat(chance[at], np.cumsum(sizes) - sizes))
-        rows = [t.split() for t in data]
+        words = []
+        for t in data:
+            found = [logs.get(w, unseen) for w in t.split()]
+            words.append((len(found) + 1, sum(x > unseen for x in found) + (ends > 0), math.fsum(found) + end))
+        n_tokens, n_known, base_scores = zip(*words, strict=True)
         return pa.table({
-            "doc_id": texts.column("doc_id"), "held_out": texts.column("held_out"),
-            "n_tokens": pa.array([len(r) + 1 for r in rows], pa.int64()),
-            "n_known": pa.array([sum(map(known.__contains__, r)) + (ends > 0) for r in rows], pa.int64()),
-            "base_score": pa.array([math.fsum(map(logs.__getitem__, r)) + end for r in rows], pa.float64()),
-            "score": pa.array(np.concatenate(sums) if sums else np.zeros(0)),
+            "doc_id": texts.column("doc_id"), "held_out": pc.invert(texts.column("train")), "n_tokens": pa.array(n_tokens, pa.int64()),
+            "n_known": pa.array(n_known, pa.int64()), "base_score": pa.array(base_scores, pa.float64()), "score": pa.array(np.concatenate(sums)),
         })
 
     return score
 
 
+def _bucketed(df: DataFrame, key: str) -> DataFrame:
+    """The table written once, bucketed by ``key``: grouping by it or joining on it then takes no shuffle."""
+    spark = df.sparkSession
+    path = scratch_path(spark, key)
+    name = "ctw_" + path.rpartition("-")[2]
+    df.write.format("parquet").option("path", path).option("compression", "zstd").bucketBy(partitions(spark), key).saveAsTable(name)
+    return spark.table(name)
+
+
 def scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", depth: int = DEPTH, held_out: tuple[int, int] = HELD_OUT) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for each row."""
     spark = docs.sparkSession
     ident = F.col(f"`{doc_id}`")
     out = F.coalesce(F.crc32(ident.cast("string")) % held_out[0] == held_out[1], F.lit(False))
     body = F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary")
-    rows = docs.select(ident.alias("doc_id"), out.alias("held_out"), (~out).alias("train"), body.alias("text"))
+    rows = docs.select(ident.alias("doc_id"), (~out).alias("train"), body.alias("text"))
     size, ends = rows.agg(F.sum(F.octet_length("text")), F.count_if("train")).first()
-    chunks = max(1, -(-(size or 0) // CHUNK_BYTES), min(partitions(spark), -(-(size or 0) // (CHUNK_BYTES // 8))))
-    # Rows with the same id and text go together; nothing hangs on which chunk a row is in.
-    dealt = rows.withColumn("chunk", F.pmod(F.xxhash64("doc_id", F.substring("text", 1, 64)), F.lit(chunks)).cast("int"))
-    listed = staged(dealt.select("chunk", "train", "text").groupBy("chunk").applyInArrow(_listing(depth), "chunk int, kind byte, key binary, n bigint"), "strings")
-    counted = listed.groupBy("kind", "key").agg(F.sum("n").alias("n"))
-    words = counted.where("kind = 1").select("kind", "key", F.col("n").cast("double").alias("value"))
-    total, distinct = words.where("value > 0").agg(F.sum("value"), F.count(F.lit(1))).first()
+    # A chunk is a run of rows of one task, so the texts are written without a shuffle; nothing hangs on where a row is.
+    row = F.monotonically_increasing_id()
+    chunk = F.shiftright(row, 33) * (1 << 20) + F.shiftright(row.bitwiseAND(F.lit((1 << 33) - 1)), CHUNK_ROWS.bit_length() - 1)
+    dealt = _bucketed(rows.coalesce(max(1, -(-(size or 0) // CHUNK_BYTES))).withColumn("chunk", chunk), "chunk")
+    listed = dealt.select("chunk", "train", "text").groupBy("chunk").applyInArrow(_listing(depth), "chunk bigint, kind byte, key binary, n bigint")
+    listed = _bucketed(listed.repartition(partitions(spark), "key"), "key")
+    counted = listed.groupBy("key", "kind").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("chunks"))
+    words = counted.where("kind = 1")
+    total, distinct = words.where("n > 0").agg(F.sum("n"), F.count(F.lit(1))).first()
     total, distinct = int(total or 0) + ends, distinct + (ends > 0)
     number = F.conv(F.hex("key"), 16, 10).cast("long")
     strings = staged(counted.where("kind = 0").select(number.alias("key"), "n"), "string-counts")
-    lengths = code_lengths(strings, tree(strings.where("n > 0"), depth), depth)
-    values = lengths.select(F.lit(0).cast("byte").alias("kind"), F.unhex(F.lpad(F.hex("key"), 16, "0")).alias("key"), "value").union(words)
-    known = listed.select("chunk", "kind", "key").join(values, ["kind", "key"]).select("chunk", "kind", "key", "value")
+    lengths = code_lengths(strings, depth)
+    codes = lengths.select(F.unhex(F.lpad(F.hex("key"), 16, "0")).alias("key"), "value")
+    shared = words.where("chunks > 1").select("key", F.col("n").cast("double").alias("value"))
+    asked = listed.select("chunk", "kind", "key")
+    known = asked.where("kind = 0").join(codes, "key").unionByName(asked.where("kind = 1").join(shared, "key")).select("chunk", "kind", "key", "value")
     kind = dict(rows.dtypes)["doc_id"]
-    result = dealt.select("chunk", "doc_id", "held_out", "text").groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(
+    result = dealt.select("chunk", "doc_id", "train", "text").groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(
         _scoring(depth, total + distinct + 1, ends), f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double"
     )
     return result.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
