@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from sheetloom.llm.common import partitions
 from sheetloom.session import scratch_path, staged
 
-DEPTH = 4
+DEPTH = 5
 #: Context bytes that the strings of a subtree share, and the strings that meet in a task, about.
 TOP = 3
 STRINGS = 400_000
