@@ -1,5 +1,7 @@
 """The flat published table in terms of the test tables, its normal form, and what the portal asks of it."""
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -209,3 +211,84 @@ def portal_page(t: Tables) -> DataFrame:
         line = part.agg(F.lit(name).alias("part"), F.count(F.lit(1)).alias("n"))
         result = line if result is None else result.unionByName(line)
     return result
+
+
+def published_rest(t: Tables) -> dict[str, DataFrame]:
+    """Published tables beside the core: parts as species, nations as benefits, regions as habitats."""
+    lines = t.lineitem.select("l_partkey", "l_suppkey", "l_linenumber")
+    return {
+        "species": t.part.select(F.col("p_partkey").alias("species_id"), F.col("p_name").alias("common_name"), F.col("p_type").alias("taxa")),
+        "benefits": t.nation.select(F.col("n_nationkey").alias("benefit_id"), F.col("n_name").alias("benefit")),
+        "habitat": t.region.select(F.col("r_regionkey").alias("habitat_id"), F.col("r_name").alias("habitat")),
+        "area_geom": t.customer.select(F.col("c_custkey").alias("area_id"), F.col("c_name").alias("geo_point_2d"), F.lit(None).cast("string").alias("geo_shape")),
+        "area_funding_schemes": t.customer.select(
+            F.col("c_custkey").alias("id"), (F.col("c_custkey") + 5).alias("area_id"), F.col("c_name").alias("area_name"), F.col("c_mktsegment").alias("local_funding_schemes")
+        ),
+        "measure_has_benefits": lines.select(F.col("l_partkey").alias("measure_id"), (F.col("l_suppkey") % 30).alias("benefit_id")).distinct(),
+        "measure_has_species": lines.select(F.col("l_partkey").alias("measure_id"), (F.col("l_partkey") + F.col("l_linenumber")).alias("species_id")).distinct(),
+        "species_area": t.orders.select((F.col("o_orderkey") % 500).alias("species_id"), F.col("o_custkey").alias("area_id")).distinct(),
+        "species_priority": lines.select(F.col("l_partkey").alias("species_id"), (F.col("l_linenumber") + 2).alias("priority_id")).distinct(),
+        "habitat_creation_area": t.customer.select(F.col("c_custkey").alias("area_id"), (F.col("c_nationkey") % 7).alias("habitat_id")),
+        "habitat_management_area": t.customer.select((F.col("c_custkey") + 3).alias("area_id"), (F.col("c_nationkey") % 5).alias("habitat_id")),
+    }
+
+
+# The same tables in SQL, with the rows that have no parents left out.
+WHOLE = {
+    "measure": "SELECT DISTINCT measure_id, measure, core_supplementary, link_to_further_guidance, concise_measure FROM parts",
+    "measure_type": "SELECT row_number() OVER (ORDER BY measure_type) AS measure_type_id, measure_type FROM (SELECT DISTINCT measure_type FROM flat WHERE measure_type IS NOT NULL)",
+    "stakeholder": "SELECT row_number() OVER (ORDER BY stakeholder) AS stakeholder_id, stakeholder FROM (SELECT DISTINCT stakeholder FROM flat WHERE stakeholder IS NOT NULL)",
+    "measure_has_type": "SELECT DISTINCT measure_id, measure_type_id FROM flat JOIN measure_type USING (measure_type)",
+    "measure_has_stakeholder": "SELECT DISTINCT measure_id, stakeholder_id FROM flat JOIN stakeholder USING (stakeholder)",
+    "area": "SELECT c_custkey AS area_id, c_name AS area_name FROM customer",
+    "priority": "SELECT DISTINCT priority_id, biodiversity_priority FROM flat",
+    "species": "SELECT p_partkey AS species_id, p_name AS common_name, p_type AS taxa FROM part",
+    "grant_table": "SELECT DISTINCT grant_id, grant_name, url FROM parts WHERE grant_id IS NOT NULL",
+    "measure_area_priority": "SELECT DISTINCT measure_id, area_id, priority_id FROM flat",
+    "measure_area_priority_grant": "SELECT DISTINCT measure_id, area_id, priority_id, grant_id FROM flat",
+    "species_area_priority": """SELECT a.species_id, a.area_id, p.priority_id FROM (SELECT DISTINCT o_orderkey % 500 AS species_id, o_custkey AS area_id FROM orders) a
+      JOIN (SELECT DISTINCT l_partkey AS species_id, l_linenumber + 2 AS priority_id FROM lineitem) p USING (species_id)
+      WHERE a.species_id IN (SELECT species_id FROM species) AND p.priority_id IN (SELECT priority_id FROM priority)""",
+    "area_geom": "SELECT c_name AS geo_point_2d, c_custkey AS area_id FROM customer",
+    "area_funding_schemes": """SELECT c_custkey AS id, c_custkey + 5 AS area_id, c_name AS area_name, c_mktsegment AS local_funding_schemes FROM customer
+      WHERE c_custkey + 5 IN (SELECT c_custkey FROM customer)""",
+    "benefits": "SELECT n_nationkey AS benefit_id, n_name AS benefit FROM nation",
+    "measure_has_benefits": "SELECT DISTINCT l_partkey AS measure_id, l_suppkey % 30 AS benefit_id FROM lineitem WHERE l_suppkey % 30 IN (SELECT n_nationkey FROM nation)",
+    "measure_has_species": "SELECT DISTINCT l_partkey AS measure_id, l_partkey + l_linenumber AS species_id FROM lineitem WHERE l_partkey + l_linenumber IN (SELECT p_partkey FROM part)",
+    "habitat": "SELECT r_regionkey AS habitat_id, r_name AS habitat FROM region",
+    "habitat_creation_area": "SELECT c_custkey AS area_id, c_nationkey % 7 AS habitat_id FROM customer WHERE c_nationkey % 7 IN (SELECT r_regionkey FROM region)",
+    "habitat_management_area": "SELECT c_custkey + 3 AS area_id, c_nationkey % 5 AS habitat_id FROM customer WHERE c_custkey + 3 IN (SELECT c_custkey FROM customer)",
+}
+
+
+def _given(name: str) -> list[str]:
+    """Columns of a table that the SQL above fills."""
+    return [c for c, _ in N.COLUMNS[name] if re.search(rf"(?<!\w){c}\b", WHOLE[name])]
+
+
+def _content_sql(name: str) -> str:
+    terms = [f"coalesce({'length(' + c + ')' if kind.typeName() == 'string' else c}, 0) * {i}" for i, (c, kind) in enumerate(N.COLUMNS[name], start=1) if c in _given(name)]
+    return f"SELECT '{name}' AS table_name, count(*) AS n, CAST(sum({' + '.join(terms)}) AS BIGINT) AS content FROM {name}"
+
+
+PARTS = """
+parts AS (SELECT p_partkey AS measure_id, p_name AS measure, CASE WHEN p_retailprice > 1000 THEN 'Core' ELSE 'Supplementary' END AS core_supplementary,
+  p_type || ' ' || p_name AS concise_measure, CASE WHEN p_size > 25 THEN p_brand END AS grant_id, CASE WHEN p_size > 25 THEN p_brand || ': grant' END AS grant_name,
+  CASE WHEN p_size > 25 THEN 'https://grants.example/' || lower(p_brand) END AS url,
+  CASE WHEN p_size < 40 THEN 'https://guidance.example/' || p_partkey END AS link_to_further_guidance FROM part)"""
+
+
+@query("load_whole_normal_form", f"WITH {FLAT}, {PARTS}, "
+       + ", ".join(f"{name} AS ({sql})" for name, sql in WHOLE.items()) + " " + " UNION ALL ".join(_content_sql(name) for name in WHOLE))
+def load_whole_normal_form(t: Tables) -> DataFrame:
+    """Rows and content of all twenty tables: ids and lengths of texts, each column with a weight of its own."""
+    tables = N.load_rest(core_tables(t, core_source(t)), published_rest(t))
+    result = None
+    for name in WHOLE:
+        terms = [F.coalesce(F.length(c) if kind.typeName() == "string" else F.col(c), F.lit(0)) * i for i, (c, kind) in enumerate(N.COLUMNS[name], start=1) if c in _given(name)]
+        total = terms[0]
+        for term in terms[1:]:
+            total = total + term
+        line = tables[name].agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n"), F.sum(total).cast("long").alias("content"))
+        result = line if result is None else result.unionByName(line)
+    return result
