@@ -7,8 +7,8 @@ that table, or, if they are rarer or longer, by the same merges in Python; ids a
 Decoding is native: a literal table of pieces, joined.
 
 Defined results: a null text is empty and has no tokens; texts with U+FFFD or any other character are encoded by their
-UTF-8 bytes; equal rows give equal rows; columns besides those named are kept as they are by ``encode``. Empty tables
-give empty results.
+UTF-8 bytes; equal rows give equal rows; ``encode`` keeps columns besides the text as they are, but replaces those named
+like its own. Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -142,8 +142,8 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "
     """All columns of ``docs`` but the text, then ``ids`` (array), ``n_tokens`` and ``ids_sha256`` (of 32-bit little-endian ids)."""
     spark = docs.sparkSession
     known = spark.sparkContext.broadcast((frequent_words(docs, text, pattern, ranks, share), ranks))
-    rest = [c for c in docs.columns if c != text]
-    cut = docs.select(F.struct(*[F.col(f"`{c}`") for c in rest]).alias("_row"), words_of(F.col(f"`{text}`"), pattern).alias("_words"))
+    rest = [c for c in docs.columns if c not in (text, "ids", "n_tokens", "ids_sha256")]
+    cut = docs.select(F.struct(*[F.col(f"`{c}`") for c in rest] or [F.lit(0).alias("_none")]).alias("_row"), words_of(F.col(f"`{text}`"), pattern).alias("_words"))
 
     def lay_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, by_piece = known.value

@@ -12,7 +12,8 @@ result.
 Defined results: a null text stays null; lines end with a line feed; a chunk of one line or of fewer than ``MIN_WORDS``
 words is never removed; the first occurrence is the one with the least doc_id (null last), then the least row hash, then
 the one that stands first; rows that are equal in all columns count as one document and share its fate. A text that
-loses all its lines becomes empty. Empty tables give no rows; extra columns are kept.
+loses all its lines becomes empty. Empty tables give no rows; extra columns are kept, but for those named like the counts
+where these are asked for.
 """
 
 from __future__ import annotations
@@ -155,6 +156,8 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", cou
     changed = F.col("dropped_chunks") > 0
     out: list[Column] = []
     for c, dtype in docs.dtypes:
+        if counts and c in ("n_chunks", "dropped_chunks", "dropped_words"):
+            continue
         value = F.col("text").cast("string") if c == text else F.col("row")[c]
         out.append((F.when(changed, F.length(F.col("text").cast("string")).cast(dtype)).otherwise(value) if c == "n_chars" else value).alias(c))
     return new.select(*out, *(["n_chunks", "dropped_chunks", "dropped_words"] if counts else []))

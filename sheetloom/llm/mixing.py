@@ -64,7 +64,7 @@ def slots(sources: DataFrame, block: int = BLOCK) -> DataFrame:
     slot is hit once.
     """
     spark = sources.sparkSession
-    wanted = F.least(F.round("target"), F.lit(REPEAT) * F.col("source_size")).cast("long")
+    wanted = F.least(F.round("target"), F.floor("_cap")).cast("long")
     laid = (
         sources.where("source_size > 0")
         .select("_src", "_rank", "source_size", wanted.alias("_wanted"))

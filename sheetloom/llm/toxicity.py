@@ -119,7 +119,8 @@ class Toxicity:
         pick = F.shiftrightunsigned(F.xxhash64(F.lit(SEED), "_id"), 11) < F.lit(int(share * 2**53))
         # At most about TRAIN_ROWS pairs of numbers are broadcast.
         chosen = staged(known.where(pick), "toxic-labels")
-        rows = docs.join(F.broadcast(chosen), F.col(f"`{doc_id}`") == F.col("_id")).select("_id", F.col(f"`{text}`").alias("text"), "toxic")
+        given = docs.select(F.col(f"`{doc_id}`").cast("long").alias("_id"), F.col(f"`{text}`").alias("text"))
+        rows = given.join(F.broadcast(chosen), "_id").select("_id", "text", "toxic")
         train = staged(rows.repartition(8, "_id"), "toxic-train")
         self.lexicon = spark.sparkContext.broadcast(learn_lexicon(train))
         self.model = self.calibration = None

@@ -1,6 +1,6 @@
 import pytest
 
-SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, size string, _src int, words string"
+SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, size string, _src int, toxic string"
 
 
 @pytest.fixture(scope="session")

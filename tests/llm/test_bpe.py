@@ -51,3 +51,9 @@ def test_long_words(ranks, library):
 
 def test_empty_table(nothing, ranks):
     assert bpe.encode(nothing, ranks, vocabulary()[1]).count() == 0
+
+
+def test_columns_named_like_the_result_are_replaced(spark, ranks):
+    docs = spark.createDataFrame([("a b", "x", 1.5, None)], "text string, ids string, n_tokens double, ids_sha256 string")
+    got = bpe.encode(docs, ranks, vocabulary()[1])
+    assert got.columns == ["ids", "n_tokens", "ids_sha256"] and got.first().n_tokens == 2

@@ -53,3 +53,9 @@ def test_awkward_documents(awkward):
 
 def test_empty_table(nothing):
     assert line_chunks.dedup_lines(nothing).count() == 0
+
+
+def test_columns_named_like_the_counts_are_replaced(spark):
+    docs = spark.createDataFrame([(1, "a\nb", "x", "row")], "doc_id bigint, text string, n_chunks string, row string")
+    assert line_chunks.dedup_lines(docs, counts=True).columns == ["doc_id", "text", "row", "n_chunks", "dropped_chunks", "dropped_words"]
+    assert line_chunks.dedup_lines(docs).first().n_chunks == "x"

@@ -78,3 +78,9 @@ def test_running_total_over_levels(spark):
         for r in rows.where(F.col("g") == g).orderBy("k").collect():
             assert got[g, r.k] == total
             total += r.v
+
+
+def test_sources_may_repeat_more_often(spark):
+    docs = spark.createDataFrame([(1, "a b c d", "s"), (2, "e f g h i j", "t")], "doc_id bigint, text string, source string")
+    rows = {r.source: r for r in mixing.mix_plan(docs, share=3.0, repeat=4.0, block=2).collect()}
+    assert rows["s"].taken == 16 and rows["t"].taken == 14 and rows["s"].target == 16.0
