@@ -36,8 +36,8 @@ DEPTH = 5
 TOP = 3
 STRINGS = 400_000
 #: Bytes of text that a task lists at once, about, and the rows of a chunk.
-CHUNK_BYTES = 40 << 20
-CHUNK_ROWS = 1 << 14
+CHUNK_BYTES = 20 << 20
+CHUNK_ROWS = 1 << 13
 END = 0xFF
 HELD_OUT = (7, 2)
 
@@ -105,7 +105,7 @@ def _listing(depth: int):
                     words[learn].update(t.split())
         found, at = np.unique(np.concatenate(keys), return_inverse=True)
         n = np.bincount(at, np.concatenate(counts), len(found)).astype(np.int64)
-        names = list(words[True] | words[False])
+        names = [*words[True], *(w for w in words[False] if w not in words[True])]
         times = np.array([words[True][w] for w in names], np.int64)
         size = len(found) + len(names)
         return pa.table({
