@@ -292,7 +292,9 @@ def _scoring(depth: int, base: int, ends: int):
             raise ValueError("values without their texts")
         kind, value = values.column("kind").to_numpy(), values.column("value").to_numpy()
         key = values.column("key").combine_chunks()
-        grams = np.frombuffer(b"".join(key.filter(pa.array(kind == 0)).to_pylist()), ">u8").astype(np.uint64)
+        held = key.filter(pa.array(kind == 0))
+        # Strings are eight bytes each, one after the other in the column's own buffer.
+        grams = np.frombuffer(held.buffers()[2] or b"", ">u8", len(held), 8 * held.offset).astype(np.uint64)
         order = np.argsort(grams)
         grams, chance = grams[order], value[kind == 0][order]
         data = [_lower(t) for t in texts.column("text").to_pylist()]
@@ -301,10 +303,14 @@ def _scoring(depth: int, base: int, ends: int):
         for t, learn in zip(data, texts.column("train").to_pylist(), strict=True):
             if learn:
                 counts.update(t.split())
-        counts.update(dict.fromkeys(names := key.filter(pa.array(kind == 1)).to_pylist(), 0))
-        counts |= dict(zip(names, value[kind == 1].astype(np.int64).tolist(), strict=True))
-        logs = {w: math.log10((c + 1) / base) for w, c in counts.items()}
+        for word, count in zip(key.filter(pa.array(kind == 1)).to_pylist(), value[kind == 1].tolist(), strict=True):
+            counts[word] = int(count)
+        del values, key, held, order, value, kind
         unseen, end = math.log10(1 / base), math.log10((ends + 1) / base)
+        # Counts become logarithms in place: a second table of words would take as much memory again.
+        logs = counts
+        for word, count in logs.items():
+            logs[word] = math.log10((count + 1) / base)
         # A direct table finds most strings in one step; those that share a place are searched for.
         bits = max(10, len(grams).bit_length() + 2)
         factor, shift = np.uint64(0x9E3779B97F4A7C15), np.uint64(64 - bits)
