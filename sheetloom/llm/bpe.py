@@ -94,7 +94,9 @@ def frequent_words(docs: DataFrame, text: str, pattern: str, ranks: dict[bytes,
     counts = staged(counted.select(F.col("word").cast("binary").alias("word"), "n"), "words")
     total = counts.agg(F.sum("n")).first()[0] or 0
     often = counts.where((F.col("n") >= F.lit(share * total)) & (F.octet_length("word") <= LONGEST)).select("word")
-    ids = often.select("word", fold_merges(F.col("word"), rank_table(ranks)).alias("ids"))
+    # An array of one element binds the table, so that the plan holds the literal once and not at each look-up.
+    folded = F.get(F.transform(F.array(rank_table(ranks)), lambda table: fold_merges(F.col("word"), table)), F.lit(0))
+    ids = often.select("word", folded.alias("ids"))
     return {bytes(r.word): np.array(r.ids, "<u4").tobytes() for r in ids.toLocalIterator()}
 
 
