@@ -1,16 +1,16 @@
 """Line dedup by content-defined chunks of lines.
 
-Each line is hashed, and a rolling hash over the last ``WINDOW`` line hashes ends a chunk where it hits a residue, so the
-same passage is cut the same way wherever it stands. A chunk of several lines that occurs again anywhere in the table
-is removed; its first occurrence stays. Hashes only choose what to look at: chunks whose hash is shared are grouped by
+A line of ``MIN_WORDS`` words or more is a chunk of its own. The shorter lines between such lines are hashed, and a rolling
+hash over the last ``WINDOW`` line hashes ends a chunk where it hits a residue, so the same passage is cut the same way
+wherever it stands. A chunk that occurs again anywhere in the table is removed; its first occurrence stays. Hashes only choose what to look at: chunks whose hash is shared are grouped by
 their bytes, and only equal bytes count as a repeat.
 
 The search reads the texts twice. The first pass counts chunk hashes; those that are shared set bits of a fixed bitmap of
 2^BITS bits, which is broadcast, and the second pass sends on only chunks that hit it. A false hit costs a row, not a
 result.
 
-Defined results: a null text stays null; lines end with a line feed; a chunk of one line or of fewer than ``MIN_WORDS``
-words is never removed; the first occurrence is the one with the least doc_id (null last), then the least row hash, then
+Defined results: a null text stays null; lines end with a line feed; a chunk of fewer than ``MIN_WORDS`` words is
+never removed; the first occurrence is the one with the least doc_id (null last), then the least row hash, then
 the one that stands first; rows that are equal in all columns count as one document and share its fate. A text that
 loses all its lines becomes empty. Empty tables give no rows; extra columns are kept, but for those named like the counts
 where these are asked for.
@@ -44,7 +44,13 @@ def chunks(data: bytes) -> list[tuple[int, int]]:
     lines = data.split(b"\n")
     hashes = [xxhash.xxh64_intdigest(line, SEED) for line in lines]
     out, start = [], 0
-    for i in range(len(lines)):
+    for i, line in enumerate(lines):
+        if len(line.split()) >= MIN_WORDS:
+            if start < i:
+                out.append((start, i))
+            out.append((i, i + 1))
+            start = i + 1
+            continue
         if i + 1 - start < LEAST:
             continue
         rolling = 0
@@ -63,7 +69,7 @@ def _bodies(data: bytes) -> Iterator[tuple[int, bytes]]:
     lines = data.split(b"\n")
     for n, (a, b) in enumerate(chunks(data)):
         body = b"\n".join(lines[a:b])
-        if b - a > 1 and len(body.split()) >= MIN_WORDS:
+        if len(body.split()) >= MIN_WORDS:
             yield n, body
 
 
@@ -113,11 +119,13 @@ def repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
 
     ident = F.col(f"`{doc_id}`")
     given = docs.select(row_hash(docs).alias("row_key"), F.col(f"`{text}`").cast("binary").alias("text"), ident.alias("doc_id"))
-    found = staged(given.mapInArrow(candidates, f"row_key bigint, doc_id {dict(docs.dtypes)[doc_id]}, n int, body binary").distinct(), "line-chunks")
+    found = staged(given.mapInArrow(candidates, f"row_key bigint, doc_id {dict(docs.dtypes)[doc_id]}, n int, body binary"), "line-chunks")
     place = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "row_key", "n")
     firsts = found.groupBy("body").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("times")).where("times > 1").drop("times")
+    # Written first, so that both sides of the join come straight from a shuffle: adaptive execution then splits a frequent line.
+    firsts = staged(firsts, "first-chunks")
     later = found.join(firsts, "body").where(place != F.col("first"))
-    return later.groupBy("row_key").agg(F.collect_list("n").alias("drop"))
+    return later.groupBy("row_key").agg(F.collect_set("n").alias("drop"))
 
 
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", counts: bool = False) -> DataFrame:

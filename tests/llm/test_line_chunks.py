@@ -59,3 +59,16 @@ def test_columns_named_like_the_counts_are_replaced(spark):
     docs = spark.createDataFrame([(1, "a\nb", "x", "row")], "doc_id bigint, text string, n_chunks string, row string")
     assert line_chunks.dedup_lines(docs, counts=True).columns == ["doc_id", "text", "row", "n_chunks", "dropped_chunks", "dropped_words"]
     assert line_chunks.dedup_lines(docs).first().n_chunks == "x"
+
+
+def test_passages_of_one_line(spark):
+    def passage(p):
+        return " ".join(f"w{p}x{j}" for j in range(60))
+
+    rows, want = [], {}
+    for i in range(40):
+        before, after = [f"own {i} before {j}" for j in range(1 + i % 4)], [f"own {i} after {j}" for j in range(i % 3)]
+        rows.append((i, "\n".join([*before, passage(i // 2), *after])))
+        want[i] = "\n".join([*before, *([passage(i // 2)] if i % 2 == 0 else []), *after])
+    got = {r.doc_id: r.text for r in line_chunks.dedup_lines(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == want
