@@ -1,6 +1,7 @@
 """Chunks of lines against a search in plain Python."""
 
-from collections import defaultdict
+import random
+from collections import Counter, defaultdict
 
 from sheetloom.llm import line_chunks
 
@@ -72,3 +73,43 @@ def test_passages_of_one_line(spark):
         want[i] = "\n".join([*before, *([passage(i // 2)] if i % 2 == 0 else []), *after])
     got = {r.doc_id: r.text for r in line_chunks.dedup_lines(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
     assert got == want
+
+
+def repeated_lines(rows, most):
+    """(order, line) of all lines in runs of more than ``most`` words that stand earlier; tries every run there is."""
+    places = defaultdict(list)
+    for order, text in rows:
+        lines = text.split("\n")
+        for a in range(len(lines)):
+            for b in range(a + 1, len(lines) + 1):
+                if lines[a].split() and lines[b - 1].split() and sum(len(x.split()) for x in lines[a:b]) > most:
+                    places[tuple(lines[a:b])].append((order, a))
+    return {(order, a + k) for run, found in places.items() for order, a in sorted(found)[1:] for k in range(len(run))}
+
+
+def test_repeated_runs_of_short_and_long_lines(spark):
+    rng = random.Random(3)
+
+    def line():
+        return " ".join(f"w{rng.randrange(10**6)}" for _ in range(rng.choice([0, 1, 3, 5, 8, 9, 9, 14, 60])))
+
+    passages = [[line() for _ in range(rng.randint(1, 14))] for _ in range(12)] + [[f"a{k}", f"b{k} b b b b b b b"] * 9 for k in range(2)]
+    rows = []
+    for i in range(60):
+        lines = [line() for _ in range(rng.randint(0, 3))]
+        for _ in range(rng.randint(1, 2)):
+            p = rng.choice(passages)
+            lines += p[rng.randint(0, 2) :] + [line() for _ in range(rng.randint(0, 4))]
+        rows.append((i, "\n".join(lines)))
+    rows += [(100 + i, f"{passages[-1][1]} " * 9 + "\n\n \n" + "end " * 60) for i in range(2)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: r for r in line_chunks.dedup_lines(docs, counts=True).collect()}
+    must, may = repeated_lines(rows, 50), repeated_lines(rows, line_chunks.MIN_WORDS - 1)
+    assert len(must) > 100 and got[101].text == ""
+    for i, text in rows:
+        lines, kept = text.split("\n"), got[i].text.split("\n")
+        left = iter([x for k, x in enumerate(lines) if (i, k) not in must])
+        # All that must go is gone; what went besides stands earlier in a run of ten words or more.
+        assert kept == [""] or all(any(x == y for y in left) for x in kept)
+        assert not Counter(x for k, x in enumerate(lines) if (i, k) not in may and x.split()) - Counter(kept)
+        assert got[i].dropped_words == len(text.split()) - len(got[i].text.split())
