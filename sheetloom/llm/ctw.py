@@ -21,10 +21,12 @@ from __future__ import annotations
 
 import math
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,7 +37,7 @@ DEPTH = 5
 #: Context bytes that the strings of a subtree share, and the strings that meet in a task, about.
 TOP = 3
 STRINGS = 400_000
-#: Bytes of text that a task lists at once, about, and the rows of a chunk.
+#: Bytes of text and rows that a chunk holds at most; a single longer text is a chunk by itself.
 CHUNK_BYTES = 20 << 20
 CHUNK_ROWS = 1 << 13
 END = 0xFF
@@ -345,6 +347,23 @@ def _bucketed(df: DataFrame, key: str) -> DataFrame:
     return spark.table(name)
 
 
+def _chunk(text: str, most_bytes: int, most_rows: int) -> Column:
+    """Number of the chunk that a row belongs to: a run of rows of one task, bounded in bytes and rows. Only lengths go to Python."""
+
+    def number(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        at, rows, size = TaskContext.get().partitionId() << 32, 0, 0
+        for batch in batches:
+            out = []
+            for n in batch.to_pylist():
+                if rows and (rows == most_rows or size + n > most_bytes):
+                    at, rows, size = at + 1, 0, 0
+                rows, size = rows + 1, size + n
+                out.append(at)
+            yield pa.array(out, pa.int64())
+
+    return F.arrow_udf(number, "bigint").asNondeterministic()(F.octet_length(text))
+
+
 def scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", depth: int = DEPTH, held_out: tuple[int, int] = HELD_OUT) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for each row."""
     spark = docs.sparkSession
@@ -354,8 +373,7 @@ def scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", depth: i
     rows = docs.select(ident.alias("doc_id"), (~out).alias("train"), body.alias("text"))
     size, ends = rows.agg(F.sum(F.octet_length("text")), F.count_if("train")).first()
     # A chunk is a run of rows of one task, so the texts are written without a shuffle; nothing hangs on where a row is.
-    row = F.monotonically_increasing_id()
-    chunk = F.shiftright(row, 33) * (1 << 20) + F.shiftright(row.bitwiseAND(F.lit((1 << 33) - 1)), CHUNK_ROWS.bit_length() - 1)
+    chunk = _chunk("text", CHUNK_BYTES, CHUNK_ROWS)
     dealt = _bucketed(rows.coalesce(max(1, -(-(size or 0) // CHUNK_BYTES))).withColumn("chunk", chunk), "chunk")
     listed = dealt.select("chunk", "train", "text").groupBy("chunk").applyInArrow(_listing(depth), "chunk bigint, kind byte, key binary, n bigint")
     listed = _bucketed(listed.repartition(partitions(spark), "key"), "key")

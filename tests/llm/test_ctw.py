@@ -99,3 +99,18 @@ def test_empty_table_and_no_training(spark, nothing):
     lone = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2)
     row = ctw.scores(spark.createDataFrame([(lone, "ab")], "doc_id bigint, text string")).collect()[0]
     assert row.held_out and row.train_tokens == 0 and math.isclose(row.score, 3 * 8 * math.log10(0.5))
+
+
+def test_chunks_are_bounded_in_bytes_and_rows(spark, monkeypatch):
+    sizes = [400, 400, 400, 3000, 100, *[10] * 30, 900, 900]
+    docs = spark.createDataFrame([(i, "x" * n) for i, n in enumerate(sizes)], "doc_id bigint, text string").coalesce(1)
+    seen = []
+    bucketed = ctw._bucketed
+    monkeypatch.setattr(ctw, "CHUNK_BYTES", 1000)
+    monkeypatch.setattr(ctw, "CHUNK_ROWS", 8)
+    monkeypatch.setattr(ctw, "_bucketed", lambda df, key: seen.append(bucketed(df, key)) or seen[-1])
+    assert ctw.scores(docs).count() == len(sizes)
+    chunks = defaultdict(list)
+    for r in seen[0].collect():
+        chunks[r.chunk].append(len(r.text))
+    assert all(len(c) <= 8 and (sum(c) <= 1000 or len(c) == 1) for c in chunks.values()) and len(chunks) < len(sizes)
