@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheetloom.llm import bpe, ctw, digest_index, line_chunks, mips, mixing, simhash, toxicity, url_rules, warc
+from sheetloom.llm import bpe, ctw, digest_index, line_chunks, mips, mixing, pieces, simhash, toxicity, url_rules, warc
 from sheetloom.llm.common import partitions
 from sheetloom.llm.registry import query, table
 from sheetloom.session import scratch_path
@@ -17,11 +15,17 @@ URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/"
 
 
 def vocabulary() -> tuple[dict[bytes, int], str]:
-    """Ranks and pattern of the public byte-level vocabulary; $BPE_RANKS names another file of ranks."""
+    """Ranks and pattern of the public byte-level vocabulary."""
     import public_tokenizers
 
-    path = os.environ.get("BPE_RANKS") or public_tokenizers.path("byte_bpe_50k.tiktoken")
-    return bpe.read_ranks(path), public_tokenizers.PATTERN
+    return bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN
+
+
+def piece_model() -> pieces.Model:
+    """The public merge-type model."""
+    import public_tokenizers
+
+    return pieces.Model(public_tokenizers.path("piece_bpe_32k.model"))
 
 
 @query("op1_mix_sources")
@@ -133,3 +137,12 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     model = toxicity.Toxicity(docs, table(spark, folder, "labels"))
     return model.score(docs, keep=[F.col("doc_id"), toxicity.is_held_out(F.col("doc_id")).alias("held_out")])
+
+
+@query("op13_pieces")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    """Every text encoded into pieces and decoded again."""
+    model = piece_model()
+    coded = pieces.encode(table(spark, folder, "documents").select("doc_id", "text"), model)
+    back = pieces.decode(coded, model)
+    return back.select("doc_id", "n_tokens", "ids_sha256", F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))

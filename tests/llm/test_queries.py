@@ -25,7 +25,7 @@ def test_query_equals_its_sql(spark, name):
 
 def test_all_are_registered():
     assert set(QUERIES) | {"pipeline"} <= set(driver.queries())
-    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 14))
 
 
 def test_native_plans_hold_no_python(spark):
