@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheetloom.llm import bpe, ctw, digest_index, line_chunks, mips, mixing, pieces, simhash, toxicity, url_rules, warc
+from sheetloom.llm import bpe, ctw, digest_index, line_chunks, mips, mixing, pieces, simhash, spelling, toxicity, url_rules, warc
 from sheetloom.llm.common import partitions
 from sheetloom.llm.registry import query, table
 from sheetloom.session import scratch_path
@@ -139,6 +141,18 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     return model.score(docs, keep=[F.col("doc_id"), toxicity.is_held_out(F.col("doc_id")).alias("held_out")])
 
 
+def misspelt(doc_id: str, word: str) -> str:
+    """The word, or for one in 97 by the check sum of id and word, the word without one of its characters."""
+    h = zlib.crc32(f"{doc_id}:{word}".encode())
+    return word if h % 97 else word[: h % len(word)] + word[h % len(word) + 1 :]
+
+
+@query("op11_spelling_variants")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    """Every frequent word of all documents, with the form and the root that it is a variant of."""
+    return spelling.variants(spelling.word_counts(table(spark, folder, "documents"), change=misspelt))
+
+
 @query("op13_pieces")
 def op13(spark: SparkSession, folder: str) -> DataFrame:
     """Every text encoded into pieces and decoded again."""
