@@ -7,7 +7,7 @@ import zlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheetloom.llm import bpe, ctw, digest_index, line_chunks, mips, mixing, pieces, simhash, spelling, toxicity, url_rules, warc
+from sheetloom.llm import bpe, ctw, digest_index, line_chunks, mips, mixing, phrases, pieces, simhash, spelling, toxicity, url_rules, warc
 from sheetloom.llm.common import partitions
 from sheetloom.llm.registry import query, table
 from sheetloom.session import scratch_path
@@ -153,6 +153,32 @@ def op11(spark: SparkSession, folder: str) -> DataFrame:
     return spelling.variants(spelling.word_counts(table(spark, folder, "documents"), change=misspelt))
 
 
+@query(
+    "op12_collocations",
+    r"""
+    WITH docs AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+    pieces AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS p FROM docs),
+    words AS (SELECT lang, [x FOR x IN regexp_split_to_array(p, '[\x20\x09]+') IF x <> ''] AS w FROM pieces),
+    totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM words GROUP BY lang),
+    grams AS (SELECT lang, unnest(flatten([[array_to_string(w[i:i + k - 1], ' ') FOR i IN range(1, len(w) - k + 2)] FOR k IN range(1, 6)])) AS phrase FROM words),
+    f AS (SELECT lang, phrase, count(*)::BIGINT AS f, string_split(phrase, ' ') AS w FROM grams GROUP BY lang, phrase HAVING count(*) >= 100),
+    c AS (SELECT lang, phrase, f AS a, w FROM f WHERE len(w) > 1),
+    inner_ AS (SELECT lang, a, unnest(flatten([[array_to_string(w[i:i + k - 1], ' ') FOR i IN range(1, len(w) - k + 2)] FOR k IN range(2, len(w))])) AS phrase FROM c WHERE len(w) > 2),
+    open_ AS (SELECT c.* FROM c ANTI JOIN inner_ i ON c.lang = i.lang AND c.phrase = i.phrase AND 100 * i.a >= 100 * c.a),
+    cuts AS (SELECT *, unnest(range(1, len(w))) AS k FROM open_),
+    scored AS (
+      SELECT c.lang, c.phrase, c.a, c.k, l.f AS l, r.f AS r, t.n, ((1000::HUGEINT * c.a * t.n) // (l.f::HUGEINT * r.f))::BIGINT AS score
+      FROM cuts c JOIN totals t ON c.lang = t.lang
+      JOIN f l ON c.lang = l.lang AND array_to_string(c.w[1:c.k], ' ') = l.phrase JOIN f r ON c.lang = r.lang AND array_to_string(c.w[c.k + 1:], ' ') = r.phrase
+    ), least AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM least QUALIFY rank <= 2000
+    """,
+)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    """The phrases of each language whose words stand together most above chance."""
+    return phrases.collocations(table(spark, folder, "documents")).withColumnRenamed("name", "lang")
+
+
 @query("op13_pieces")
 def op13(spark: SparkSession, folder: str) -> DataFrame:
     """Every text encoded into pieces and decoded again."""
