@@ -45,6 +45,8 @@ BUCKET = 32768
 SLICE = 2_000_000
 HELD = 2_000_000
 HELD_TEXTS = 300_000
+# The last pass hands on each phrase of each task, so a task takes up to so many splits of the input, if every core has two tasks.
+SPLITS = 8
 SALTS = 64
 
 _KIND = np.zeros(256, np.uint8)
@@ -277,7 +279,8 @@ def _phrase_counts(docs: DataFrame, longest: int, frequent: DataFrame) -> DataFr
         if counts:
             yield handed()
 
-    return docs.mapInArrow(count, "name string, phrase string, f bigint").groupBy("name", "phrase").agg(F.sum("f").alias("f"))
+    tasks = max(2 * docs.sparkSession.sparkContext.defaultParallelism, math.ceil(docs.rdd.getNumPartitions() / SPLITS))
+    return docs.coalesce(tasks).mapInArrow(count, "name string, phrase string, f bigint").groupBy("name", "phrase").agg(F.sum("f").alias("f"))
 
 
 def _scored(counts: DataFrame, totals: DataFrame, cover: int) -> DataFrame:
