@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,7 +13,7 @@ from sheetloom.operators.catalog import apply_schema
 from sheetloom.operators.edits import Reference
 from sheetloom.operators.joins import equi_join, lookup_join, semi_all
 from sheetloom.operators.projection import known_or_null
-from sheetloom.session import staged
+from sheetloom.session import staged, staged_by, staged_together
 
 
 def _text(*names: str) -> list[tuple[str, T.DataType]]:
@@ -91,6 +91,7 @@ PARENTS: dict[str, dict[str, tuple[str, ...]]] = {
     "habitat_management_area": {"habitat": ("habitat_id",), "area": ("area_id",)},
 }
 
+BRIDGES = {"measure_type": "measure_has_type", "stakeholder": "measure_has_stakeholder"}
 SCHEMAS = {name: T.StructType([T.StructField(c, k) for c, k in cols]) for name, cols in COLUMNS.items()}
 REFERENCES = [
     Reference(child, parent, tuple((c, c) for c in cols))
@@ -99,17 +100,17 @@ REFERENCES = [
 ]
 
 
-def dimension(source: DataFrame, col: str, key: str) -> DataFrame:
-    """Distinct values of a column, numbered from 1. They are written before they are counted and numbered."""
-    values = staged(source.select(col).where(F.col(col).isNotNull()).distinct(), key)
-    return O.add_id(values, key, [col])
+def owned_values(source: DataFrame, owner: str, cols: Sequence[str]) -> DataFrame:
+    """``kind``, ``owner`` and ``value``: what several columns hold, by the column's name, beside an owner and once more without. Null values are left out."""
+    cells = [F.struct(F.lit(c).alias("kind"), by.cast("long").alias("owner"), F.col(c).cast("string").alias("value")) for c in cols for by in (F.col(owner), F.lit(None))]
+    return source.select(F.inline(F.array(*cells))).where("value IS NOT NULL")
 
 
-def bridge(source: DataFrame, owner: DataFrame, values: DataFrame, owner_key: str, col: str, key: str) -> DataFrame:
-    """Distinct pairs of an existing owner and a numbered value."""
-    pairs = source.select(F.col(owner_key).cast("long").alias(owner_key), col).dropna().distinct()
-    valid = equi_join(pairs, owner, [owner_key], "left_semi")
-    return equi_join(valid, values, [col]).select(owner_key, key)
+def numbered_values(values: DataFrame, rows: int) -> DataFrame:
+    """``id``: the number of each value of a kind by its order, from 1; all kinds in one pass. ``rows`` bounds the values of a kind."""
+    if rows > O.TABLE_ROWS:
+        return O.row_numbers(values, ["kind"], ["value"], "id", O.TABLE_ROWS)
+    return values.withColumn("id", F.row_number().over(Window.partitionBy("kind").orderBy("value")).cast("long"))
 
 
 def load_core(
@@ -120,49 +121,51 @@ def load_core(
     A fact needs its parents, and a grant fact its triple; a grant is kept where it exists or is missing.
     Without ``validate`` the facts are taken as they come, as in the earlier load.
 
-    Every table is written once, as in a database, and later steps read what was written: they know its true size,
-    so small tables are broadcast by the optimiser and facts are dealt by their triple alone.
+    The published tables and the values beside measures share one grouping and are written by one job, dimensions and
+    bridges by a second one, so later steps know their true size and broadcast what is small. Facts are read from
+    ``source``, which should be stored: they are dealt once by their triple, on which triples, grant facts and the
+    joins between them all agree.
     """
 
     def shaped(df: DataFrame, name: str) -> DataFrame:
         return apply_schema(df, SCHEMAS[name])
 
-    def kept(df: DataFrame, name: str) -> DataFrame:
-        return staged(df, name.replace("_", "-"))
-
-    # Types and holders hang on the measure alone: their pairs are few and stand for the facts.
-    pairs = kept(source.select("measure_id", "measure_type", "stakeholder").distinct(), "measure_pairs")
-
-    tables = {
-        "measure": shaped(measures, "measure").distinct(),
-        "area": shaped(areas.where(F.col("area_id").isNotNull()), "area").distinct(),
+    first = {
+        "measure": shaped(measures, "measure"),
+        "area": shaped(areas.where(F.col("area_id").isNotNull()), "area"),
         "priority": shaped(priorities, "priority"),
-        "grant_table": shaped(grants.where(F.col("grant_id").isNotNull()), "grant_table").distinct(),
-        "measure_type": dimension(pairs, "measure_type", "measure_type_id").select("measure_type_id", "measure_type"),
-        "stakeholder": dimension(pairs, "stakeholder", "stakeholder_id").select("stakeholder_id", "stakeholder"),
+        "grant_table": shaped(grants.where(F.col("grant_id").isNotNull()), "grant_table"),
+        # Types and holders hang on the measure alone: their pairs are few and stand for the facts.
+        "owned": owned_values(source.select("measure_id", *BRIDGES).distinct(), "measure_id", list(BRIDGES)),
     }
-    tables = {name: kept(df, name) for name, df in tables.items()}
-    tables["measure_has_type"] = kept(bridge(
-        pairs, tables["measure"], tables["measure_type"], "measure_id", "measure_type", "measure_type_id"
-    ), "measure_has_type")
-    tables["measure_has_stakeholder"] = kept(bridge(
-        pairs, tables["measure"], tables["stakeholder"], "measure_id", "stakeholder", "stakeholder_id"
-    ), "measure_has_stakeholder")
+    counts: dict[str, int] = {}
+    tables = staged_together(first, "core", distinct=first.keys() - {"priority"}, counts=counts)
+    owned = tables.pop("owned")
+    numbered = numbered_values(owned.where("owner IS NULL").select("kind", "value"), counts["owned"])
+    linked = equi_join(equi_join(owned, tables["measure"], [("owner", "measure_id")], "left_semi"), numbered, ["kind", "value"])
+    bridge = F.coalesce(*[F.when(F.col("kind") == c, F.lit(name)) for c, name in BRIDGES.items()])
+    tagged = numbered.select("kind", "id", "value", F.lit(None).cast("long").alias("owner")).unionByName(
+        linked.select(bridge.alias("kind"), "id", F.lit(None).cast("string").alias("value"), "owner"))
+    second = staged_by(tagged, "kind", [*BRIDGES, *BRIDGES.values()], "dimensions")
+    for col, name in BRIDGES.items():
+        tables[col] = second[col].select(F.col("id").alias(f"{col}_id"), F.col("value").alias(col))
+        tables[name] = second[name].select(F.col("owner").alias("measure_id"), F.col("id").alias(f"{col}_id"))
     keys = ["measure_id", "area_id", "priority_id"]
-    rows = shaped(source, "measure_area_priority_grant").dropna(subset=keys)
-    facts = known_or_null(rows.distinct(), "grant_id", tables["grant_table"])
-    triples = rows.select(*keys).distinct()
+    rows = shaped(source.select(*keys, "grant_id"), "measure_area_priority_grant").dropna(subset=keys)
     if validate:
         # What holds for a triple holds for its grant facts, so both are tested against the same parents.
-        parents = [(tables["measure"], ["measure_id"]), (tables["area"], ["area_id"]), (tables["priority"], ["priority_id"])]
-        triples, facts = semi_all(triples, parents), semi_all(facts, parents)
-    tables["measure_area_priority"] = kept(triples, "measure_area_priority")
-    tables["measure_area_priority_grant"] = kept(facts, "measure_area_priority_grant")
+        rows = semi_all(rows, [(tables["measure"], ["measure_id"]), (tables["area"], ["area_id"]), (tables["priority"], ["priority_id"])])
+    dealt = rows.repartition(*keys)
+    tables["measure_area_priority"] = dealt.select(*keys).distinct()
+    tables["measure_area_priority_grant"] = known_or_null(dealt.distinct(), "grant_id", tables["grant_table"])
     return tables
 
 
 def load_rest(core: Mapping[str, DataFrame], published: Mapping[str, DataFrame], validate: bool = True) -> dict[str, DataFrame]:
-    """The remaining tables from their published forms; rows without their parents are left out."""
+    """The remaining tables from their published forms, written by one job; rows without their parents are left out.
+
+    Benefits that are repeated as a whole count once.
+    """
     tables = dict(core)
     for name in ("species", "benefits", "habitat", "area_geom", "area_funding_schemes",
                  "measure_has_benefits", "measure_has_species", "habitat_creation_area", "habitat_management_area"):
@@ -179,8 +182,9 @@ def load_rest(core: Mapping[str, DataFrame], published: Mapping[str, DataFrame],
         for name in published.keys() | {"species_area_priority"}:
             for parent, cols in PARENTS.get(name, {}).items():
                 if name in tables and parent in tables:
-                    tables[name] = equi_join(tables[name], tables[parent], list(cols), "left_semi")
-    return {name: df if name in core else staged(df, name.replace("_", "-")) for name, df in tables.items()}
+                    tables[name] = equi_join(tables[name], tables[parent].select(*cols), list(cols), "left_semi")
+    rest = {name: df for name, df in tables.items() if name not in core}
+    return tables | staged_together(rest, "rest", distinct=rest.keys() & {"benefits"})
 
 
 Join = Callable[..., DataFrame]
@@ -209,10 +213,12 @@ def rebuild(tables: Mapping[str, DataFrame], join: Join = equi_join) -> DataFram
 def rebuild_hot(tables: Mapping[str, DataFrame]) -> DataFrame:
     """The wide table by joins that keep hot keys out of the shuffle; keys are counted on the facts."""
 
+    triples = staged(tables["measure_area_priority"], "triples")
+
     def join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str) -> DataFrame:
-        return lookup_join(left, right, on, how, keys_from=tables["measure_area_priority"])
+        return lookup_join(left, right, on, how, keys_from=triples)
 
-    return rebuild(tables, join)
+    return rebuild({**tables, "measure_area_priority": triples}, join)
 
 
 def required_columns(names: Sequence[str]) -> dict[str, list[str]]:

@@ -2,7 +2,7 @@
 
 import re
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sheetloom.operators import facets as C
@@ -267,8 +267,14 @@ def _given(name: str) -> list[str]:
 
 
 def _content_sql(name: str) -> str:
-    terms = [f"coalesce({'length(' + c + ')' if kind.typeName() == 'string' else c}, 0) * {i}" for i, (c, kind) in enumerate(N.COLUMNS[name], start=1) if c in _given(name)]
-    return f"SELECT '{name}' AS table_name, count(*) AS n, CAST(sum({' + '.join(terms)}) AS BIGINT) AS content FROM {name}"
+    """Rows and the sum of a weighted number for each cell: ids as they are, texts by 28 bits of their check sum."""
+    texts = {c for c, kind in N.COLUMNS[name] if kind.typeName() == "string"}
+    cells = []
+    for i, (c, kind) in enumerate(N.COLUMNS[name], start=1):
+        if c in _given(name):
+            value = f"CAST('0x' || right(md5(CAST({c} AS VARCHAR)), 7) AS BIGINT)" if kind.typeName() == "string" else c
+            cells.append(f"coalesce({value}, 0) * {i}")
+    return f"SELECT '{name}' AS table_name, count(*) AS n, CAST(sum({' + '.join(cells)}) AS BIGINT) AS content FROM {name}"
 
 
 PARTS = """
@@ -278,14 +284,19 @@ parts AS (SELECT p_partkey AS measure_id, p_name AS measure, CASE WHEN p_retailp
   CASE WHEN p_size < 40 THEN 'https://guidance.example/' || p_partkey END AS link_to_further_guidance FROM part)"""
 
 
+def _text_number(c: str) -> Column:
+    """The last seven hexadecimal digits of the check sum, as a number."""
+    return F.conv(F.right(F.md5(F.col(c).cast("binary")), F.lit(7)), 16, 10).cast("long")
+
+
 @query("load_whole_normal_form", f"WITH {FLAT}, {PARTS}, "
        + ", ".join(f"{name} AS ({sql})" for name, sql in WHOLE.items()) + " " + " UNION ALL ".join(_content_sql(name) for name in WHOLE))
 def load_whole_normal_form(t: Tables) -> DataFrame:
-    """Rows and content of all twenty tables: ids and lengths of texts, each column with a weight of its own."""
+    """Rows and content of all twenty tables: ids and check sums of texts, each column with a weight of its own."""
     tables = N.load_rest(core_tables(t, core_source(t)), published_rest(t))
     result = None
     for name in WHOLE:
-        terms = [F.coalesce(F.length(c) if kind.typeName() == "string" else F.col(c), F.lit(0)) * i for i, (c, kind) in enumerate(N.COLUMNS[name], start=1) if c in _given(name)]
+        terms = [F.coalesce(_text_number(c) if kind.typeName() == "string" else F.col(c), F.lit(0)) * i for i, (c, kind) in enumerate(N.COLUMNS[name], start=1) if c in _given(name)]
         total = terms[0]
         for term in terms[1:]:
             total = total + term

@@ -20,7 +20,9 @@ class Tables:
         self.folder = folder
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        # Kept, since each reading looks for the schema in a file.
+        found = self.__dict__[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return found
 
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}.parquet"

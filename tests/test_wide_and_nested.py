@@ -14,8 +14,9 @@ from sheetloom.operators import spatial as S
 from sheetloom.functions import geometry as G
 from sheetloom.functions.names import unique_names
 from sheetloom.functions.text import trailing_key
+from sheetloom.plans import normalise as N
 from sheetloom.sinks import publish as PUB
-from sheetloom.session import scratch_path
+from sheetloom.session import scratch_path, staged_by, staged_together
 from sheetloom.sources import html as H
 from sheetloom.suite.registry import Tables
 
@@ -119,3 +120,45 @@ def test_a_refused_load_can_be_repeated(spark):
     assert PUB.bulk_load(spark, root, 3, {"t": good}, {"t": ["id"]})[0] and PUB.current_version(spark, root) == 3
     with pytest.raises(ValueError, match="published already"):
         PUB.bulk_load(spark, root, 3, {"t": good}, {"t": ["id"]})
+
+
+def test_tables_written_together_come_back_as_they_were(spark):
+    one = spark.createDataFrame([(1, "a", None), (1, "a", None), (2, None, [1, 2])], "id int, A string, l array<int>")
+    two = spark.createDataFrame([("x", 5, "y"), (None, None, None)], "a string, `my id` bigint, B string")
+    none = spark.createDataFrame([], "id int, a string")
+    counts = {}
+    back = staged_together({"one": one, "two": two, "none": none}, "together", distinct={"one", "none"}, counts=counts)
+    assert {n: df.dtypes for n, df in back.items()} == {n: df.dtypes for n, df in {"one": one, "two": two, "none": none}.items()}
+    assert sorted(map(str, back["one"].collect())) == sorted(map(str, one.distinct().collect()))
+    assert sorted(map(str, back["two"].collect())) == sorted(map(str, two.collect()))
+    assert counts == {"one": 2, "two": 2, "none": 0} and back["none"].count() == 0 and staged_together({}, "nothing") == {}
+
+
+def test_rows_are_written_by_their_tag(spark):
+    rows = spark.createDataFrame([("a/b", 1), ("c", 2), (None, 3), ("other", 4), ("a/b", 5)], "t string, v int")
+    parts = staged_by(rows, "t", ["a/b", "c", "absent"], "tagged")
+    assert {k: sorted(r.v for r in df.collect()) for k, df in parts.items()} == {"a/b": [1, 5], "c": [2], "absent": []}
+
+
+def test_the_normal_form_takes_few_jobs(spark):
+    group = "normal form"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        driver.queries()["star_view"](spark, "/root/testdata/sf0.001")
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs <= 18
+
+
+def test_values_are_numbered_alike_on_both_routes(spark, monkeypatch):
+    values = spark.createDataFrame([("t", f"v{i:03}") for i in range(300)] + [("s", "only")], "kind string, value string")
+    short = sorted(map(tuple, N.numbered_values(values, 301).collect()))
+    monkeypatch.setattr(O, "TABLE_ROWS", 10)
+    assert sorted(map(tuple, N.numbered_values(values, 301).select("kind", "value", "id").collect())) == short
+
+
+def test_repeated_benefits_count_once(spark):
+    core = {"measure": spark.createDataFrame([(1,)], "measure_id bigint")}
+    benefits = spark.createDataFrame([(1, "b"), (1, "b"), (2, "b")], "benefit_id int, benefit string")
+    assert sorted(map(tuple, N.load_rest(core, {"benefits": benefits})["benefits"].collect())) == [(1, "b"), (2, "b")]
