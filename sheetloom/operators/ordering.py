@@ -1,20 +1,25 @@
 """Operators whose result depends on row order: numbering, filling down, joining text in order.
 
-Spark keeps no row order, so each of these takes the columns that define it. A plain window sends
+Spark keeps no row order, so each of these takes the columns that define it. Rows that agree in all of
+them are ordered by their other columns, in the table's order and with nulls last, on every route; rows
+that agree in those too are equal, so it does not matter which comes first. A plain window sends
 a whole group to one task, which is right for groups of a known size only. Each operator therefore
-measures its largest group first, and beyond ``group_rows`` (``TABLE_ROWS`` where the table as a whole
-is ordered) takes the range route: rows are range
+counts its groups first. Those of more than ``group_rows`` rows (``TABLE_ROWS`` where the table as a whole
+is ordered), a short list, take the range route, and they alone: their rows are range
 partitioned on group and order, written once, worked on within their partitions, and corrected by
 what earlier partitions of the same group hold. A partition edge cuts at most one group, so the
-table of corrections has fewer rows than there are partitions and can be broadcast.
+table of corrections has fewer rows than there are partitions and can be broadcast. All other groups
+are shuffled once, for the window.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sheetloom.functions.text import NA_TEXT, sql_text
 from sheetloom.session import shared_dir, staged
@@ -28,20 +33,46 @@ SPREAD_ROWS = 2_000
 PUSHED_K = 1_000
 
 
-def largest_group(df: DataFrame, by: Sequence[str], enough: int = 0) -> int:
-    """Rows of the largest group; counts are combined before the shuffle.
+def _limit(by: Sequence[str], group_rows: int) -> int:
+    return group_rows if by else min(group_rows, TABLE_ROWS)
+
+
+def _routes(df: DataFrame, by: Sequence[str], group_rows: int) -> tuple[DataFrame | None, DataFrame | None, int]:
+    """Rows of the groups that a task can hold, rows of the others (None if there are none), and the rows of a table without groups.
 
-    A table of at most ``enough`` rows has no larger group, so its number of rows, which a file source
-    knows without reading, is answer enough.
+    At most (rows / group_rows) groups are larger, a short list by construction.
     """
-    total = df.count() if enough or not by else 0
-    if not by or total < enough:
-        return total
-    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    limit = _limit(by, group_rows)
+    if not by:
+        total = df.count()
+        return (df, None, total) if total <= limit else (None, df, total)
+    if group_rows and df.count() <= limit:
+        return df, None, 0
+    large = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit).drop("_n").collect()
+    if not large:
+        return df, None, 0
+    types = ", ".join(f"`_large{i}` {df.schema[c].dataType.simpleString()}" for i, c in enumerate(by))
+    listed = F.broadcast(df.sparkSession.createDataFrame([tuple(r) for r in large], types))
+    same = reduce(Column.__and__, [df[f"`{c}`"].eqNullSafe(listed[f"_large{i}"]) for i, c in enumerate(by)])
+    return df.join(listed, same, "left_anti"), df.join(listed, same, "left_semi"), 0
 
 
-def _limit(by: Sequence[str], group_rows: int) -> int:
-    return group_rows if by else min(group_rows, TABLE_ROWS)
+def _joined(parts: Sequence[DataFrame | None]) -> DataFrame:
+    return reduce(DataFrame.unionByName, [p for p in parts if p is not None])
+
+
+def _with_ties(df: DataFrame, by: Sequence[str], order: Sequence[str]) -> list[str]:
+    """The order, completed by the other columns that can be sorted."""
+    used = {*by, *[n.lstrip("-") for n in order]}
+    return [*order, *[f.name for f in df.schema.fields if f.name not in used and _sortable(f.dataType)]]
+
+
+def _sortable(kind: T.DataType) -> bool:
+    if isinstance(kind, T.ArrayType):
+        return _sortable(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return all(_sortable(f.dataType) for f in kind.fields)
+    return not isinstance(kind, (T.MapType, T.VariantType, T.CalendarIntervalType))
 
 
 def _spread(df: DataFrame, rows: int) -> DataFrame:
@@ -52,15 +83,15 @@ def _spread(df: DataFrame, rows: int) -> DataFrame:
 
 def nulls_last(*names: str) -> list[Column]:
     """Sort order with missing values at the end; ``-name`` sorts downwards."""
-    return [F.col(n[1:]).desc_nulls_last() if n.startswith("-") else F.col(n).asc_nulls_last() for n in names]
+    return [F.col(f"`{n[1:]}`").desc_nulls_last() if n.startswith("-") else F.col(f"`{n}`").asc_nulls_last() for n in names]
 
 
 def _ranged(df: DataFrame, by: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Rows in range partitions with ``_part`` and, inside it, ``_pos`` from 0.
 
-    The input is written first, so that its row numbers are the same on every attempt; they break
-    ties, which keeps the sort stable and spreads any number of equal rows. The ranged rows are
-    written too, so every later step sees the same partitions.
+    The input is written first, so that its row numbers are the same on every attempt; they stand last in the
+    order, which spreads any number of equal rows. The ranged rows are written too, so every later step sees
+    the same partitions.
     """
     shared_dir(df.sparkSession)
     staged = df.checkpoint().withColumn("_row", F.monotonically_increasing_id())
@@ -98,11 +129,18 @@ def row_numbers(
     df: DataFrame, by: Sequence[str], order: Sequence[str], name: str = "rn", group_rows: int = GROUP_ROWS
 ) -> DataFrame:
     """Position of each row in its group, from 1."""
-    largest = largest_group(df, by, group_rows)
-    if largest <= _limit(by, group_rows):
+    order = _with_ties(df, by, order)
+    small, large, total = _routes(df, by, group_rows)
+    if small is not None:
         window = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
-        numbered = df.withColumn(name, F.row_number().over(window.orderBy(*nulls_last(*order))).cast("long"))
-        return numbered if by else _spread(numbered, largest)
+        numbered = small.withColumn(name, F.row_number().over(window.orderBy(*nulls_last(*order))).cast("long"))
+        small = numbered if by else _spread(numbered, total)
+    if large is not None:
+        large = _ranged_numbers(large, by, order, name)
+    return _joined([small, large])
+
+
+def _ranged_numbers(df: DataFrame, by: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
     rows = _ranged(df, by, order)
     if not by:
         counts = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
@@ -146,13 +184,19 @@ def fill_down(
     df: DataFrame, by: Sequence[str], order: Sequence[str], cols: Sequence[str], group_rows: int = GROUP_ROWS
 ) -> DataFrame:
     """Replace nulls with the last value above, inside each group."""
-    names = df.columns
-    largest = largest_group(df, by, group_rows)
-    if largest <= _limit(by, group_rows):
+    order = _with_ties(df, by, order)
+    small, large, total = _routes(df, by, group_rows)
+    if small is not None:
         window = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
         window = window.orderBy(*nulls_last(*order)).rowsBetween(Window.unboundedPreceding, 0)
-        filled = df.withColumns({c: F.last(c, ignorenulls=True).over(window) for c in cols})
-        return filled if by else _spread(filled, largest)
+        filled = small.withColumns({c: F.last(c, ignorenulls=True).over(window) for c in cols})
+        small = filled if by else _spread(filled, total)
+    if large is not None:
+        large = _ranged_fill(large, by, order, cols)
+    return _joined([small, large])
+
+
+def _ranged_fill(df: DataFrame, by: Sequence[str], order: Sequence[str], cols: Sequence[str]) -> DataFrame:
     rows = _ranged(df, by, order)
     upto = Window.partitionBy("_part", *by).orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
     inside = rows.withColumns({c: F.last(c, ignorenulls=True).over(upto) for c in cols})
@@ -160,7 +204,7 @@ def fill_down(
     summary = rows.groupBy("_part", *by).agg(*lasts)
     carry = _carry_of(summary, by, {f"_above_{c}": F.last(f"_last_{c}", ignorenulls=True) for c in cols})
     filled = _with_carry(inside, carry, by)
-    return filled.withColumns({c: F.coalesce(c, f"_above_{c}") for c in cols}).select(*names)
+    return filled.withColumns({c: F.coalesce(c, f"_above_{c}") for c in cols}).select(*df.columns)
 
 
 def _listagg(value: str, sep: str, order: Sequence[str]) -> Column:
@@ -188,11 +232,14 @@ def collapse(
     needed = df.select(*by, (F.coalesce(value, F.lit(na_text)) if na_text is not None else value).alias("_value"),
                        *[F.col(n.lstrip("-")).alias(f"_key{i}") for i, n in enumerate(order)])
     keys = [("-" if n.startswith("-") else "") + f"_key{i}" for i, n in enumerate(order)]
-    if largest_group(df, by, group_rows) <= group_rows:
-        return needed.groupBy(*by).agg(_listagg("_value", sep, keys).alias(name))
-    rows = _ranged(needed, by, keys)
-    pieces = rows.groupBy(*by, "_part").agg(_listagg("_value", sep, ["_pos"]).alias("_piece"))
-    return pieces.groupBy(*by).agg(_listagg("_piece", sep, ["_part"]).alias(name))
+    small, large, _ = _routes(needed, by, group_rows)
+    keys.append("_value")
+    if small is not None:
+        small = small.groupBy(*by).agg(_listagg("_value", sep, keys).alias(name))
+    if large is not None:
+        pieces = _ranged(large, by, keys).groupBy(*by, "_part").agg(_listagg("_value", sep, ["_pos"]).alias("_piece"))
+        large = pieces.groupBy(*by).agg(_listagg("_piece", sep, ["_part"]).alias(name))
+    return _joined([small, large])
 
 
 def top_k(df: DataFrame, by: Sequence[str], order: Sequence[str], k: int) -> DataFrame:

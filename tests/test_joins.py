@@ -1,10 +1,13 @@
+import math
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from sheetloom.functions import geometry as G
 from sheetloom.functions.geometry import parse_polygon
 from sheetloom.operators import joins as J
+from sheetloom.operators import spatial as S
 from sheetloom.operators.fuzzy import fuzzy_join, fuzzy_pairs
 from sheetloom.operators.spatial import spatial_join
 
@@ -126,3 +129,35 @@ def test_a_mismatched_type_of_join_is_refused(spark):
     df = spark.range(1)
     with pytest.raises(ValueError):
         J.lookup_join(df, df, ["id"], "full_outer")
+
+
+def test_a_large_region_becomes_many_cells(spark):
+    """Points in and around a star with a hole, beside small boxes, against ray casting."""
+    rng = random.Random(5)
+    star = [(math.cos(a) * r, math.sin(a) * r) for a, r in ((i * math.pi / 12, 90 if i % 2 else 40 + 2 * (i % 7)) for i in range(24))]
+    hole = [(-8.5, -7.25), (9.0, -6.0), (2.0, 11.5)]
+    shapes = {1: [star, hole], 2: [[(-80, -80), (80, -80), (80, 80), (-80, 80)]]} | {
+        i: [[(x, y), (x + w, y), (x + w, y + w), (x, y + w)]] for i in range(3, 30) for x, y, w in [(rng.randint(-90, 90), rng.randint(-90, 90), rng.choice([0.5, 1, 3]))]}
+    closed = {k: [[*ring, ring[0]] for ring in rings] for k, rings in shapes.items()}
+    rings = spark.createDataFrame([(k, [[(float(x), float(y)) for x, y in r] for r in v]) for k, v in closed.items()], "id int, polygon array<array<struct<x:double,y:double>>>")
+    spots = [(rng.uniform(-95, 95), rng.uniform(-95, 95)) for _ in range(1500)] + [(float(x), float(y)) for x in range(-80, 81, 16) for y in range(-80, 81, 16)] + [(float("nan"), 1.0)]
+    points = spark.createDataFrame([(i, x, y) for i, (x, y) in enumerate(spots)], "p int, x double, y double")
+
+    def holds(shape, x, y):
+        crossed = 0
+        for ring in shape:
+            for (ax, ay), (bx, by) in zip(ring[:-1], ring[1:], strict=True):
+                crossed += (ay > y) != (by > y) and x < (bx - ax) * (y - ay) / (by - ay) + ax
+        return crossed % 2 == 1
+
+    want = sorted((i, k) for i, (x, y) in enumerate(spots) for k, shape in closed.items() if holds(shape, x, y))
+    got = S.spatial_join(points, rings, "x", "y")
+    assert sorted((r.p, r.id) for r in got.collect()) == want
+    semi = S.spatial_join(points, rings, "x", "y", how="left_semi")
+    assert sorted(r.p for r in semi.collect()) == sorted({i for i, _ in want})
+    boxed = rings.where("id < 3").withColumns({"_box": G.bounds(F.col("polygon")), "_sides": G.edges(F.col("polygon"))})
+    cells = S.cover(boxed.withColumn("_level", S._level(F.col("_box"))), F.lit(True)).collect()
+    # Leaves do not overlap, inner ones hold no sides, and those on the border only a few.
+    assert len({(c.id, c._level, c._cx, c._cy) for c in cells}) == len(cells) > 100
+    assert sum(c._whole for c in cells) > 40 and all((c._sides is None) == c._whole for c in cells)
+    assert max(len(c._sides) for c in cells if not c._whole and c.id == 1) < 20

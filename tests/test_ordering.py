@@ -135,3 +135,34 @@ def test_both_routes_agree(spark, data):
             last[g] = v if v is not None else last.get(g)
             want[i] = last[g]
         assert filled == want
+
+
+def test_only_large_groups_take_the_range_route(spark, monkeypatch):
+    seen = []
+    ranged = O._ranged
+    monkeypatch.setattr(O, "_ranged", lambda df, by, order: seen.append({r.g for r in df.select("g").distinct().collect()}) or ranged(df, by, order))
+    data = [("hot" if i % 3 == 0 else None if i % 3 == 1 and i % 2 else f"g{i % 40}", i) for i in range(3000)]
+    df = spark.createDataFrame(data, "g string, o int")
+    got = O.row_numbers(df, ["g"], ["-o"], "n", group_rows=400)
+    assert seen == [{"hot", None}]
+    # The other groups are dealt once, by the group.
+    cold = got._jdf.queryExecution().executedPlan().toString().split("Union")[1].split("_part")[0]
+    assert cold.count("Exchange hashpartitioning(g") == 1
+    counts = {}
+    for g, o in sorted(data, key=lambda r: -r[1]):
+        counts[g] = counts.get(g, 0) + 1
+        data[o] = (g, counts[g])
+    assert sorted((r.o, r.g, r.n) for r in got.collect()) == [(i, g, n) for i, (g, n) in enumerate(data)]
+
+
+def test_ties_are_ordered_alike_on_every_route(spark):
+    data = [("a", 1, v, w) for v in (3, None, 1, 2) for w in (["y"], ["x", "z"], None)] * 2 + [("b", 1, 5, None)]
+    df = spark.createDataFrame(data, "g string, o int, v int, w array<string>").repartition(5)
+    routes = []
+    for limit in (10**6, 3, 0):
+        numbered = O.row_numbers(df, ["g"], ["o"], "n", group_rows=limit)
+        joined = O.collapse(df, ["g"], "v", ",", ["o"], group_rows=limit)
+        filled = O.fill_down(df, ["g"], ["o"], ["v"], group_rows=limit)
+        routes.append([sorted(map(str, x.collect())) for x in (numbered, joined, filled)])
+    assert routes[0] == routes[1] == routes[2]
+    assert "v='1,1,1,1,1,1,2,2,2,2,2,2,3,3,3,3,3,3,NA,NA,NA,NA,NA,NA'" in routes[0][1][0]
