@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import json
 import re
+import zlib
 from collections.abc import Iterator
-from html.entities import name2codepoint
+from functools import cache
+from html.entities import html5
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -14,27 +17,66 @@ from pyspark.sql import functions as F
 
 from sheetloom.functions.names import clean_name_column, clean_names
 
-# Character references: decimal, hexadecimal or named.
-REFERENCE = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
+# Character references: decimal, hexadecimal or named. The standard library has the names of HTML 5, the older ones also
+# without a semicolon; the longest of several that fit counts.
+_OLD_NAMES = "|".join(sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n)))
+REFERENCE = rf"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[A-Za-z][A-Za-z0-9]{{1,31}};|(?:{_OLD_NAMES}))"
+# In an attribute an old name that goes on, as in the parts of an address, is no reference.
+GOES_ON = "(?![=A-Za-z0-9])"
+BUCKETS = 4096
 
 
-def decoded(text: Column) -> Column:
+@cache
+def _names_text() -> str:
+    lists: list[list[dict]] = [[] for _ in range(BUCKETS)]
+    for name, value in html5.items():
+        lists[zlib.crc32(name.encode()) % BUCKETS].append({"n": name, "v": value})
+    return json.dumps(lists)
+
+
+def _names() -> Column:
+    """The names as a literal: short lists by the check sum of the name, since Spark's own map is searched from end to end."""
+    return F.from_json(F.lit(_names_text()), "array<array<struct<n:string,v:string>>>")
+
+
+def _named(names: Column, name: Column) -> Column:
+    bucket = F.get(names, (F.crc32(name.cast("binary")) % BUCKETS).cast("int"))
+    return F.get(F.transform(F.filter(bucket, lambda e: e["n"] == name), lambda e: e["v"]), F.lit(0))
+
+
+def _numbered(digits: Column) -> Column:
+    """The character of a hexadecimal number, as a browser reads it: old Windows characters for 128 to 159, nothing for other controls."""
+    windows = F.array(*[F.lit(bytes([c]).decode("cp1252", "ignore") or chr(c)) for c in range(0x80, 0xA0)])
+    short = F.regexp_replace(digits, "^0+(?=.)", "")
+    code = F.when(F.length(short) > 6, F.lit(0x110000)).otherwise(F.conv(short, 16, 10).cast("long"))
+    wrong = (code == 0) | code.between(0xD800, 0xDFFF) | (code > 0x10FFFF)
+    none = (code.between(1, 0x1F) & ~code.isin(9, 10, 12, 13)) | (code == 0x7F) | code.between(0xFDD0, 0xFDEF) | (code.bitwiseAND(F.lit(0xFFFE)) == 0xFFFE)
+    plain_ = F.decode(F.unhex(F.lpad(F.conv(code.cast("string"), 10, 16), 8, "0")), "UTF-32")
+    return (
+        F.when(wrong, F.lit("\ufffd")).when(code.between(0x80, 0x9F), F.get(windows, (code - 0x80).cast("int")))
+        .when(none, F.lit("")).otherwise(plain_)
+    )
+
+
+def decoded(text: Column, in_attribute: bool = False) -> Column:
     """Text with its character references decoded, each once; unknown ones stay as they are."""
-    # The standard library has the names of HTML 4; the apostrophe came later.
-    names = F.create_map(*[F.lit(x) for name, code in (name2codepoint | {"apos": 0x27}).items() for x in (name, chr(code))])
-
-    def character(ref: Column) -> Column:
-        inner = F.substring(ref, F.lit(2), F.length(ref) - 2)
-        digits = F.substring(inner, F.lit(3), F.length(inner))
-        hexed = F.when(F.lower(F.substring(inner, 2, 1)) == "x", digits).otherwise(F.conv(F.substring(inner, F.lit(2), F.length(inner)), 10, 16))
-        code = F.conv(hexed, 16, 10).cast("long")
-        sound = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
-        number = F.when(sound, F.decode(F.unhex(F.lpad(hexed, 8, "0")), "UTF-32")).otherwise(F.lit("\ufffd"))
-        return F.when(inner.startswith("#"), number).otherwise(F.coalesce(F.try_element_at(names, inner), ref))
-
-    found = F.regexp_extract_all(text, F.lit(REFERENCE), F.lit(0))
-    pieces = F.split(text, REFERENCE, -1)
-    joined = F.array_join(F.zip_with(pieces, F.transform(found, character), lambda piece, char: F.concat(piece, F.coalesce(char, F.lit("")))), "")
+    pattern = REFERENCE[:-1] + f"{GOES_ON if in_attribute else ''})"
+    old = f"^(?:{_OLD_NAMES}){GOES_ON if in_attribute else ''}"
+
+    def character(names: Column, ref: Column) -> Column:
+        inner = F.substring(ref, F.lit(2), F.length(ref))
+        digits = F.rtrim(F.substring(inner, F.lit(2), F.length(inner)), F.lit(";"))
+        hexed = F.when(F.lower(F.left(digits, F.lit(1))) == "x", F.substring(digits, F.lit(2), F.length(digits))).otherwise(
+            F.when(F.length(F.regexp_replace(digits, "^0+", "")) > 7, F.lit("110000")).otherwise(F.conv(digits, 10, 16)))
+        start = F.regexp_extract(inner, old, 0)
+        prefixed = F.when(start != "", F.concat(_named(names, start), F.substring(inner, F.length(start) + 1, F.length(inner))))
+        return F.when(inner.startswith("#"), _numbered(hexed)).otherwise(F.coalesce(_named(names, inner), prefixed, ref))
+
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    pieces = F.split(text, pattern, -1)
+    # An array of one element binds the table of names, so that the plan holds it once.
+    characters = F.get(F.transform(F.array(_names()), lambda names: F.transform(found, lambda ref: character(names, ref))), F.lit(0))
+    joined = F.array_join(F.zip_with(pieces, characters, lambda piece, char: F.concat(piece, F.coalesce(char, F.lit("")))), "")
     return F.when(F.contains(text, F.lit("&")), joined).otherwise(text)
 
 
@@ -47,7 +89,7 @@ def attribute(tag: Column, name: str) -> Column:
     """Value of an attribute in an opening tag, quoted or bare; null where the tag lacks it."""
     pattern = rf"""(?is)^<[^>]*?\s{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
     found = F.concat(*[F.regexp_extract(tag, pattern, i) for i in (1, 2, 3)])
-    return F.when(tag.rlike(pattern), decoded(found))
+    return F.when(tag.rlike(pattern), decoded(found, in_attribute=True))
 
 
 def _flat_elements(html: Column, tag: str) -> Column:

@@ -1,5 +1,7 @@
 """Wide ids, hot keys beside small ones, repeated suffixes, nested markup and grids of several sizes."""
 
+import html
+import html.entities
 import random
 
 import pytest
@@ -162,3 +164,24 @@ def test_repeated_benefits_count_once(spark):
     core = {"measure": spark.createDataFrame([(1,)], "measure_id bigint")}
     benefits = spark.createDataFrame([(1, "b"), (1, "b"), (2, "b")], "benefit_id int, benefit string")
     assert sorted(map(tuple, N.load_rest(core, {"benefits": benefits})["benefits"].collect())) == [(1, "b"), (2, "b")]
+
+
+def test_references_are_decoded_as_a_parser_does(spark):
+    rng = random.Random(3)
+    names = rng.sample(sorted(html.entities.html5), 400)
+    texts = [f"a&{n}b" for n in names] + [f"x &{n.rstrip(';')} y" for n in names[:100]]
+    texts += [f"&#{n};" for n in (0, 1, 9, 10, 11, 13, 31, 65, 127, 128, 129, 150, 159, 160, 55296, 64976, 65534, 128512, 1114111, 1114112, 10**12, 10**30)]
+    texts += [f"&#x{n:X} z" for n in (0, 65, 0x80, 0x1F600, 0x10FFFF, 0x110000, 16**20)] + ["&#0000000000065;", "&#x00000000041;", "&#;&#x;&;&&amp;amp;", "&lbrace;&NewLine;&amp &notit; &nosuch; &ampfoo; & b"]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", H.decoded(F.col("t")).alias("d"))
+    assert {r.i: r.d for r in rows.collect()} == {i: html.unescape(t) for i, t in enumerate(texts)}
+
+
+def test_links_texts_and_tables_decode_alike(spark):
+    body = "&lbrace;x&amp y&#128;&nbsp"
+    page = f'<div>{body}</div><a href="/p?a=1&copy=2&amp;b=&#128;">{body}</a><table><tr><td>h</td></tr><tr><td>{body}</td></tr></table>'
+    pages = spark.createDataFrame([(1, page)], "k int, html string")
+    want = html.unescape(body)
+    link = H.extract_links(pages, "html", ["k"]).first()
+    assert link.text == want and link.url == "/p?a=1&copy=2&b=€"
+    assert H.extract_text(pages, "html", "div", None, ["k"]).first().text == want
+    assert H.extract_tables(pages, "html", "k", 1).where("row = 1").first().cells[0] == " ".join(want.split())
