@@ -3,12 +3,20 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sheetloom.operators.ordering import top_k
+from sheetloom.session import staged
+
+# Values shown of a column, the relative error of distinct counts and the rows (in shares of one) that a median may be off.
+SAMPLES = 3
+RSD = 0.02
+ACCURACY = 1000
+
 # Record-schema types and their column types.
 JSON_TYPES: dict[str, T.DataType] = {
     "integer": T.LongType(),
@@ -33,46 +41,70 @@ def describe(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "position int, column_name string, column_type string")
 
 
-def profile(df: DataFrame, cols: Sequence[str] | None = None, approximate: bool = False) -> DataFrame:
-    """Rows, nulls, distinct values, least and greatest value (as text) of every column.
+def _ordered(kind: T.DataType) -> bool:
+    return not isinstance(kind, (T.MapType, T.VariantType, T.StructType, T.ArrayType, T.CalendarIntervalType))
+
+
+def _lines(cols: Sequence[str], make: Callable[[int, str], list[Column]]) -> Column:
+    """One row per column from a table of a single row."""
+    return F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), *make(i, c)) for i, c in enumerate(cols)]))
+
+
+def profile(df: DataFrame, cols: Sequence[str] | None = None, approximate: bool = False, samples: int = SAMPLES) -> DataFrame:
+    """Each column's type, rows, nulls, distinct values, least and greatest value, and some of its values.
 
-    The exact form counts (column, value) pairs first, combined before the shuffle, so no task holds a
-    column's values; the approximate form is a single pass of sketches.
+    Bounds are those of the column's own type, written as text; types without an order have none. The samples are the
+    distinct values with the least check sums, so a table has the same ones however it is dealt.
+
+    The exact form counts (column, value) pairs first, combined before the shuffle, so no task holds a column's values.
+    The approximate form is one pass of sketches that merge: distinct values and the ``median`` of numbers within their
+    sketch's error, and for each of ``samples`` seeds the value of least hash.
     """
     cols = list(cols or df.columns)
-    types = dict(df.dtypes)
+    types = {f.name: f.dataType for f in df.schema.fields}
+    names = {c: types[c].simpleString() for c in cols}
+
+    def low_and_high(i: int, c: str) -> list[Column]:
+        if not _ordered(types[c]):
+            return [F.lit(None).cast("string").alias(f"low_{i}"), F.lit(None).cast("string").alias(f"high_{i}")]
+        return [F.min(c).cast("string").alias(f"low_{i}"), F.max(c).cast("string").alias(f"high_{i}")]
+
     if approximate:
         aggs = []
         for i, c in enumerate(cols):
             text = F.col(c).cast("string")
+            number = isinstance(types[c], T.NumericType)
+            median = F.percentile_approx(c, 0.5, ACCURACY).cast("double") if number else F.lit(None).cast("double")
+            chosen = [F.min_by(text, F.when(text.isNotNull(), F.xxhash64(F.lit(seed), text))) for seed in range(samples)]
             aggs += [
-                F.count_if(F.col(c).isNull()).alias(f"nulls_{i}"),
-                F.approx_count_distinct(c).alias(f"distinct_{i}"),
-                F.min(text).alias(f"low_{i}"),
-                F.max(text).alias(f"high_{i}"),
+                F.count_if(F.col(c).isNull()).alias(f"nulls_{i}"), F.approx_count_distinct(text, RSD).alias(f"distinct_{i}"),
+                *low_and_high(i, c), median.alias(f"median_{i}"), F.array(*chosen).alias(f"samples_{i}"),
             ]
         wide = df.agg(F.count(F.lit(1)).alias("rows"), *aggs)
-        lines = F.array(*[
-            F.struct(
-                F.lit(c).alias("column_name"), F.lit(types[c]).alias("column_type"), F.col("rows"),
-                F.col(f"nulls_{i}").alias("nulls"), F.col(f"distinct_{i}").alias("distinct_values"),
-                F.col(f"low_{i}").alias("lowest"), F.col(f"high_{i}").alias("highest"),
-            )
-            for i, c in enumerate(cols)
-        ])
-        return wide.select(F.inline(lines))
+
+        def line(i: int, c: str) -> list[Column]:
+            held = F.array_sort(F.array_distinct(F.array_compact(F.col(f"samples_{i}"))))
+            given = {"nulls": "nulls", "distinct": "distinct_values", "low": "lowest", "high": "highest", "median": "median"}
+            return [F.lit(names[c]).alias("column_type"), F.col("rows"), *[F.col(f"{k}_{i}").alias(v) for k, v in given.items()], held.alias("samples")]
+
+        return wide.select(_lines(cols, line))
+    bounds = df.agg(*[x for i, c in enumerate(cols) for x in low_and_high(i, c)])
+    bounds = bounds.select(_lines(cols, lambda i, c: [F.col(f"low_{i}").alias("lowest"), F.col(f"high_{i}").alias("highest")]))
     cells = F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.lit(types[c]).alias("column_type"), F.col(c).cast("string").alias("v"))
+        F.struct(F.lit(c).alias("column_name"), F.lit(names[c]).alias("column_type"), F.col(c).cast("string").alias("v"))
         for c in cols
     ])
-    pairs = df.select(F.inline(cells)).groupBy("column_name", "column_type", "v").agg(F.count(F.lit(1)).alias("n"))
-    return pairs.groupBy("column_name", "column_type").agg(
+    # Written once: counted for the totals and searched for the samples.
+    pairs = staged(df.select(F.inline(cells)).groupBy("column_name", "column_type", "v").agg(F.count(F.lit(1)).alias("n")), "profile")
+    totals = pairs.groupBy("column_name", "column_type").agg(
         F.sum("n").alias("rows"),
         F.coalesce(F.sum(F.when(F.col("v").isNull(), F.col("n"))), F.lit(0)).alias("nulls"),
         F.count("v").alias("distinct_values"),
-        F.min("v").alias("lowest"),
-        F.max("v").alias("highest"),
     )
+    least = top_k(pairs.where("v IS NOT NULL").select("column_name", "v", F.md5(F.col("v").cast("binary")).alias("_sum")), ["column_name"], ["_sum"], samples)
+    held = least.groupBy("column_name").agg(F.array_sort(F.collect_list("v")).alias("samples"))
+    found = totals.join(F.broadcast(bounds), "column_name").join(held, "column_name", "left")
+    return found.withColumn("samples", F.coalesce("samples", F.array().cast("array<string>")))
 
 
 def apply_schema(df: DataFrame, schema: T.StructType) -> DataFrame:

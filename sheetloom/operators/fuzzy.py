@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sheetloom.operators.joins import equi_join, lookup_join
+from sheetloom.operators.joins import backbone_match, equi_join, lookup_join
+from sheetloom.session import staged
 
 
 def _piece_start(length: Column, number: Column, pieces: int) -> Column:
@@ -119,3 +120,22 @@ def fuzzy_join(
     with_left = lookup_join(left, pairs, [(left_on, "left_text")], "inner")
     joined = equi_join(with_left, right.withColumnRenamed(right_on, "_match"), [("right_text", "_match")])
     return joined.withColumnRenamed("right_text", right_on if right_on not in left.columns else f"matched_{right_on}")
+
+
+def backbone_match_near(names: DataFrame, name: str, backbone: DataFrame, canonical: str, base_url: str, max_dist: int = 2) -> DataFrame:
+    """Attach backbone columns by exact canonical name, and by edit distance for the names left over.
+
+    ``match_name`` is the name met and ``match_distance`` its distance: 0 for an equal name, else the least one within
+    ``max_dist`` edits, letter case aside; the first name in text order counts among several. Only distinct names
+    without an equal one are searched for. Names near none keep null columns.
+    """
+    known = backbone.select(F.col(canonical).alias("text")).distinct()
+    given = staged(names.select(F.col(name).alias("text")).where("text IS NOT NULL").distinct(), "names")
+    equal = equi_join(given, known, ["text"], "left_semi").select("text", F.col("text").alias("match_name"), F.lit(0).alias("match_distance"))
+    left_over = equi_join(given, known, ["text"], "left_anti")
+    pairs = fuzzy_pairs(left_over, known, max_dist)
+    best = pairs.groupBy("left_text").agg(F.min(F.struct("distance", "right_text")).alias("b"))
+    near = best.select(F.col("left_text").alias("text"), F.col("b.right_text").alias("match_name"), F.col("b.distance").alias("match_distance"))
+    matches = staged(equal.unionByName(near), "matches")
+    matched = lookup_join(names, matches, [(name, "text")], "left")
+    return backbone_match(matched, "match_name", backbone, canonical, base_url)

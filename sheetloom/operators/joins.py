@@ -129,3 +129,8 @@ def backbone_match(names: DataFrame, name: str, backbone: DataFrame, canonical:
         "backbone_url", F.concat(F.lit(base_url), F.coalesce(F.col("usage_key").cast("string"), F.lit("NA")))
     )
     return lookup_join(names, addressed, [(name, canonical)], "left")
+
+
+def missing_names(matched: DataFrame, name: str, found: str = "backbone_url") -> DataFrame:
+    """The distinct names that met nothing in the backbone."""
+    return matched.where(F.col(found).isNull() & F.col(name).isNotNull()).select(name).distinct()

@@ -11,7 +11,7 @@ from sheetloom.functions import text as X
 from sheetloom.operators import ordering as O
 from sheetloom.operators import projection as P
 from sheetloom.operators import sets as U
-from sheetloom.operators.joins import coalesce_join, lookup_join
+from sheetloom.operators.joins import coalesce_join, left_join, lookup_join
 from sheetloom.operators.reshape import separate
 from sheetloom.sources import html as H
 
@@ -78,6 +78,14 @@ def stub_grants(items: DataFrame, first_line: str, base: str, width: int = 50) -
     })
 
 
+def funded_grants(web: DataFrame, funding: DataFrame) -> DataFrame:
+    """Grants of the page's tables with what the funding list has for their code; every row of the page stays.
+
+    Columns that only the page's tables use go: the action's name, payment and duration.
+    """
+    return left_join(web, funding, ["grant_id"]).drop("sfi_action", "annual_payment", "action_s_duration")
+
+
 def stewardship_grants(codes: DataFrame, url: str) -> DataFrame:
     """Grants of a code list, all described in one handbook."""
     return codes.select(

@@ -46,21 +46,65 @@ def cat_describe(t: Tables) -> DataFrame:
     return K.describe(t.orders).join(Q.check_not_null(t.orders, t.orders.columns), "column_name")
 
 
-PROFILED = {"doc_id": "bigint", "lang": "string", "source": "string", "quality": "int", "toxic": "int"}
+PROFILED = {"doc_id": "bigint", "lang": "string", "source": "string", "quality": "int", "toxic": "int", "score": "double"}
 
 
-@query("profile", "WITH k AS (SELECT d.doc_id, d.lang, d.source, l.quality, l.toxic FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id) "
+@query("profile", "WITH k AS (SELECT d.doc_id, d.lang, d.source, l.quality, l.toxic, d.n_chars / 8.0 AS score FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id) "
        + " UNION ALL ".join(f"""
 SELECT '{c}' AS column_name, '{k}' AS column_type, count(*) AS rows, count(*) - count({c}) AS nulls,
-  count(DISTINCT {c}) AS distinct_values, min(CAST({c} AS VARCHAR)) AS lowest, max(CAST({c} AS VARCHAR)) AS highest FROM k"""
+  count(DISTINCT {c}) AS distinct_values, CAST(min({c}) AS VARCHAR) AS lowest, CAST(max({c}) AS VARCHAR) AS highest,
+  list_sort((SELECT list(v ORDER BY md5(v)) FROM (SELECT DISTINCT CAST({c} AS VARCHAR) AS v FROM k WHERE {c} IS NOT NULL))[1:3]) AS samples FROM k"""
                             for c, k in PROFILED.items()))
 def profile(t: Tables) -> DataFrame:
-    return K.profile(labelled(t))
+    """Bounds of numbers, of which 12 is greater than 9, and the values of least check sum."""
+    scores = t.documents.select("doc_id", (F.col("n_chars") / 8).alias("score"))
+    return K.profile(equi_join(labelled(t), scores, ["doc_id"]))
 
 
-@query("profile_approximate")
+SKETCHED = {"o_orderkey": "bigint", "o_custkey": "bigint", "o_totalprice": "double", "o_orderstatus": "string"}
+
+
+@query("profile_approximate", " UNION ALL ".join(f"""
+SELECT '{c}' AS column_name, '{k}' AS column_type, count(*) AS rows, count(*) - count({c}) AS nulls, CAST(min({c}) AS VARCHAR) AS lowest,
+  CAST(max({c}) AS VARCHAR) AS highest, true AS distinct_near, true AS median_near, true AS samples_held FROM orders""" for c, k in SKETCHED.items()))
 def profile_approximate(t: Tables) -> DataFrame:
-    return K.profile(t.orders, approximate=True)
+    """Sketches beside exact figures: distinct values within five errors, medians of a rank near the middle, samples that the column holds."""
+    rows = t.orders.select(*SKETCHED)
+    guessed = K.profile(rows, approximate=True)
+    cells = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("v"), (F.col(c).cast("double") if k != "string" else F.lit(None).cast("double")).alias("x")) for c, k in SKETCHED.items()])
+    tall = rows.select(F.inline(cells)).join(F.broadcast(guessed.select("column_name", "median", "samples")), "column_name")
+    exact = tall.groupBy("column_name").agg(
+        F.countDistinct("v").alias("_distinct"), F.avg((F.col("x") < F.col("median")).cast("int")).alias("_below"), F.avg((F.col("x") <= F.col("median")).cast("int")).alias("_upto"),
+        F.countDistinct(F.when(F.array_contains("samples", F.col("v")), F.col("v"))).alias("_held"))
+    joined = guessed.join(exact, "column_name")
+    near = F.abs(F.col("distinct_values") - F.col("_distinct")) <= F.greatest(F.lit(1.0), 5 * K.RSD * F.col("_distinct"))
+    middle = F.col("median").isNull() | ((F.col("_below") <= 0.5 + 2 / K.ACCURACY) & (F.col("_upto") >= 0.5 - 2 / K.ACCURACY))
+    return joined.select("column_name", "column_type", "rows", "nulls", "lowest", "highest", near.alias("distinct_near"), middle.alias("median_near"),
+                         (F.col("_held") == F.size("samples")).alias("samples_held"))
+
+
+SHOP = {"shop_region": "region", "shop_nation": "nation", "shop_supplier": "supplier", "lookup_part": "part"}
+SHOP_PARENTS = {"shop_nation": ["shop_region"], "shop_supplier": ["shop_nation"]}
+
+
+@query("cat_recreate", """
+SELECT 1 AS step, 'shop_supplier' AS table_name, 'dropped' AS state, count(*) AS n FROM supplier
+UNION ALL SELECT 2, 'shop_nation', 'dropped', count(*) FROM nation UNION ALL SELECT 3, 'shop_region', 'dropped', count(*) FROM region
+UNION ALL SELECT 4, 'lookup_part', 'kept', count(*) FROM part""")
+def cat_recreate(t: Tables) -> DataFrame:
+    """A database made anew, filled, and its base tables dropped, children before parents; lookup tables are kept."""
+    K.recreate_database(t.spark, "shop", scratch_path(t.spark, "shop"))
+    lines = []
+    for name, source in SHOP.items():
+        getattr(t, source).write.saveAsTable(f"shop.{name}")
+        lines.append((name, t.spark.table(f"shop.{name}").count()))
+    counts = dict(lines)
+    base, lookups = K.split_lookups(r.table_name for r in K.list_tables(t.spark, "shop").collect())
+    dropped = K.drop_tables(t.spark, [f"shop.{n}" for n in base], {f"shop.{c}": [f"shop.{p}" for p in ps] for c, ps in SHOP_PARENTS.items()})
+    left = {r.table_name for r in K.list_tables(t.spark, "shop").collect()}
+    steps = [(n.split(".")[1], "dropped" if n.split(".")[1] not in left else "there") for n in dropped] + [(n, "kept" if n in left else "gone") for n in lookups]
+    t.spark.sql("DROP DATABASE shop CASCADE")
+    return t.spark.createDataFrame([(i, n, s, counts[n]) for i, (n, s) in enumerate(steps, start=1)], "step int, table_name string, state string, n bigint")
 
 
 @query("schema_apply", """

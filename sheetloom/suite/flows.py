@@ -380,6 +380,18 @@ def species_priority_area(t: Tables) -> DataFrame:
     return rows.select("species_id", "common_name", "priority_id", "area_id")
 
 
+@query("species_of_one", f"""
+WITH {SPECIES}, rows AS (SELECT sp.species_id, sp.common_name, p.priority_id, a.area_id FROM sp
+  LEFT JOIN spp p ON sp.species_id = p.species_id LEFT JOIN spa a ON sp.species_id = a.species_id)
+SELECT DISTINCT 'area 3' AS listed_for, common_name FROM rows WHERE area_id = 3
+UNION ALL SELECT DISTINCT 'priority 12', common_name FROM rows WHERE priority_id = 12""")
+def species_of_one(t: Tables) -> DataFrame:
+    """Species of one area, and of one priority."""
+    rows = species_priority_area(t)
+    area, priority = PS.species_of(rows, "area_id", 3), PS.species_of(rows, "priority_id", 12)
+    return area.select(F.lit("area 3").alias("listed_for"), "common_name").unionByName(priority.select(F.lit("priority 12").alias("listed_for"), "common_name"))
+
+
 # ---- grants: scraped headings, funds, listings, code lists
 
 

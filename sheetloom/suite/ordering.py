@@ -6,6 +6,9 @@ from pyspark.sql import functions as F
 from sheetloom.functions.names import clean_name_column
 from sheetloom.operators import ordering as O
 from sheetloom.operators import sets as U
+from sheetloom.session import scratch_path
+from sheetloom.sinks import files as W
+from sheetloom.suite.projections import labelled
 from sheetloom.suite.registry import Tables, query
 
 
@@ -84,6 +87,18 @@ def s_order(t: Tables) -> DataFrame:
     return O.row_numbers(rows, [], ["quality", "-doc_id"], "place")
 
 
+@query("s_sorted_files", """
+WITH k AS (SELECT d.doc_id, d.lang, l.quality FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)
+SELECT row_number() OVER (ORDER BY quality DESC NULLS LAST, lang NULLS LAST, doc_id) AS place, doc_id, lang, quality, true AS in_order FROM k""")
+def s_sorted_files(t: Tables) -> DataFrame:
+    """Written sorted and read back in the order of the files; the manifest says whether each file follows the one before."""
+    order = ["-quality", "lang", "doc_id"]
+    path = scratch_path(t.spark, "sorted")
+    W.write_sorted(labelled(t).select("doc_id", "lang", "quality"), path, order)
+    sound = W.manifest(t.spark, path, order).agg(F.every("in_order").alias("in_order"))
+    return W.read_in_order(t.spark, path, order).join(F.broadcast(sound), how="cross").select("place", "doc_id", "lang", "quality", "in_order")
+
+
 @query("s_limit", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 100")
 def s_limit(t: Tables) -> DataFrame:
     return O.limit_rows(t.orders.select("o_orderkey", "o_totalprice"), ["-o_totalprice", "o_orderkey"], 100)

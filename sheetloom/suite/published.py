@@ -11,7 +11,8 @@ from sheetloom.operators.joins import equi_join
 from sheetloom.plans import normalise as N
 from sheetloom.plans import portal
 from sheetloom.plans.measures import SLIM
-from sheetloom.session import staged
+from sheetloom.session import scratch_path, staged
+from sheetloom.sinks.files import read_in_order, write_sorted
 from sheetloom.suite.registry import Tables, query
 
 FLAT = """
@@ -178,6 +179,17 @@ def facet_groups(t: Tables) -> DataFrame:
     return C.facet_groups(flat_source(t), portal.MEASURE, REFINE, portal.FACETS)
 
 
+@query("facet_groups_ordered", f"""
+WITH {FLAT}, g AS (SELECT DISTINCT priority_id, biodiversity_priority, measure, concise_measure, measure_id, link_to_further_guidance FROM flat WHERE {REFINED})
+SELECT row_number() OVER (ORDER BY priority_id, measure_id) AS place, * FROM g""")
+def facet_groups_ordered(t: Tables) -> DataFrame:
+    """The groups as the page lists them, by priority; files hold them in that order."""
+    path = scratch_path(t.spark, "groups")
+    order = ["priority_id", "measure_id"]
+    write_sorted(C.facet_groups(flat_source(t), portal.MEASURE, REFINE, portal.FACETS), path, order)
+    return read_in_order(t.spark, path, order)
+
+
 @query("facet_details", f"""
 WITH {FLAT} SELECT DISTINCT measure_id, grant_id, grant_name, url FROM flat WHERE {REFINED} AND grant_id IS NOT NULL""")
 def facet_details(t: Tables) -> DataFrame:

@@ -3,8 +3,10 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sheetloom.operators.joins import backbone_match
+from sheetloom.operators.fuzzy import backbone_match_near
+from sheetloom.operators.joins import backbone_match, missing_names
 from sheetloom.operators.links import apply_link_status, media_files
+from sheetloom.plans.grants import funded_grants
 from sheetloom.session import scratch_path
 from sheetloom.sinks import files as W
 from sheetloom.sinks import publish as PUB
@@ -53,9 +55,12 @@ def src_tsv(t: Tables) -> DataFrame:
     return R.read_tsv(t.spark, path, "o_orderkey bigint, o_custkey bigint, o_orderpriority string")
 
 
-@query("file_listing")
+LISTED = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
+
+
+@query("file_listing", "SELECT name || '.parquet' AS file_name, true AS filled FROM (VALUES " + ", ".join(f"('{n}')" for n in LISTED) + ") v(name)")
 def file_listing(t: Tables) -> DataFrame:
-    return R.list_files(t.spark, t.folder, "*.parquet").select("folder", "file_name", "length")
+    return R.list_files(t.spark, t.folder, "*.parquet").select("file_name", (F.col("length") > 0).alias("filled"))
 
 
 @query("html_links", r"""
@@ -111,6 +116,44 @@ def html_tables(t: Tables) -> DataFrame:
     return H.table_columns(rows, ["Code", "SFI action", "category", "annual payment"], "p_partkey")
 
 
+def stacked_pages(t: Tables) -> DataFrame:
+    """Every part as a page with two tables whose headers name the same things in another order, and one of other things."""
+    def row(tag: str, *texts) -> list:
+        return [F.lit("<tr>"), *[piece for text in texts for piece in (F.lit(f"<{tag}>"), text)]]
+
+    head = [F.lit(x) for x in ("Code", "SFI action", "Annual payment", "Action(s) duration")]
+    size, price = F.col("p_size").cast("string"), F.col("p_retailprice").cast("string")
+    first = [*row("th", *head), *row("td", F.col("p_brand"), F.col("p_name"), size, F.lit("3 years"))]
+    second = [*row("th", head[2], F.lit("Notes"), head[0], head[1]), *row("td", price, F.lit("&lbrace;n&rbrace;"), F.upper("p_type"), F.lower("p_type"))]
+    html = F.concat(F.lit("<table>"), *first, F.lit("</table><table>"), *second, F.lit("</table><table><tr><td>x</table>"))
+    return t.part.select("p_partkey", html.alias("html"))
+
+
+def stacked(t: Tables) -> DataFrame:
+    rows = H.extract_tables(stacked_pages(t), "html", "p_partkey", ncol=4)
+    return H.stacked_tables(rows, "p_partkey", ["code", "sfi_action", "annual_payment", "action_s_duration"])
+
+
+STACKED = """
+stacked AS (SELECT p_partkey, 0 AS "table", 1 AS "row", p_brand AS code, p_name AS sfi_action, CAST(p_size AS VARCHAR) AS annual_payment, '3 years' AS action_s_duration FROM part
+  UNION ALL SELECT p_partkey, 1, 1, upper(p_type), lower(p_type), CAST(p_retailprice AS VARCHAR), NULL FROM part)"""
+
+
+@query("html_stacked", f"WITH {STACKED} SELECT * FROM stacked")
+def html_stacked(t: Tables) -> DataFrame:
+    """The tables of a page under their own headers, one below the other."""
+    return stacked(t)
+
+
+@query("grants_with_funding", f"""
+WITH {STACKED}, f AS (SELECT p_brand AS grant_id, max(p_retailprice) AS funding FROM part WHERE p_size > 20 GROUP BY p_brand)
+SELECT p_partkey, "table", "row", code AS grant_id, funding FROM stacked LEFT JOIN f ON code = grant_id""")
+def grants_with_funding(t: Tables) -> DataFrame:
+    """The stacked page tables with the funding list; rows without funding stay."""
+    funding = t.part.where("p_size > 20").groupBy(F.col("p_brand").alias("grant_id")).agg(F.max("p_retailprice").alias("funding"))
+    return funded_grants(stacked(t).withColumnRenamed("code", "grant_id"), funding)
+
+
 @query("page_urls", """
 SELECT p_partkey, CAST(page AS INT) AS page, 'https://list.example/' || p_partkey || CASE WHEN page > 1 THEN '?page=' || page ELSE '' END AS url
 FROM (SELECT p_partkey, unnest(range(1, p_size + 1)) AS page FROM part)""")
@@ -162,6 +205,31 @@ def backbone(t: Tables) -> DataFrame:
     return backbone_match(names, "name", known, "canonical_name", "https://backbone.example/")
 
 
+@query("backbone_match_near", """
+WITH names AS (SELECT p_partkey, CASE WHEN p_size % 3 = 0 THEN upper(p_name) || 'x' WHEN p_size % 3 = 1 THEN p_name[2:] ELSE p_name || ' sp. nov.' END AS name FROM part),
+b AS (SELECT p_name AS canonical_name, min(p_partkey) AS usage_key, count(*) AS uses FROM part WHERE p_size < 40 GROUP BY p_name),
+n AS (SELECT DISTINCT name FROM names),
+near AS (SELECT n.name, canonical_name AS match_name, levenshtein(lower(n.name), lower(canonical_name)) AS d, row_number() OVER (PARTITION BY n.name
+  ORDER BY n.name <> canonical_name, levenshtein(lower(n.name), lower(canonical_name)), canonical_name) AS place FROM n JOIN b
+  ON n.name = canonical_name OR levenshtein(lower(n.name), lower(canonical_name)) <= 2)
+SELECT p_partkey, names.name, match_name, CAST(d AS INT) AS match_distance, usage_key, uses,
+  CASE WHEN usage_key IS NOT NULL THEN 'https://backbone.example/' || usage_key END AS backbone_url
+FROM names LEFT JOIN near ON names.name = near.name AND place = 1 LEFT JOIN b ON match_name = canonical_name""")
+def backbone_near(t: Tables) -> DataFrame:
+    """Names in other case, with a letter more or less, or with words more; only the last stay unmatched."""
+    size = F.col("p_size") % 3
+    name = F.when(size == 0, F.concat(F.upper("p_name"), F.lit("x"))).when(size == 1, F.substring("p_name", 2, 1000)).otherwise(F.concat("p_name", F.lit(" sp. nov.")))
+    known = t.part.where("p_size < 40").groupBy(F.col("p_name").alias("canonical_name")).agg(F.min("p_partkey").alias("usage_key"), F.count(F.lit(1)).alias("uses"))
+    return backbone_match_near(t.part.select("p_partkey", name.alias("name")), "name", known, "canonical_name", "https://backbone.example/")
+
+
+@query("backbone_missing", """
+SELECT DISTINCT p_name || ' sp.' AS name FROM part WHERE p_size > 40""")
+def backbone_missing(t: Tables) -> DataFrame:
+    """The names that the backbone lacks."""
+    return missing_names(backbone(t), "name")
+
+
 @query("link_status", """
 WITH s AS (SELECT DISTINCT url, CASE WHEN contains(url, '#') THEN 'httr2_http_404' WHEN contains(url, '?') THEN 'httr2_failure' ELSE '200' END AS status
   FROM pages)

@@ -177,9 +177,13 @@ def s_wrap(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", X.wrap(F.col("text"), 50).alias("wrapped"))
 
 
-@query("s_wrap_even")
+@query("s_wrap_even", rf"""
+SELECT doc_id, trim(regexp_replace(text, '{SP}+', ' ', 'g')) AS words, CASE WHEN text IS NOT NULL THEN true END AS fits FROM documents""")
 def s_wrap_even(t: Tables) -> DataFrame:
-    return t.documents.select("doc_id", X.wrap_even(F.col("text"), 50).alias("wrapped"))
+    """The words that the lines hold, and whether every line of several words fits the width."""
+    wrapped = t.documents.select("doc_id", X.wrap_even(F.col("text"), 50).alias("wrapped"))
+    fits = F.forall(F.split("wrapped", "\n"), lambda line: (F.length(line) <= 50) | ~F.contains(line, F.lit(" ")))
+    return wrapped.select("doc_id", F.replace("wrapped", F.lit("\n"), F.lit(" ")).alias("words"), fits.alias("fits"))
 
 
 def image_paths(t: Tables) -> DataFrame:

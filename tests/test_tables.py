@@ -16,7 +16,11 @@ from sheetloom.operators import facets as C
 from sheetloom.operators import projection as P
 from sheetloom.operators import reshape as R
 from sheetloom.operators import sets as U
+from sheetloom.operators.fuzzy import backbone_match_near
+from sheetloom.operators.joins import missing_names
 from sheetloom.operators.ordering import collapse
+from sheetloom.session import scratch_path
+from sheetloom.sinks import files as W
 
 
 def test_matrix_marks_and_headers(spark, rows):
@@ -218,3 +222,42 @@ def test_unions(spark, rows):
     assert rows(U.union_by_name(a, b)) == [(1, "x"), (2, None)]
     assert rows(U.union_with_key({"p": a, "q": b}, "key")) == [("p", 1, "x"), ("q", 2, None)]
     assert rows(U.union_all([b, b])) == [(2,), (2,)] and rows(U.difference(b, b)) == []
+
+
+def test_profile_bounds_follow_the_type(spark):
+    rows = spark.createDataFrame([(n, float(n), str(n), None if n % 2 else {"a": n}) for n in range(1, 13)], "i int, x double, t string, m map<string,int>")
+    exact = {r.column_name: r for r in K.profile(rows).collect()}
+    assert (exact["i"].lowest, exact["i"].highest, exact["x"].highest, exact["t"].highest) == ("1", "12", "12.0", "9")
+    assert exact["m"].lowest is None and exact["m"].nulls == 6 and exact["i"].distinct_values == 12
+    for c in "ixt":
+        assert len(exact[c].samples) == 3 and set(exact[c].samples) <= {str(r[c]) for r in rows.collect()}
+    again = {r.column_name: r.samples for r in K.profile(rows.repartition(5)).collect()}
+    assert again == {c: r.samples for c, r in exact.items()}
+    near = {r.column_name: r for r in K.profile(rows, approximate=True).collect()}
+    assert near["x"].median == 6.0 and near["t"].median is None and near["i"].highest == "12" and near["m"].rows == 12
+    empty = {r.column_name: r for r in K.profile(rows.limit(0), approximate=True).collect()}
+    assert empty["i"].rows == 0 and empty["i"].samples == [] and empty["i"].lowest is None
+
+
+def test_sorted_files_are_read_in_order(spark):
+    data = [(None if i % 7 == 0 else i % 50, f"k{i % 13}", i) for i in range(3000)]
+    df = spark.createDataFrame(data, "v int, g string, i int").repartition(6)
+    path, order = scratch_path(spark, "sorted"), ["-v", "g", "i"]
+    W.write_sorted(df, path, order, 4)
+    files = W.manifest(spark, path, order).orderBy("_file").collect()
+    assert len(files) > 1 and all(f.in_order for f in files) and sum(f.rows for f in files) == 3000
+    want = sorted(data, key=lambda r: (r[0] is None, -(r[0] or 0), r[1], r[2]))
+    got = sorted(W.read_in_order(spark, path, order).collect(), key=lambda r: r.place)
+    assert [(r.v, r.g, r.i) for r in got] == want and [r.place for r in got] == list(range(1, 3001))
+    # Under another order some file does not follow the one before.
+    assert not all(f.in_order for f in W.manifest(spark, path, ["v", "g", "i"]).collect())
+
+
+def test_names_near_a_backbone(spark, rows):
+    backbone = spark.createDataFrame([("Vulpes vulpes", 1), ("Vulpes vulpas", 2), ("Apis mellifera", 3)], "canonical string, usage_key int")
+    names = spark.createDataFrame([(1, "Vulpes vulpes"), (2, "vulpes vulpis"), (3, "Apis melifera"), (4, "Bombus"), (5, None), (6, "Apis melifera")], "i int, name string")
+    got = backbone_match_near(names, "name", backbone, "canonical", "u/")
+    assert rows(got, "i", "match_name", "match_distance", "usage_key", "backbone_url") == [
+        (1, "Vulpes vulpes", 0, 1, "u/1"), (2, "Vulpes vulpas", 1, 2, "u/2"), (3, "Apis mellifera", 1, 3, "u/3"), (4, None, None, None, None),
+        (5, None, None, None, None), (6, "Apis mellifera", 1, 3, "u/3")]
+    assert rows(missing_names(got, "name")) == [("Bombus",)]
