@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import hashlib
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,10 +25,11 @@ def text_digest(text: Column) -> Column:
 
 
 class DigestIndex:
-    """The index kept in ``path``; ``buckets`` is fixed when the index is made."""
+    """The index kept in ``path``; ``buckets`` is fixed when the index is made, and kept beside it for whoever opens it later."""
 
     def __init__(self, spark: SparkSession, path: str, buckets: int) -> None:
         self.spark = spark
+        buckets = self._made_with(f"{path.rstrip('/')}/_buckets", buckets)
         self.name = f"digest_index_{hashlib.sha1(path.encode()).hexdigest()[:16]}"
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {self.name} (digest BINARY, keep_id BIGINT, group_size BIGINT) USING parquet "
@@ -35,6 +37,16 @@ class DigestIndex:
         )
         self.buckets = buckets
 
+    def _made_with(self, path: str, buckets: int) -> int:
+        """The number that the index was made with; a new index is made with ``buckets``. Readers pass over names with an underscore."""
+        try:
+            return self.spark.read.schema("n int").parquet(path).first().n
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+        self.spark.range(1).select(F.lit(buckets).alias("n")).coalesce(1).write.parquet(path)
+        return buckets
+
     def table(self) -> DataFrame:
         return self.spark.table(self.name)
 

@@ -40,3 +40,17 @@ def test_index_is_not_shuffled(spark):
 
 def test_empty_table(spark, nothing):
     assert DigestIndex(spark, scratch_path(spark, "i"), 4).dedup(nothing).count() == 0
+
+
+def test_another_bucket_number_finds_what_is_held(spark):
+    path = scratch_path(spark, "index")
+    batch = spark.createDataFrame([(i, f"text {i}") for i in range(40)], "doc_id bigint, text string")
+    first = DigestIndex(spark, path, 4)
+    assert first.dedup(batch).where("kept").count() == 40
+    # Only the files are left for the next session, which asks for another number.
+    spark.sql(f"DROP TABLE {first.name}")
+    second = DigestIndex(spark, path, 7)
+    later = spark.createDataFrame([(100 + i, f"text {i}") for i in range(45)], "doc_id bigint, text string")
+    got = second.dedup(later).collect()
+    assert second.buckets == 4 and sorted(r.doc_id for r in got if r.kept) == [140, 141, 142, 143, 144]
+    assert sum(r.indexed for r in got) == 40 and second.table().count() == 45
