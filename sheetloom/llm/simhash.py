@@ -34,6 +34,8 @@ DISTANCE = 4
 # More groups make the cells more selective, at more rows a fingerprint: 70 cells each for 8. The result does not depend on it.
 GROUPS = 8
 CHUNK = 512
+# Fingerprints whose cells a task makes and counts, and the most tasks for that; beyond those, counting spills.
+TASK_ROWS, MOST_TASKS = 1 << 14, 1 << 15
 # Shingles whose bits are counted at once.
 SLICE = 1 << 16
 
@@ -110,7 +112,9 @@ def near_links(fps: DataFrame, distance: int = DISTANCE, groups: int = GROUPS, c
     pair = F.shiftleft(F.col("fp").bitwiseAND(next_).bitwiseAND(low), 1).bitwiseOR(F.col("fp").bitwiseXOR(next_).bitwiseAND(low))
     masks = _cells(distance, groups)
     cells = F.array(*[F.struct(F.lit(i).cast("short").alias("c"), F.col("_counts").bitwiseAND(F.lit(_signed(m))).alias("at")) for i, m in enumerate(masks)])
-    rows = fps.select("fp", pair.alias("_counts")).select("fp", F.explode(cells).alias("k")).select(F.col("k.c").alias("c"), F.col("k.at").alias("at"), "fp")
+    # A table of fingerprints is small in bytes, so few tasks would read it, but each row becomes as many as there are masks.
+    spread = fps.repartition(min(MOST_TASKS, fps.count() // TASK_ROWS + 1), "fp")
+    rows = spread.select("fp", pair.alias("_counts")).select("fp", F.explode(cells).alias("k")).select(F.col("k.c").alias("c"), F.col("k.at").alias("at"), "fp")
     shared = rows.groupBy("c", "at").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     parts = F.expr(f"(n + {chunk - 1}) div {chunk}")
     held = rows.join(shared, ["c", "at"]).withColumn("parts", parts).withColumn("part", F.expr("pmod(xxhash64(fp), parts)"))
