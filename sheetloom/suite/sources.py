@@ -13,6 +13,7 @@ from sheetloom.sinks import publish as PUB
 from sheetloom.sources import files as R
 from sheetloom.sources import html as H
 from sheetloom.sources.media import explode_media
+from sheetloom.sources.quoted import read_quoted
 from sheetloom.suite.projections import labelled
 from sheetloom.suite.registry import Tables, query
 
@@ -33,6 +34,14 @@ def src_csv(t: Tables) -> DataFrame:
     return R.read_csv(t.spark, path, CUSTOMER)
 
 
+@query("src_quoted", "SELECT doc_id, nullif(text, '') AS text, lang, source FROM documents")
+def src_quoted(t: Tables) -> DataFrame:
+    """Texts with line breaks and quotes, from files of which each is read by as many tasks as it has splits."""
+    path = scratch_path(t.spark, "quoted")
+    W.write_csv(t.documents.select("doc_id", "text", "lang", "source"), path)
+    return read_quoted(t.spark, path, ",", "doc_id bigint, text string, lang string, source string")
+
+
 @query("src_parquet", "SELECT * FROM customer")
 def src_parquet(t: Tables) -> DataFrame:
     return R.read_parquet(t.spark, t.path("customer"))
