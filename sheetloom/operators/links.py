@@ -9,13 +9,28 @@ from pyspark.sql import functions as F
 
 from sheetloom.functions import text as X
 from sheetloom.functions.names import clean_name_column
-from sheetloom.operators.joins import equi_join, lookup_join
+from sheetloom.operators.joins import equi_join
+from sheetloom.session import staged_by
 
 # The status of a missing page, and of a sound one.
 MISSING_PAGE = "httr2_http_404"
 SOUND = "200"
 
 
+def is_sound(status: Column, drop_status: Sequence[str] = (MISSING_PAGE,), keep_status: Sequence[str] | None = None) -> Column:
+    """Whether a link with this status stays; one without status has none to be dropped for.
+
+    The newer rule drops missing pages only; with ``keep_status`` the older rule keeps the given ones.
+    """
+    state = F.coalesce(status, F.lit(""))
+    return state.isin(*keep_status) if keep_status is not None else ~state.isin(*drop_status)
+
+
+def with_link_status(df: DataFrame, status: DataFrame, url: str) -> DataFrame:
+    """Rows with the ``status`` of their link, by a crawl log with ``url`` and ``status``; a hot link is left to adaptive execution."""
+    return equi_join(df, status.select(F.col("url").alias("_url"), "status"), [(url, "_url")], "left")
+
+
 def apply_link_status(
     df: DataFrame,
     status: DataFrame,
@@ -23,14 +38,10 @@ def apply_link_status(
     drop_status: Sequence[str] = (MISSING_PAGE,),
     keep_status: Sequence[str] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Rows whose link is sound and the rest, by a crawl log with ``url`` and ``status``.
-
-    The newer rule drops missing pages only; with ``keep_status`` the older rule keeps the given ones.
-    """
-    checked = lookup_join(df, status.select(F.col("url").alias("_url"), "status"), [(url, "_url")], "left")
-    state = F.coalesce(F.col("status"), F.lit(""))
-    good = state.isin(*keep_status) if keep_status is not None else ~state.isin(*drop_status)
-    return checked.where(good), checked.where(~good)
+    """Rows whose link is sound and the rest, by the rules of ``is_sound``; both are written by one job, so all is read once."""
+    side = F.when(is_sound(F.col("status"), drop_status, keep_status), "sound").otherwise("rest")
+    parts = staged_by(with_link_status(df, status, url).withColumn("_side", side), "_side", ["sound", "rest"], "links")
+    return parts["sound"], parts["rest"]
 
 
 def media_files(media: DataFrame, names: DataFrame, key: str, root: str) -> DataFrame:

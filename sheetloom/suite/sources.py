@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from sheetloom.operators.fuzzy import backbone_match_near
 from sheetloom.operators.joins import backbone_match, missing_names
-from sheetloom.operators.links import apply_link_status, media_files
+from sheetloom.operators.links import apply_link_status, is_sound, media_files
 from sheetloom.plans.grants import funded_grants
 from sheetloom.session import scratch_path
 from sheetloom.sinks import files as W
@@ -247,13 +247,10 @@ def link_status(t: Tables) -> DataFrame:
     url = F.col("url")
     status = F.when(url.contains("#"), "httr2_http_404").when(url.contains("?"), "httr2_failure").otherwise("200")
     log = t.pages.select("url", status.alias("status")).distinct()
-    rows = t.pages.select("page_id", "url")
-    newer = [part.withColumn("newer", F.lit(flag)) for part, flag in zip(apply_link_status(rows, log, "url"), (True, False))]
-    older = [
-        part.select("page_id", F.lit(flag).alias("older"))
-        for part, flag in zip(apply_link_status(rows, log, "url", keep_status=["200"]), (True, False))
-    ]
-    return newer[0].unionByName(newer[1]).join(older[0].unionByName(older[1]), "page_id")
+    both = dict(zip((True, False), apply_link_status(t.pages.select("page_id", "url"), log, "url"), strict=True))
+    older = is_sound(F.col("status"), keep_status=["200"]).alias("older")
+    marked = [part.select("page_id", "url", "status", F.lit(flag).alias("newer"), older) for flag, part in both.items()]
+    return marked[0].unionByName(marked[1])
 
 
 @query("snk_delim", """

@@ -9,6 +9,7 @@ from sheetloom.functions.geometry import parse_polygon
 from sheetloom.operators import joins as J
 from sheetloom.operators import spatial as S
 from sheetloom.operators.fuzzy import fuzzy_join, fuzzy_pairs
+from sheetloom.operators.links import apply_link_status
 from sheetloom.operators.spatial import spatial_join
 
 
@@ -161,3 +162,14 @@ def test_a_large_region_becomes_many_cells(spark):
     assert len({(c.id, c._level, c._cx, c._cy) for c in cells}) == len(cells) > 100
     assert sum(c._whole for c in cells) > 40 and all((c._sides is None) == c._whole for c in cells)
     assert max(len(c._sides) for c in cells if not c._whole and c.id == 1) < 20
+
+
+def test_links_are_split_by_their_status(spark, rows):
+    pages = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (4, None), (5, "a"), (6, "d")], "id int, url string")
+    log = spark.createDataFrame([("a", "200"), ("b", "httr2_http_404"), ("c", "httr2_failure"), ("d", None), (None, "200")], "url string, status string")
+    good, bad = apply_link_status(pages, log, "url")
+    assert rows(good, "id") == [(1,), (3,), (4,), (5,), (6,)]
+    assert rows(bad) == [(2, "b", "httr2_http_404")]
+    good, bad = apply_link_status(pages, log, "url", keep_status=["200"])
+    assert rows(good, "id") == [(1,), (5,)] and rows(bad, "id") == [(2,), (3,), (4,), (6,)]
+    assert rows(apply_link_status(pages.limit(0), log, "url")[1]) == []
