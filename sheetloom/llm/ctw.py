@@ -9,7 +9,7 @@ A node that training never met leaves the prediction to the deepest one it did m
 The unit of work is the distinct string of DEPTH + 1 bytes: counting, weighting and mixing are groupings and joins over
 them. Texts are written once in chunks of some megabytes, as they are read, bucketed by chunk; a chunk lists its distinct
 strings and words, in a table bucketed by them, where they are counted and joined with their values without another
-shuffle; values then meet the texts of their chunk. Nothing whole is broadcast, so the tree may grow with the corpus.
+shuffle; values, many to a row, then meet the texts of their chunk. Long texts are worked on in slices. Nothing whole is broadcast, so the tree may grow with the corpus.
 Words that one chunk alone holds are counted there and not sent back.
 
 Defined results: a null text is empty; A-Z are lower-cased; a text ends with the byte 0xFF, which UTF-8 never uses, and
@@ -20,6 +20,7 @@ has probability 1/2. Repeated rows count each and get equal scores. Extra column
 from __future__ import annotations
 
 import math
+import re
 from collections import Counter
 from collections.abc import Iterator
 
@@ -38,8 +39,13 @@ DEPTH = 5
 TOP = 3
 STRINGS = 400_000
 #: Bytes of text and rows that a chunk holds at most; a single longer text is a chunk by itself.
-CHUNK_BYTES = 20 << 20
+CHUNK_BYTES = 16 << 20
 CHUNK_ROWS = 1 << 13
+#: Bytes of text worked on at once inside a chunk.
+SLICE = 2 << 20
+#: Values that are sorted by chunk before they are sent, at most about.
+PACK_ROWS, PACK_BYTES = 1 << 18, 32 << 20
+SPACE = re.compile(rb"[\x20\x09-\x0D]")
 END = 0xFF
 HELD_OUT = (7, 2)
 
@@ -56,16 +62,33 @@ def _lower(data: bytes) -> bytes:
     return data.translate(bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256)))
 
 
-def _strings(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """All strings of depth + 1 bytes that end in a text or at its end, as numbers, and the length of each text's share."""
-    gap = bytes([END]) * depth
-    data = np.frombuffer(gap + gap.join(t + bytes([END]) for t in texts), np.uint8)
+def _slices(texts: list[bytes], depth: int, size: int) -> Iterator[list[tuple[int, bytes]]]:
+    """Pieces of consecutive texts, some megabytes together: the number of the text, and bytes behind the depth ones before them.
+
+    A text has depth bytes before it and its end behind it; one longer than a slice becomes several pieces.
+    """
+    part, held = [], 0
+    for i, t in enumerate(texts):
+        whole = bytes([END]) * depth + t + bytes([END])
+        for at in range(0, len(t) + 1, size):
+            part.append((i, whole[at : at + size + depth]))
+            held += len(part[-1][1])
+            if held >= size:
+                yield part
+                part, held = [], 0
+    if part:
+        yield part
+
+
+def _strings(part: list[tuple[int, bytes]], depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """All strings of depth + 1 bytes that lie in a piece, as numbers, and how many each piece has."""
+    data = np.frombuffer(b"".join(p for _, p in part), np.uint8)
     value = np.zeros(len(data) - depth, np.uint64)
     for k in range(depth + 1):
         value <<= np.uint64(8)
         value |= data[k : len(data) - depth + k]
-    sizes = np.array([len(t) + 1 for t in texts])
-    # Between two texts lie strings that end in the gap; they belong to neither.
+    sizes = np.array([len(p) - depth for _, p in part])
+    # Strings that reach from one piece into the next belong to neither.
     starts = np.cumsum(sizes + depth) - (sizes + depth)
     keep = np.ones(len(value), bool)
     for s, n in zip(starts[:-1], sizes[:-1], strict=True):
@@ -73,17 +96,13 @@ def _strings(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
     return value[keep], sizes
 
 
-def _slices(texts: list[bytes], size: int = 4 << 20):
-    """Consecutive texts of some megabytes together."""
-    part, held = [], 0
-    for t in texts:
-        part.append(t)
-        held += len(t)
-        if held > size:
-            yield part
-            part, held = [], 0
-    if part:
-        yield part
+def _words(text: bytes, size: int) -> Iterator[list[bytes]]:
+    """The words of a text, some megabytes of it at a time."""
+    at = 0
+    while len(text) - at > size and (gap := SPACE.search(text, at + size)):
+        yield text[at : gap.start()].split()
+        at = gap.end()
+    yield text[at:].split()
 
 
 def _eight(keys: np.ndarray) -> pa.Array:
@@ -99,12 +118,14 @@ def _listing(depth: int):
         train = table.column("train").to_pylist()
         keys, counts, words = [], [], {True: Counter(), False: Counter()}
         for learn in (True, False):
-            for part in _slices([t for t, w in zip(texts, train, strict=True) if w == learn]):
+            mine = [t for t, w in zip(texts, train, strict=True) if w == learn]
+            for part in _slices(mine, depth, SLICE):
                 found, n = np.unique(_strings(part, depth)[0], return_counts=True)
                 keys.append(found)
                 counts.append(n * learn)
-                for t in part:
-                    words[learn].update(t.split())
+            for t in mine:
+                for some in _words(t, SLICE):
+                    words[learn].update(some)
         found, at = np.unique(np.concatenate(keys), return_inverse=True)
         n = np.bincount(at, np.concatenate(counts), len(found)).astype(np.int64)
         names = [*words[True], *(w for w in words[False] if w not in words[True])]
@@ -292,22 +313,24 @@ def _scoring(depth: int, base: int, ends: int):
     def score(texts: pa.Table, values: pa.Table) -> pa.Table:
         if not texts.num_rows:
             raise ValueError("values without their texts")
-        kind, value = values.column("kind").to_numpy(), values.column("value").to_numpy()
-        key = values.column("key").combine_chunks()
-        held = key.filter(pa.array(kind == 0))
-        # Strings are eight bytes each, one after the other in the column's own buffer.
-        grams = np.frombuffer(held.buffers()[2] or b"", ">u8", len(held), 8 * held.offset).astype(np.uint64)
+        kind = values.column("kind").to_numpy()
+
+        def joined(column: str, of: int) -> bytes:
+            return b"".join(values.column(column).filter(pa.array(kind == of)).to_pylist())
+
+        grams = np.frombuffer(joined("keys", 0), ">u8").astype(np.uint64)
         order = np.argsort(grams)
-        grams, chance = grams[order], value[kind == 0][order]
+        grams, chance = grams[order], np.frombuffer(joined("vals", 0), np.float64)[order]
+        del order
         data = [_lower(t) for t in texts.column("text").to_pylist()]
         # Words that are nowhere else have their counts here.
         counts: Counter = Counter()
         for t, learn in zip(data, texts.column("train").to_pylist(), strict=True):
             if learn:
-                counts.update(t.split())
-        for word, count in zip(key.filter(pa.array(kind == 1)).to_pylist(), value[kind == 1].tolist(), strict=True):
+                for some in _words(t, SLICE):
+                    counts.update(some)
+        for word, count in zip(joined("keys", 1).split(), np.frombuffer(joined("vals", 1), np.float64).tolist(), strict=True):
             counts[word] = int(count)
-        del values, key, held, order, value, kind
         unseen, end = math.log10(1 / base), math.log10((ends + 1) / base)
         # Counts become logarithms in place: a second table of words would take as much memory again.
         logs = counts
@@ -318,26 +341,70 @@ def _scoring(depth: int, base: int, ends: int):
         factor, shift = np.uint64(0x9E3779B97F4A7C15), np.uint64(64 - bits)
         table = np.zeros(1 << bits, np.int32)
         table[(grams * factor) >> shift] = np.arange(len(grams), dtype=np.int32)
-        sums = []
-        for part in _slices(data, 2 << 20):
+        sums = np.zeros(len(data))
+        for part in _slices(data, depth, SLICE):
             asked, sizes = _strings(part, depth)
             at = table[(asked * factor) >> shift]
             wrong = np.flatnonzero(grams[at] != asked)
             at[wrong] = np.searchsorted(grams, asked[wrong])
-            sums.append(np.add.reduceat(chance[at], np.cumsum(sizes) - sizes))
+            np.add.at(sums, [i for i, _ in part], np.add.reduceat(chance[at], np.cumsum(sizes) - sizes))
         words = []
         for t in data:
-            found = [logs.get(w, unseen) for w in t.split()]
-            words.append((len(found) + 1, sum(x > unseen for x in found) + (ends > 0), math.fsum(found) + end))
+            n, known, total = 1, int(ends > 0), [end]
+            for some in _words(t, SLICE):
+                found = [logs.get(w, unseen) for w in some]
+                n, known = n + len(found), known + sum(x > unseen for x in found)
+                total.append(math.fsum(found))
+            words.append((n, known, math.fsum(total)))
         n_tokens, n_known, base_scores = zip(*words, strict=True)
         return pa.table({
             "doc_id": texts.column("doc_id"), "held_out": pc.invert(texts.column("train")), "n_tokens": pa.array(n_tokens, pa.int64()),
-            "n_known": pa.array(n_known, pa.int64()), "base_score": pa.array(base_scores, pa.float64()), "score": pa.array(np.concatenate(sums)),
+            "n_known": pa.array(n_known, pa.int64()), "base_score": pa.array(base_scores, pa.float64()), "score": pa.array(sums),
         })
 
     return score
 
 
+def _packed(known: DataFrame, kind: int, space: bytes) -> DataFrame:
+    """``chunk``, ``kind``, ``keys`` and ``vals``: of some hundred thousand rows (chunk, key, value), those of a chunk in one row.
+
+    Keys stand one after the other, each with ``space`` behind it, values as eight bytes each. A task that puts the values
+    of a chunk in order then handles few wide rows.
+    """
+
+    def packs(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        rows = pa.Table.from_batches(held)
+        rows = rows.take(pa.array(np.argsort(rows.column("chunk").to_numpy(), kind="stable")))
+        chunk, key = rows.column("chunk").to_numpy(), rows.column("key").combine_chunks()
+        if space:
+            key = pc.binary_join_element_wise(key, pa.scalar(space, pa.binary()), pa.scalar(b"", pa.binary()))
+        edges = np.concatenate(([0], np.flatnonzero(chunk[1:] != chunk[:-1]) + 1, [len(chunk)]))
+        ends = np.concatenate(([0], np.cumsum(pc.binary_length(key).to_numpy())))[edges]
+
+        def wide(offsets: np.ndarray, data: bytes) -> pa.Array:
+            return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.astype(np.int32).tobytes()), pa.py_buffer(data)])
+
+        return pa.RecordBatch.from_arrays(
+            [pa.array(chunk[edges[:-1]]), pa.array(np.full(len(edges) - 1, kind, np.int8)), wide(ends, b"".join(key.to_pylist())), wide(edges * 8, rows.column("value").to_numpy().tobytes())],
+            names=["chunk", "kind", "keys", "vals"],
+        )
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows, size = [], 0, 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            held.append(batch)
+            rows, size = rows + batch.num_rows, size + batch.nbytes
+            if rows >= PACK_ROWS or size >= PACK_BYTES:
+                yield packs(held)
+                held, rows, size = [], 0, 0
+        if held:
+            yield packs(held)
+
+    return known.select("chunk", "key", "value").mapInArrow(pack, "chunk bigint, kind byte, keys binary, vals binary")
+
+
 def _bucketed(df: DataFrame, key: str) -> DataFrame:
     """The table written once, bucketed by ``key``: grouping by it or joining on it then takes no shuffle."""
     spark = df.sparkSession
@@ -387,7 +454,7 @@ def scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", depth: i
     codes = lengths.select(F.unhex(F.lpad(F.hex("key"), 16, "0")).alias("key"), "value")
     shared = words.where("chunks > 1").select("key", F.col("n").cast("double").alias("value"))
     asked = listed.select("chunk", "kind", "key")
-    known = asked.where("kind = 0").join(codes, "key").unionByName(asked.where("kind = 1").join(shared, "key")).select("chunk", "kind", "key", "value")
+    known = _packed(asked.where("kind = 0").join(codes, "key"), 0, b"").unionByName(_packed(asked.where("kind = 1").join(shared, "key"), 1, b" "))
     kind = dict(rows.dtypes)["doc_id"]
     result = dealt.select("chunk", "doc_id", "train", "text").groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(
         _scoring(depth, total + distinct + 1, ends), f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double"

@@ -114,3 +114,19 @@ def test_chunks_are_bounded_in_bytes_and_rows(spark, monkeypatch):
     for r in seen[0].collect():
         chunks[r.chunk].append(len(r.text))
     assert all(len(c) <= 8 and (sum(c) <= 1000 or len(c) == 1) for c in chunks.values()) and len(chunks) < len(sizes)
+
+
+def test_texts_longer_than_a_slice_and_packs_of_few_rows(spark, monkeypatch):
+    rows = [(i, " ".join(f"w{(i * j) % 23}" for j in range(1, 90))) for i in range(12)] + [(12, "x" * 700), (13, ""), (14, " a  b ")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    whole = sorted(map(tuple, ctw.scores(docs, depth=3).collect()))
+    for name, size in (("SLICE", 50), ("PACK_ROWS", 7), ("CHUNK_BYTES", 600)):
+        monkeypatch.setattr(ctw, name, size)
+    texts = [t.encode() for _, t in rows]
+    parts = list(ctw._slices(texts, 3, 50))
+    assert max(len(p) for part in parts for _, p in part) == 53
+    assert sorted(s for part in parts for s in ctw._strings(part, 3)[0]) == sorted(s for t in texts for s in ctw._strings(next(ctw._slices([t], 3, 1 << 20)), 3)[0])
+    assert all([w for some in ctw._words(t, 50) for w in some] == t.split() for t in texts)
+    check(docs, 3)
+    for a, b in zip(sorted(map(tuple, ctw.scores(docs, depth=3).collect())), whole):
+        assert a[:5] == b[:5] and math.isclose(a[5], b[5], rel_tol=1e-12) and math.isclose(a[6], b[6], rel_tol=1e-9)
