@@ -3,17 +3,19 @@
 Plain joins are left to the optimiser and to adaptive execution, which picks broadcasts by measured
 size and splits skewed sort-merge partitions; that needs both sides to come straight from a shuffle,
 so semi and anti joins take their key tables as they are, without a distinct. ``lookup_join`` is for
-stored facts against lookups that were aggregated on the same key: keys that hold very many fact rows
-never enter the shuffle. It counts the left keys first, so the left side should be cheap to read.
+facts against lookups that were aggregated on the same key: keys that hold very many fact rows
+never enter the shuffle. They are found by a sketch that is filled while the facts are written for
+several readers, so no job counts keys.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sheetloom.session import staged
 
@@ -21,8 +23,10 @@ Keys = Sequence[str | tuple[str, str]]
 
 # A key with more fact rows than this is hot, so a table of n rows has at most n / HOT_ROWS of them.
 HOT_ROWS = 10_000_000
-# Most lookup rows that may be broadcast for the hot keys.
-BROADCAST_ROWS = 100_000
+# Most lookup rows, and bytes of them, that may be broadcast for the hot keys.
+BROADCAST_ROWS, BROADCAST_BYTES = 100_000, 64 << 20
+# Keys that a sketch follows: some 32 KB a task. It names each key that holds a 250th of all rows or more.
+TRACKED = 1 << 10
 
 
 def _pairs(on: Keys) -> list[tuple[str, str]]:
@@ -56,6 +60,31 @@ def left_join(left: DataFrame, right: DataFrame, on: Keys, null_safe: bool = Fal
     return equi_join(left, right, on, "left", null_safe)
 
 
+def _spot(names: Sequence[str]) -> Column:
+    """A number for the values of some columns. Different values may share one; they are then hot together."""
+    return F.xxhash64(*[F.col(f"`{n}`") for n in names])
+
+
+def follow_keys(df: DataFrame, key_sets: Sequence[Sequence[str]], label: str) -> tuple[DataFrame, dict[tuple[str, ...], dict[int, int]]]:
+    """The table written once, and for each set of keys its frequent values with about the rows they hold.
+
+    A sketch of frequent items is filled by each task as it writes and merged as the tasks end. Numbers of rows are
+    at most a 500th of all rows too high; keys that hold less than a 250th may be left out.
+    """
+    seen = Observation()
+    tops = [F.expr(f"approx_top_k(_spot_{i}, {TRACKED}, {TRACKED})").alias(f"top_{i}") for i in range(len(key_sets))]
+    spots = {f"_spot_{i}": _spot(keys) for i, keys in enumerate(key_sets)}
+    kept = staged(df.withColumns(spots).observe(seen, *tops).drop(*spots), label)
+    found = seen.get
+    return kept, {tuple(keys): {r["item"]: r["count"] for r in found.get(f"top_{i}") or []} for i, keys in enumerate(key_sets)}
+
+
+def _comparable(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> bool:
+    """Whether equal keys have equal numbers by ``_spot``: types agree, and zeros have no sign."""
+    kinds = [(left.schema[l].dataType, right.schema[r].dataType) for l, r in pairs]
+    return all(l == r and not isinstance(l, (T.FloatType, T.DoubleType, T.ArrayType, T.StructType, T.MapType)) for l, r in kinds)
+
+
 def lookup_join(
     left: DataFrame,
     right: DataFrame,
@@ -64,35 +93,43 @@ def lookup_join(
     null_safe: bool = False,
     hot_rows: int = HOT_ROWS,
     broadcast_rows: int = BROADCAST_ROWS,
-    keys_from: DataFrame | None = None,
+    broadcast_bytes: int = BROADCAST_BYTES,
+    frequent: Mapping[int, int] | None = None,
 ) -> DataFrame:
     """Inner or left join of a large table with a lookup, safe against hot keys.
 
-    The rows of hot keys meet a broadcast of just those keys' lookup rows, counted beforehand; all
-    other rows take the ordinary join. When those lookup rows are too many to broadcast, the ordinary
-    join does it all and adaptive execution splits the skewed partitions. ``keys_from`` is a cheaper
-    table to count the keys on, such as the stored facts behind a joined left side; the result does
-    not depend on it.
+    The rows of hot keys meet a broadcast of just those keys' lookup rows, whose number and bytes are
+    known by then; all other rows take the ordinary join. When those lookup rows are too many to
+    broadcast, or keys have different or nested types or are fractions, the ordinary join does it all
+    and adaptive execution splits the skewed partitions.
+
+    ``frequent`` is what ``follow_keys`` found for the left keys, here or in the stored facts behind a
+    joined left side; the result does not depend on it. Without it the left side is written once.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"unsupported join type {how!r}")
     pairs = _pairs(on)
-    left_keys = [l for l, _ in pairs]
-    counted = (left if keys_from is None else keys_from).groupBy(*left_keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
-    # At most (rows counted / hot_rows) keys: a short list by construction.
-    hot_rows_found = counted.select(*left_keys).collect()
-    if not hot_rows_found:
+    left_keys, right_keys = [l for l, _ in pairs], [r for _, r in pairs]
+    if not _comparable(left, right, pairs):
+        return equi_join(left, right, on, how, null_safe)
+    if frequent is None:
+        left, followed = follow_keys(left, [left_keys], "lookup-left")
+        frequent = followed[tuple(left_keys)]
+    # At most (rows / hot_rows) keys, and never more than a sketch follows.
+    hot = [spot for spot, n in frequent.items() if n > hot_rows]
+    if not hot:
         return equi_join(left, right, on, how, null_safe)
-    types = ", ".join(f"`{name}` {left.schema[name].dataType.simpleString()}" for name in left_keys)
-    hot = F.broadcast(left.sparkSession.createDataFrame(hot_rows_found, types).toDF(*[f"_hot_{n}" for n in left_keys]))
-    hot_lookup = _joined(right, hot, [(r, f"_hot_{l}") for l, r in pairs], "left_semi", True)
-    if hot_lookup.limit(broadcast_rows + 1).count() > broadcast_rows:
+    size = Observation()
+    # Text of the values, and what a row takes besides.
+    width = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in right.columns]))) + 8 * (len(right.columns) + 1)
+    found = right.where(_spot(right_keys).isin(hot)).observe(size, F.count(F.lit(1)).alias("rows"), F.sum(width).alias("bytes"))
+    hot_lookup = staged(found, "hot-lookup")
+    held = size.get
+    if (held.get("rows") or 0) > broadcast_rows or (held.get("bytes") or 0) > broadcast_bytes:
         return equi_join(left, right, on, how, null_safe)
-    in_left = [(l, f"_hot_{l}") for l in left_keys]
-    hot_left = _joined(left, hot, in_left, "left_semi", True)
-    cold_left = _joined(left, hot, in_left, "left_anti", True)
-    hot_part = equi_join(hot_left, F.broadcast(hot_lookup), on, how, null_safe)
-    cold_part = equi_join(cold_left, right, on, how, null_safe)
+    is_hot = _spot(left_keys).isin(hot)
+    hot_part = equi_join(left.where(is_hot), F.broadcast(hot_lookup), on, how, null_safe)
+    cold_part = equi_join(left.where(~is_hot), right, on, how, null_safe)
     return hot_part.unionByName(cold_part)
 
 
@@ -115,12 +152,12 @@ def tiered_fill(rows: DataFrame, key: str, tier: str) -> DataFrame:
     """Rows of the first tier that has any, for each key.
 
     Equals trying each tier in turn for the keys still without rows. The rows are read several times,
-    so they are written once; the lowest tier per key is combined before the shuffle, and the join back
-    leaves hot keys out of it.
+    so they are written once, which also finds the hot keys; the lowest tier per key is combined before
+    the shuffle, and the join back leaves hot keys out of it.
     """
-    rows = staged(rows, "tiers")
+    rows, found = follow_keys(rows, [[key]], "tiers")
     lowest = rows.groupBy(key).agg(F.min(tier).alias("_tier"))
-    return lookup_join(rows, lowest, [key], "inner").where(F.col(tier) == F.col("_tier")).drop("_tier")
+    return lookup_join(rows, lowest, [key], "inner", frequent=found[key,]).where(F.col(tier) == F.col("_tier")).drop("_tier")
 
 
 def backbone_match(names: DataFrame, name: str, backbone: DataFrame, canonical: str, base_url: str) -> DataFrame:

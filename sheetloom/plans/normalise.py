@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from sheetloom.operators import ordering as O
 from sheetloom.operators.catalog import apply_schema
 from sheetloom.operators.edits import Reference
-from sheetloom.operators.joins import equi_join, lookup_join, semi_all
+from sheetloom.operators.joins import equi_join, follow_keys, lookup_join, semi_all
 from sheetloom.operators.projection import known_or_null
 from sheetloom.session import staged, staged_by, staged_together
 
@@ -211,12 +211,12 @@ def rebuild(tables: Mapping[str, DataFrame], join: Join = equi_join) -> DataFram
 
 
 def rebuild_hot(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """The wide table by joins that keep hot keys out of the shuffle; keys are counted on the facts."""
+    """The wide table by joins that keep hot keys out of the shuffle; they are found as the facts are written."""
 
-    triples = staged(tables["measure_area_priority"], "triples")
+    triples, frequent = follow_keys(tables["measure_area_priority"], [["area_id"], ["priority_id"], ["measure_id"]], "triples")
 
     def join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str) -> DataFrame:
-        return lookup_join(left, right, on, how, keys_from=triples)
+        return lookup_join(left, right, on, how, frequent=frequent[tuple(on)])
 
     return rebuild({**tables, "measure_area_priority": triples}, join)
 

@@ -43,6 +43,40 @@ def test_lookup_join_keeps_hot_keys_out_of_the_shuffle(spark):
     assert "Union" in plan and "BroadcastHashJoin" in plan and "SortMergeJoin" in plan
 
 
+def test_frequent_keys_are_found_as_a_table_is_written(spark, rows):
+    data = [("hot", i % 3, i) for i in range(4000)] + [(None, 5, i) for i in range(3000)] + [(f"k{i}", i, i) for i in range(3000)]
+    df = spark.createDataFrame(data, "k string, j int, i int")
+    kept, found = J.follow_keys(df, [["k"], ["k", "j"], ["i"]], "followed")
+    assert rows(kept) == rows(df) and kept.columns == df.columns
+    want = {r.h: r.n for r in df.groupBy("k").count().select(F.xxhash64("k").alias("h"), F.col("count").alias("n")).collect()}
+    one = {spot: n for spot, n in found["k",].items() if n > 100}
+    assert set(one) == {spot for spot, n in want.items() if n > 100} and all(want[s] <= n <= want[s] + len(data) / 500 for s, n in one.items())
+    assert sum(n > 1000 for n in found["k", "j"].values()) == 4 and not [n for n in found["i",].values() if n > 100]
+    kept, found = J.follow_keys(spark.createDataFrame([], "k string"), [["k"]], "followed")
+    assert kept.count() == 0 and found == {("k",): {}}
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_lookup_join_by_known_keys_bytes_and_other_types(spark, rows, how):
+    left = spark.createDataFrame([(1, 2, i) for i in range(300)] + [(i, i, i) for i in range(50)] + [(None, 2, 0)] * 200, "a int, b int, i int")
+    right = spark.createDataFrame([(1, 2, "x" * 50), (1, 2, "y"), (3, 3, None), (None, 2, "n")], "a int, b int, v string")
+    plain = rows(J.equi_join(left, right, ["a", "b"], how))
+    kept, found = J.follow_keys(left, [["a", "b"]], "followed")
+    frequent = found["a", "b"]
+    for limits in ({}, {"broadcast_bytes": 60}, {"hot_rows": 10**6}):
+        assert rows(J.lookup_join(kept, right, ["a", "b"], how, **{"hot_rows": 100, "frequent": frequent} | limits)) == plain
+    # What the sketch says changes no row: a key that is not there, cold keys called hot.
+    assert rows(J.lookup_join(left, right, ["a", "b"], how, hot_rows=1, frequent={1: 9, **dict.fromkeys(frequent, 9)})) == plain
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plans = [J.lookup_join(kept, right, ["a", "b"], how, hot_rows=100, broadcast_bytes=n, frequent=frequent)._jdf.queryExecution().executedPlan().toString() for n in (60, 10_000)]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert ["BroadcastHashJoin" in p for p in plans] == [False, True]
+    longs = right.select(F.col("a").cast("bigint"), "b", "v")
+    assert rows(J.lookup_join(left, longs, ["a", "b"], how, hot_rows=100)) == plain
+
+
 def test_composite_renamed_semi_and_coalesce(spark, rows):
     a = spark.createDataFrame([(1, 2, "a"), (1, 3, "b")], "x int, y int, v string")
     b = spark.createDataFrame([(1, 2, "B")], "p int, q int, v string")
