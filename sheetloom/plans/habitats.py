@@ -9,6 +9,7 @@ from sheetloom.operators import ordering as O
 from sheetloom.operators.joins import equi_join
 from sheetloom.operators.reshape import explode_delim, matrix_to_bridge, prefixed_id
 from sheetloom.operators.sets import union_with_key
+from sheetloom.session import staged, staged_by
 
 # Fixed value: what separates the habitats of one area.
 HABITAT_SEP = ":\n"
@@ -28,20 +29,17 @@ def habitat_texts(rows: DataFrame, name: str) -> DataFrame:
 
 
 def habitat_tables(creation: DataFrame, management: DataFrame) -> dict[str, DataFrame]:
-    """The habitat dimension, numbered by first appearance, and its two bridges."""
+    """The habitat dimension, numbered by first appearance, and its two bridges.
+
+    Each sheet is read once, for the cells that all three tables start from; one job writes both bridges.
+    """
     long = {
         "1": explode_delim(creation, "habitat", HABITAT_SEP),
         "2": explode_delim(management, "habitat", HABITAT_SEP),
     }
-    placed = union_with_key(long, "_sheet").withColumn("_at", F.struct("_sheet", "area_id", "_ord"))
-    seen = O.first_seen(placed, ["habitat"], "_at")
-    habitat = O.add_id(seen, "habitat_id", ["_seen"]).select("habitat_id", "habitat")
-
-    def bridge(sheet: DataFrame) -> DataFrame:
-        return equi_join(sheet, habitat, ["habitat"]).select("area_id", "habitat_id")
-
-    return {
-        "habitat": habitat,
-        "habitat_creation_area": bridge(long["1"]),
-        "habitat_management_area": bridge(long["2"]),
-    }
+    placed = staged(union_with_key(long, "_sheet"), "habitat-cells")
+    seen = O.first_seen(placed.withColumn("_at", F.struct("_sheet", "area_id", "_ord")), ["habitat"], "_at")
+    habitat = staged(O.add_id(seen, "habitat_id", ["_seen"]).select("habitat_id", "habitat"), "habitats")
+    numbered = equi_join(placed, habitat, ["habitat"]).select("_sheet", "area_id", "habitat_id")
+    bridges = staged_by(numbered, "_sheet", list(long), "habitat-bridges")
+    return {"habitat": habitat, "habitat_creation_area": bridges["1"], "habitat_management_area": bridges["2"]}

@@ -77,6 +77,11 @@ def test_habitats(spark, rows):
     tables = PH.habitat_tables(bridge.where("area_id = 12"), bridge)
     assert rows(tables["habitat"]) == [(1, "Fen"), (2, "Pond")]
     assert rows(tables["habitat_creation_area"]) == [(12, 1)]
+    assert rows(tables["habitat_management_area"]) == [(1, 1), (1, 2), (12, 1)]
+    # The sheets themselves are not read again.
+    assert all("LocalTableScan" not in t._jdf.queryExecution().executedPlan().toString() for t in tables.values())
+    none = PH.habitat_tables(bridge.where("false"), bridge.where("false"))
+    assert all(t.count() == 0 for t in none.values())
 
 
 def test_areas(spark, rows):
