@@ -207,3 +207,19 @@ def test_links_are_split_by_their_status(spark, rows):
     good, bad = apply_link_status(pages, log, "url", keep_status=["200"])
     assert rows(good, "id") == [(1,), (5,)] and rows(bad, "id") == [(2,), (3,), (4,), (6,)]
     assert rows(apply_link_status(pages.limit(0), log, "url")[1]) == []
+
+
+def test_boxes_crowded_cells_and_other_shapes_meet_their_points(spark, monkeypatch):
+    """Corners and edges of boxes in several orders, shapes that only look like boxes, and cells cut into shares."""
+    boxes = [[(0, 0), (4, 0), (4, 2), (0, 2)], [(1, 1), (1, 3), (3, 3), (3, 1)], [(4, 2), (0, 2), (0, 0), (4, 0)]]
+    others = [[(0, 0), (4, 2), (4, 0), (0, 2)], [(0, 0), (4, 0), (4, 2), (4, 0)], [(0, 0), (2, 0), (4, 2), (0, 2)], [(0.0, 0), (1, 0), (-0.0, 0), (0, 1)]]
+    closed = [[(float(x), float(y)) for x, y in [*ring, ring[0]]] for ring in [*boxes, *others]]
+    shapes = spark.createDataFrame([(i, [ring]) for i, ring in enumerate(closed)] + [(99, None)], "area int, polygon array<array<struct<x:double,y:double>>>")
+    spots = [(x / 2, y / 2) for x in range(-1, 10) for y in range(-1, 8)]
+    points = spark.createDataFrame([(i, x, y) for i, (x, y) in enumerate(spots)], "p int, x double, y double")
+    known = shapes.where("area < 99").select("area", G.is_box(F.col("polygon"), G.bounds(F.col("polygon"))).alias("plain"))
+    assert {r.area for r in known.collect() if r.plain} == {0, 1, 2}
+    monkeypatch.setattr(S, "TASK_PAIRS", 5)
+    got = S.spatial_join(points, shapes, "x", "y")
+    assert got.rdd.getNumPartitions() > 4
+    assert sorted((r.p, r.area) for r in got.collect()) == sorted((i, a) for i, (x, y) in enumerate(spots) for a, ring in enumerate(closed) if inside(x, y, ring))
