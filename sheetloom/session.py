@@ -7,7 +7,8 @@ import tempfile
 import uuid
 import zlib
 from collections import Counter
-from collections.abc import Collection, Mapping, Sequence
+from collections.abc import Collection, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -71,6 +72,21 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def _unsorted_writes(spark: SparkSession, folders: int) -> Iterator[None]:
+    """Tasks that write to a few folders keep a file open for each, instead of sorting all their rows by folder."""
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(folders))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def _written(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A folder that a job has written, or no rows if it had none for it."""
     try:
@@ -87,7 +103,8 @@ def staged_by(rows: DataFrame, tag: str, values: Sequence[str], label: str) -> d
     # Numbers stand for the values, which may hold anything.
     number = F.coalesce(*[F.when(F.col(tag) == v, F.lit(i)) for i, v in enumerate(values)])
     rest = rows.drop(tag)
-    rows.select(number.alias("_tag"), *[F.col(f"`{c}`") for c in rest.columns]).where("_tag IS NOT NULL").write.partitionBy("_tag").parquet(path)
+    with _unsorted_writes(rows.sparkSession, len(values)):
+        rows.select(number.alias("_tag"), *[F.col(f"`{c}`") for c in rest.columns]).where("_tag IS NOT NULL").write.partitionBy("_tag").parquet(path)
     return {v: _written(rows.sparkSession, f"{path}/_tag={i}", rest.schema) for i, v in enumerate(values)}
 
 
@@ -129,7 +146,8 @@ def staged_together(tables: Mapping[str, DataFrame], label: str, distinct: Colle
     if counts is not None:
         rows = rows.observe(seen, *[F.count_if(F.col("_table") == i).alias(str(i)) for i in range(len(tables))])
     path = scratch_path(spark, label)
-    rows.write.partitionBy("_table").parquet(path)
+    with _unsorted_writes(spark, len(tables)):
+        rows.write.partitionBy("_table").parquet(path)
     if counts is not None:
         counts |= {name: seen.get[str(i)] for i, name in enumerate(tables)}
     schema = T.StructType([T.StructField(s, k) for s, k in kinds.items()])
