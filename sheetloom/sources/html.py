@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sheetloom.functions.names import clean_name_column, clean_names
+from sheetloom.session import spread
 
 # Character references: decimal, hexadecimal or named. The standard library has the names of HTML 5, the older ones also
 # without a semicolon; the longest of several that fit counts.
@@ -223,8 +224,8 @@ def _page_tables(html: str) -> list[list[list[str]]]:
 def extract_tables(pages: DataFrame, html: str, key: str, ncol: int = 4) -> DataFrame:
     """Rows of the page tables of ``ncol`` columns: key, table, row (0 is the header) and cells.
 
-    Table markup leaves end tags out at will, so a parser reads it, over Arrow batches; the pages stay
-    where they are and nothing is grouped.
+    Table markup leaves end tags out at will, so a parser reads it, over Arrow batches. The pages are spread
+    over tasks by their number, and nothing is grouped.
     """
     kind = pages.schema[key].dataType.simpleString()
 
@@ -239,7 +240,7 @@ def extract_tables(pages: DataFrame, html: str, key: str, ncol: int = 4) -> Data
             ]
             yield pd.DataFrame(rows, columns=[key, "table", "row", "cells"])
 
-    parsed = pages.select(key, html).mapInPandas(parse, f"`{key}` {kind}, `table` int, `row` int, cells array<string>")
+    parsed = spread(pages.select(key, html)).mapInPandas(parse, f"`{key}` {kind}, `table` int, `row` int, cells array<string>")
     return parsed.where(F.size("cells") == ncol)
 
 

@@ -17,6 +17,13 @@ def plan(df):
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_pages_of_one_file_are_parsed_by_several_tasks(spark):
+    pages = spark.range(25_000).coalesce(1).select("id", F.lit(PAGE).alias("html"))
+    rows = H.extract_tables(pages, "html", "id", ncol=2)
+    assert rows.rdd.getNumPartitions() == 3
+    assert rows.count() == 50_000
+
+
 def test_tables_written_together_are_not_sorted(spark, monkeypatch):
     key = "spark.sql.maxConcurrentOutputFileWriters"
     seen, write = [], DataFrameWriter.parquet
