@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sheetloom.functions.names import clean_name_column, clean_names
-from sheetloom.session import spread
+from sheetloom.session import spread, staged
 
 # Character references: decimal, hexadecimal or named. The standard library has the names of HTML 5, the older ones also
 # without a semicolon; the longest of several that fit counts.
@@ -254,8 +254,10 @@ def stacked_tables(rows: DataFrame, key: str, names: list[str]) -> DataFrame:
     """Body rows of all extracted tables, each under its own header, one below the other.
 
     ``names`` are the cleaned names wanted; a table without one of them has null there, and further columns are left out.
-    Rows meet their header in a join on page and table, so any number of pages will do.
+    Rows meet their header in a join on page and table, so any number of pages will do. They are written before,
+    since both sides of the join are read from them, and parsing takes long.
     """
+    rows = staged(rows, "table-rows")
     headers = rows.where(F.col("row") == 0).select(F.col(key).alias("_key"), F.col("table").alias("_table"), F.transform("cells", clean_name_column).alias("_names"))
     body = rows.where(F.col("row") > 0).join(headers, (F.col(key) == F.col("_key")) & (F.col("table") == F.col("_table")))
 

@@ -24,6 +24,13 @@ def test_pages_of_one_file_are_parsed_by_several_tasks(spark):
     assert rows.count() == 50_000
 
 
+def test_pages_are_parsed_once_for_headers_and_bodies(spark):
+    pages = spark.createDataFrame([(1, PAGE), (1, PAGE), (None, PAGE), (2, None)], "id int, html string")
+    stacked = H.stacked_tables(H.extract_tables(pages, "html", "id", ncol=2), "id", ["a", "b"])
+    assert "MapInPandas" not in plan(stacked)
+    assert [tuple(r) for r in stacked.collect()] == [(1, 0, 1, "1", "2")] * 4
+
+
 def test_tables_written_together_are_not_sorted(spark, monkeypatch):
     key = "spark.sql.maxConcurrentOutputFileWriters"
     seen, write = [], DataFrameWriter.parquet
