@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from sheetloom.functions.geometry import parse_multipolygon
 from sheetloom.functions.names import clean_names
+from sheetloom.session import spread
 
 
 def read_delim(
@@ -94,5 +95,8 @@ def list_files(spark: SparkSession, folder: str, pattern: str = "*", recursive:
 
 
 def read_geometry(df: DataFrame, wkt: str, id_column: str, area: str = "area_id") -> DataFrame:
-    """Geometry table: the id under the area's name, and the parsed polygons beside their text."""
-    return df.withColumn("polygons", parse_multipolygon(F.col(wkt))).withColumnRenamed(id_column, area)
+    """Geometry table: the id under the area's name, and the parsed polygons beside their text.
+
+    Texts are short and parsing takes long, so the rows are spread before.
+    """
+    return spread(df).withColumn("polygons", parse_multipolygon(F.col(wkt))).withColumnRenamed(id_column, area)

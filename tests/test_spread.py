@@ -31,6 +31,15 @@ def test_pages_are_parsed_once_for_headers_and_bodies(spark):
     assert [tuple(r) for r in stacked.collect()] == [(1, 0, 1, "1", "2")] * 4
 
 
+def test_shapes_of_one_file_are_parsed_by_several_tasks_and_only_there(spark):
+    texts = spark.range(25_000).coalesce(1).select("id", F.lit(SHAPES).alias("wkt"))
+    shapes = read_geometry(texts.withColumn("wkt", F.when(F.col("id") != 7, F.col("wkt"))), "wkt", "id")
+    assert shapes.rdd.getNumPartitions() == 3
+    parts = S.single_parts(shapes, "polygons", "area_id").select("area_id", "part")
+    assert not [line for line in plan(parts).splitlines() if "Filter" in line and "size(" in line]
+    assert parts.count() == 2 * 24_999
+
+
 def test_tables_written_together_are_not_sorted(spark, monkeypatch):
     key = "spark.sql.maxConcurrentOutputFileWriters"
     seen, write = [], DataFrameWriter.parquet
