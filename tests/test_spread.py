@@ -40,6 +40,13 @@ def test_shapes_of_one_file_are_parsed_by_several_tasks_and_only_there(spark):
     assert parts.count() == 2 * 24_999
 
 
+def test_slivers_are_measured_once(spark):
+    shapes = read_geometry(spark.createDataFrame([(1, SHAPES), (2, None)], "id int, wkt string"), "wkt", "id")
+    kept, dropped = S.slivers(S.single_parts(shapes, "polygons", "area_id"), "polygons", 0.5)
+    assert "Generate" not in plan(kept) + plan(dropped)
+    assert [r.part for r in kept.collect()] == [1] and [r.part for r in dropped.collect()] == [2]
+
+
 def test_tables_written_together_are_not_sorted(spark, monkeypatch):
     key = "spark.sql.maxConcurrentOutputFileWriters"
     seen, write = [], DataFrameWriter.parquet
