@@ -161,7 +161,7 @@ WHERE NOT EXISTS (SELECT 1 FROM lineitem f WHERE f.l_linestatus = 'F' AND f.l_pa
                   AND f.l_suppkey = l.l_suppkey AND f.l_returnflag = l.l_returnflag) GROUP BY ALL""")
 def check_fk_composite(t: Tables) -> DataFrame:
     keys = ["l_partkey", "l_suppkey", "l_returnflag"]
-    return Q.orphan_keys(t.lineitem, t.lineitem.where("l_linestatus = 'F'").select(*keys).distinct(), keys)
+    return Q.orphan_keys(t.lineitem, t.lineitem.where("l_linestatus = 'F'").select(*keys), keys)
 
 
 @query("check_not_null", """

@@ -47,6 +47,15 @@ def test_slivers_are_measured_once(spark):
     assert [r.part for r in kept.collect()] == [1] and [r.part for r in dropped.collect()] == [2]
 
 
+def test_orphans_need_no_join(spark, rows):
+    child = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b"), (2, "b"), (3, None), (None, "a")], "k int, c string")
+    parent = spark.createDataFrame([(2, "b"), (2, "b"), (9, "z"), (None, "a"), (3, None)], "p int, q string")
+    orphans = Q.orphan_keys(child, parent, [("k", "p"), ("c", "q")])
+    assert "Join" not in plan(orphans)
+    assert rows(orphans) == [(1, "a", 2)]
+    assert rows(Q.orphan_keys(child, parent.withColumn("p", F.col("p").cast("long")), [("k", "p"), ("c", "q")])) == [(1, "a", 2)]
+
+
 def test_tables_written_together_are_not_sorted(spark, monkeypatch):
     key = "spark.sql.maxConcurrentOutputFileWriters"
     seen, write = [], DataFrameWriter.parquet
