@@ -3,8 +3,8 @@
 A sample of the documents proposes phrases: all that occur in it at a lowered rate. One full pass then counts the
 proposed phrases and their negative border, which are the phrases that occur in the texts, are not proposed, but whose
 two shorter parts (without the last word, without the first) are. If a phrase of the border turns out to be frequent, the
-proposals were too narrow: a further pass counts the phrases that it may be a part of, until no pass finds anything new.
-Every frequent phrase has frequent parts, so nothing is missed, whatever the sample holds.
+proposals were too narrow: one further pass counts every phrase that was not counted, and whose shorter phrases are all
+frequent as far as they were. Every frequent phrase has frequent parts, so nothing is missed, whatever the sample holds.
 
 Passes compare 64-bit hashes of phrases, and tasks know the proposals by a bitmap of at most ``MOST_BITS`` bits. Equal
 hashes and full bitmaps can only make a pass count more, never less: the last pass counts the text of all phrases
@@ -20,6 +20,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,6 +42,8 @@ LOWERED = 0.5
 # Bits of a bitmap for each phrase in it, in passes that count hashes and in the last one; at most so many in all.
 BITS_EACH, LAST_BITS_EACH, MOST_BITS = 32, 256, 1 << 30
 BUCKET = 32768
+# Bytes of a bitmap that the driver reads at once.
+READ = 1 << 24
 # Bytes of text that are cut into words at once, and entries that a task holds before it hands them on.
 SLICE = 2_000_000
 HELD = 2_000_000
@@ -148,16 +151,28 @@ def _in(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return (bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
-def _asked(text: _Text, hashes: list[np.ndarray], k: int, members: list[np.ndarray], but: list[np.ndarray] | None) -> np.ndarray:
-    """Words from which a phrase of k words begins whose two shorter parts are members, and not both among ``but``."""
-    found = text.whole(k)
-    if k > 1:
-        found &= members[k - 2][: len(found)] & members[k - 2][1 : len(found) + 1]
-        if but is not None:
-            found &= ~(but[k - 2][: len(found)] & but[k - 2][1 : len(found) + 1])
-    elif but is not None:
-        found[:] = False
-    return np.flatnonzero(found)
+def _asked(text: _Text, hashes: list[np.ndarray], proposed: np.ndarray | None, known: np.ndarray | None = None) -> Iterator[np.ndarray]:
+    """For each length, the words from which a phrase to count begins: one whose two shorter parts are both ``proposed``.
+
+    With ``known``, what passes over ``proposed`` found frequent: the phrases that those did not count, and whose shorter
+    phrases of any length are known as far as they were counted.
+    """
+    members = [_in(proposed, h) if proposed is not None else np.ones(len(h), bool) for h in hashes]
+    found = np.ones(len(text), bool)
+    # Whether a phrase may be frequent, from each word.
+    maybe = _in(known, hashes[0]) if known is not None else found
+    for k in range(1, len(hashes) + 1):
+        if k > 1:
+            found = text.whole(k)
+            found &= members[k - 2][: len(found)] & members[k - 2][1 : len(found) + 1]
+        if known is None:
+            yield np.flatnonzero(found)
+        elif k > 1:
+            maybe = text.whole(k) & maybe[: len(found)] & maybe[1 : len(found) + 1]
+            yield np.flatnonzero(maybe & ~found)
+            maybe &= ~found | _in(known, hashes[k - 1])
+        else:
+            yield np.flatnonzero(~found)
 
 
 def _summed(hashes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -168,11 +183,11 @@ def _summed(hashes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndar
     return joined[first], np.add.reduceat(n, first)
 
 
-def _hash_counts(docs: DataFrame, longest: int, proposed: Broadcast | None = None, counted: Broadcast | None = None) -> DataFrame:
+def _hash_counts(docs: DataFrame, longest: int, proposed: Broadcast | None = None, known: Broadcast | None = None) -> DataFrame:
     """``h`` and ``n``: occurrences of the phrases of up to ``longest`` words, by hash.
 
-    Without ``proposed`` of all phrases; with this bitmap, of those whose shorter parts are in it; with ``counted``,
-    without those whose shorter parts are all in that one.
+    Without ``proposed`` of all phrases; with this bitmap, of those whose shorter parts are in it; with ``known``, of
+    those that were not counted so, but may be frequent by what is known.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,12 +203,9 @@ def _hash_counts(docs: DataFrame, longest: int, proposed: Broadcast | None = Non
         held = 0
         for text, _ in _texts(batches):
             found = text.phrases(longest)
-            members = [_in(proposed.value, h) if proposed else np.ones(len(h), bool) for h in found]
-            but = [_in(counted.value, h) for h in found] if counted else None
-            for k in range(1, longest + 1):
-                some = found[k - 1][_asked(text, found, k, members, but)]
-                if len(some):
-                    h, n = _summed([some], [np.ones(len(some), np.int64)])
+            for every, at in zip(found, _asked(text, found, proposed and proposed.value, known and known.value), strict=True):
+                if len(at):
+                    h, n = _summed([every[at]], [np.ones(len(at), np.int64)])
                     hashes.append(h)
                     counts.append(n)
                     held += len(h)
@@ -212,7 +224,8 @@ def _bitmap(hashes: DataFrame, size: int) -> np.ndarray:
     at = F.col("h").bitwiseAND(F.lit(size - 1)) + 1
     parts = hashes.select(F.bitmap_bucket_number(at).alias("bucket"), F.bitmap_bit_position(at).alias("bit"))
     bits = np.zeros(max(size, BUCKET) // 8, np.uint8)
-    for row in parts.groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits")).toLocalIterator():
+    # The driver runs a job for each partition that it reads.
+    for row in parts.groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits")).coalesce(len(bits) // READ + 1).toLocalIterator():
         bits[(row.bucket - 1) * BUCKET // 8 :][: BUCKET // 8] = np.frombuffer(row.bits, np.uint8)
     return bits
 
@@ -231,52 +244,81 @@ def frequent_hashes(docs: DataFrame, in_sample: Column, longest: int, least: int
     proposed = _bitmap(proposals, size)
     shared = context.broadcast(proposed)
     frequent = staged(_hash_counts(docs, longest, shared).where(F.col("n") >= least).select("h"), "frequent")
-    counted, found = proposed, frequent
-    # A round lengthens what may still be found by a word.
-    for _ in range(longest):
-        new = _bitmap(found, size)
-        if not (new & ~counted).any():
-            break
-        everything = _bitmap(frequent, size)
-        before, now = context.broadcast(counted), context.broadcast(everything)
-        found = staged(_hash_counts(docs, longest, now, before).where(F.col("n") >= least).select("h"), "frequent")
-        frequent = staged(frequent.unionByName(found).distinct(), "frequent")
-        counted = counted | everything
+    everything = _bitmap(frequent, size)
+    if (everything & ~proposed).any():
+        # Of a frequent phrase that was not counted, all shorter ones that were are frequent; so one more pass finds it.
+        missed = _hash_counts(docs, longest, shared, context.broadcast(everything)).where(F.col("n") >= least).select("h")
+        frequent = frequent.unionByName(staged(missed, "missed"))
     return frequent
 
 
+class _Held:
+    """Phrases of a task by their two hashes: each one's text is made out once, and its occurrences are added up."""
+
+    def __init__(self) -> None:
+        self.clear()
+
+    def clear(self) -> None:
+        self.first, self.second = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        # Where each one's text stands, and its occurrences in that order.
+        self.place, self.n = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.names: list[str] = []
+        self.phrases: list[str] = []
+
+    def add(self, first: np.ndarray, second: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """Adds occurrences; which of these phrases are new, by rising first hash, and so want a name() next. One that is not met again counts as new."""
+        at = np.minimum(np.searchsorted(self.first, first), max(0, len(self.first) - 1))
+        known = (self.first[at] == first) & (self.second[at] == second) if len(self.first) else np.zeros(len(first), bool)
+        np.add.at(self.n, self.place[at[known]], n[known])
+        new = np.flatnonzero(~known)
+        if len(new):
+            joined = np.concatenate((self.first, first[new]))
+            order = np.argsort(joined, kind="stable")
+            self.first, self.second = joined[order], np.concatenate((self.second, second[new]))[order]
+            self.place = np.concatenate((self.place, np.arange(len(self.n), len(self.n) + len(new))))[order]
+            self.n = np.concatenate((self.n, n[new]))
+        return new
+
+    def name(self, names: list[str], phrases: list[str]) -> None:
+        self.names += names
+        self.phrases += phrases
+
+    def counts(self) -> list[int]:
+        return self.n.tolist()
+
+
 def _phrase_counts(docs: DataFrame, longest: int, frequent: DataFrame) -> DataFrame:
     """``name``, ``phrase`` and ``f`` for phrases with these hashes, counted by their text; all words of a name count for the empty phrase."""
     shared = docs.sparkSession.sparkContext.broadcast(_bitmap(frequent, _size(frequent.count(), LAST_BITS_EACH)))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[tuple[str, str], int] = {}
+        totals: Counter[str] = Counter()
+        held = _Held()
 
         def handed() -> pa.RecordBatch:
-            columns = [pa.array(c) for c in zip(*[(n, p, f) for (n, p), f in counts.items()], strict=True)]
-            counts.clear()
-            return pa.RecordBatch.from_arrays(columns, names=["name", "phrase", "f"])
+            names, phrases, f = [*held.names, *totals], [*held.phrases, *[""] * len(totals)], [*held.counts(), *totals.values()]
+            held.clear()
+            totals.clear()
+            return pa.RecordBatch.from_arrays([pa.array(names), pa.array(phrases), pa.array(f, pa.int64())], names=["name", "phrase", "f"])
 
         for text, names in _texts(batches):
             for part, n in zip(*np.unique(text.part, return_counts=True), strict=True):
-                counts[names[part], ""] = counts.get((names[part], ""), 0) + int(n)
+                totals[names[part]] += int(n)
             found, other = text.phrases(longest), text.phrases(longest, 1)
-            members = [_in(shared.value, h) for h in found]
-            for k in range(1, longest + 1):
-                at = _asked(text, found, k, members, None)
-                at = at[members[k - 1][at]]
+            for k, at in enumerate(_asked(text, found, shared.value), 1):
+                at = at[_in(shared.value, found[k - 1][at])]
                 if not len(at):
                     continue
                 # Rows of a phrase follow each other; a second hash parts those that share the first.
                 at = at[np.argsort(found[k - 1][at], kind="stable")]
                 a, b = found[k - 1][at], other[k - 1][at]
                 first = np.flatnonzero(np.concatenate(([True], (a[1:] != a[:-1]) | (b[1:] != b[:-1]))))
-                for word, n in zip(at[first].tolist(), np.diff(np.append(first, len(at))).tolist(), strict=True):
-                    key = names[text.part[word]], text.text(word, k)
-                    counts[key] = counts.get(key, 0) + n
-            if len(counts) >= HELD_TEXTS:
+                new = held.add(a[first], b[first], np.diff(np.append(first, len(at))))
+                words = at[first][new].tolist()
+                held.name([names[text.part[w]] for w in words], [text.text(w, k) for w in words])
+            if len(held.phrases) >= HELD_TEXTS:
                 yield handed()
-        if counts:
+        if totals:
             yield handed()
 
     tasks = max(2 * docs.sparkSession.sparkContext.defaultParallelism, math.ceil(docs.rdd.getNumPartitions() / SPLITS))

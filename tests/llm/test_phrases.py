@@ -66,6 +66,58 @@ def test_random_texts(spark, sample):
     assert got == want and len(want) > 50
 
 
+def passes(monkeypatch):
+    """Collects the passes that count hashes, by whether they have a bitmap of proposals and of known phrases."""
+    seen, count = [], phrases._hash_counts
+    monkeypatch.setattr(phrases, "_hash_counts", lambda docs, longest, *bits: seen.append(len(bits)) or count(docs, longest, *bits))
+    return seen
+
+
+def test_one_pass_closes_what_the_sample_missed(spark, monkeypatch):
+    # Only in documents outside the sample, so that phrases of all lengths are missing from the proposals.
+    chosen = {r.id for r in spark.range(400).where("pmod(xxhash64(cast(id as int)), 4) = 0").collect()}
+    rows = [(n, "en", "plain words" if n in chosen else "one two three four five six seven. two three one two three four") for n in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id int, lang string, text string")
+    seen = passes(monkeypatch)
+    got = found(phrases.collocations(docs, least=4, sample=4))
+    assert got == brute([r[1:] for r in rows], least=4) and any(len(r[2].split()) == 5 for r in got)
+    assert seen == [0, 1, 2]
+
+
+def test_bitmaps_are_read_in_few_jobs(spark):
+    hashes = spark.range(5000).selectExpr("xxhash64(id) as h")
+    context = spark.sparkContext
+    context.setJobGroup("bitmap", "")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        bits = phrases._bitmap(hashes, 1 << 20)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        jobs = len(context.statusTracker().getJobIdsForGroup("bitmap"))
+        context.setLocalProperty("spark.jobGroup.id", None)
+    want = {h % (1 << 20) for (h,) in hashes.collect()}
+    assert set(np.flatnonzero(np.unpackbits(bits, bitorder="little")).tolist()) == want
+    assert jobs < 10
+
+
+def test_texts_of_a_task_are_made_out_once(monkeypatch):
+    held = phrases._Held()
+    new = held.add(np.array([3, 5, 9], np.uint64), np.array([1, 1, 1], np.uint64), np.array([1, 2, 3]))
+    held.name(["g"] * 3, ["c", "e", "i"])
+    assert new.tolist() == [0, 1, 2]
+    # One of these shares its first hash with another phrase.
+    new = held.add(np.array([4, 5, 9], np.uint64), np.array([1, 7, 1], np.uint64), np.array([10, 20, 30]))
+    held.name(["g"] * len(new), ["d", "other"])
+    assert new.tolist() == [0, 1]
+    total = Counter()
+    for p, n in zip(held.phrases, held.counts(), strict=True):
+        total[p] += n
+    assert total == {"c": 1, "e": 2, "i": 33, "d": 10, "other": 20}
+
+
 def test_parameters(spark):
     rows = texts(9)
     docs = spark.createDataFrame([(n, text, lang) for n, lang, text in rows], "id int, body string, kind string")
