@@ -38,8 +38,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, and digests of the ids and of what they decode to."""
     ranks, pattern = vocabulary()
-    ids = bpe.encode(docs, ranks, pattern)
-    return ids.withColumn("decoded_sha256", F.sha2(bpe.decode(F.col("ids"), ranks), 256))
+    return bpe.decoded_digest(bpe.encode(docs, ranks, pattern), ranks)
 
 
 STAGES = [("toxicity", drop_toxic), ("line_dedup", drop_lines), ("near_dedup", drop_near), ("mixing", mix), ("encoding", encode)]

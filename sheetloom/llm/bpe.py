@@ -2,9 +2,9 @@
 
 The JVM cuts texts into words by the tokenizer's pattern. Words that make up at least ``SHARE`` of all words (so there
 are at most 1 / SHARE of them) are encoded once each by Spark's higher-order functions, which fold the ranked merges over
-the byte pieces of a word with a literal rank table, and are broadcast. Tasks encode the distinct words of a batch: from
+the byte pieces of a word with a constant rank table, and are broadcast. Tasks encode the distinct words of a batch: from
 that table, or, if they are rarer or longer, by the same merges in Python; ids are then laid out with numpy.
-Decoding is native: a literal table of pieces, joined.
+Decoding is native: pieces from a constant table, joined.
 
 Defined results: a null text is empty and has no tokens; texts with U+FFFD or any other character are encoded by their
 UTF-8 bytes; equal rows give equal rows; ``encode`` keeps columns besides the text as they are, but replaces those named
@@ -31,6 +31,7 @@ SHARE = 2.0**-18
 # Bytes of the longest word that the broadcast table holds; with SHARE this bounds its size.
 LONGEST = 64
 BUCKETS = 1 << 16
+RANKS, PIECES = "array<array<struct<p:binary,r:int>>>", "array<binary>"
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -44,12 +45,35 @@ def words_of(text: Column, pattern: str) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(f"(?U){pattern}"), F.lit(0))
 
 
-def rank_table(ranks: dict[bytes, int]) -> Column:
-    """The rank map as a literal: an array of BUCKETS short lists, since Spark's own map is searched from end to end."""
+def _rank_lists(ranks: dict[bytes, int]) -> str:
+    """The rank map as an array of BUCKETS short lists, since Spark's own map is searched from end to end."""
     lists: list[list[dict]] = [[] for _ in range(BUCKETS)]
     for piece, rank in ranks.items():
         lists[xxhash.xxh64_intdigest(piece, 42) % BUCKETS].append({"p": base64.b64encode(piece).decode(), "r": rank})
-    return F.from_json(F.lit(json.dumps(lists)), "array<array<struct<p:binary,r:int>>>")
+    return json.dumps(lists)
+
+
+def _piece_list(ranks: dict[bytes, int]) -> str:
+    pieces = [b""] * (max(ranks.values()) + 1)
+    for piece, rank in ranks.items():
+        pieces[rank] = piece
+    return json.dumps([base64.b64encode(p).decode() for p in pieces])
+
+
+def rank_table(ranks: dict[bytes, int]) -> Column:
+    """The rank map as a literal."""
+    return F.from_json(F.lit(_rank_lists(ranks)), RANKS)
+
+
+def with_table(df: DataFrame, table: str, kind: str, name: str) -> DataFrame:
+    """A column that holds a JSON table of this kind, the same in each row.
+
+    It is the value of a subquery. The driver keeps descriptions of the plans that it ran, and a literal is written out
+    in each of them, at its full length. Select what is made of the column at once: the optimiser then puts the
+    table in the place of its one use, and no row carries it.
+    """
+    one = df.sparkSession.createDataFrame([(table,)], "json string").select(F.from_json("json", kind).alias("table"))
+    return df.select("*", one.scalar().alias(name))
 
 
 def _rank(table: Column, piece: Column) -> Column:
@@ -87,6 +111,13 @@ def fold_merges(word: Column, table: Column) -> Column:
     return F.when(whole.isNotNull(), F.array(whole)).otherwise(F.transform(folded, lambda p: _rank(table, p)))
 
 
+def folded_words(words: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
+    """``word`` (binary) and its ``ids``."""
+    # An array of one element binds the table, so that the plan holds it once and not at each look-up.
+    folded = F.get(F.transform(F.array("_ranks"), lambda table: fold_merges(F.col("word"), table)), F.lit(0))
+    return with_table(words.select("word"), _rank_lists(ranks), RANKS, "_ranks").select("word", folded.alias("ids"))
+
+
 def frequent_words(docs: DataFrame, text: str, pattern: str, ranks: dict[bytes, int], share: float = SHARE) -> dict[bytes, bytes]:
     """Ids (as little-endian bytes) of the words that make up ``share`` of all words or more: at most 1 / share."""
     words = docs.select(F.explode(words_of(F.col(f"`{text}`"), pattern)).alias("word"))
@@ -94,9 +125,7 @@ def frequent_words(docs: DataFrame, text: str, pattern: str, ranks: dict[bytes,
     counts = staged(counted.select(F.col("word").cast("binary").alias("word"), "n"), "words")
     total = counts.agg(F.sum("n")).first()[0] or 0
     often = counts.where((F.col("n") >= F.lit(share * total)) & (F.octet_length("word") <= LONGEST)).select("word")
-    # An array of one element binds the table, so that the plan holds the literal once and not at each look-up.
-    folded = F.get(F.transform(F.array(rank_table(ranks)), lambda table: fold_merges(F.col("word"), table)), F.lit(0))
-    ids = often.select("word", folded.alias("ids"))
+    ids = folded_words(often, ranks)
     return {bytes(r.word): np.array(r.ids, "<u4").tobytes() for r in ids.toLocalIterator()}
 
 
@@ -188,10 +217,16 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "
     return out.select(*[F.col("_row")[c].alias(c) for c in rest], "ids", "n_tokens", "ids_sha256")
 
 
-def decode(ids: Column, ranks: dict[bytes, int]) -> Column:
-    """The bytes of the ids: pieces from a literal table, concatenated. Strings serve as carriers of raw bytes."""
-    pieces = [b""] * (max(ranks.values()) + 1)
-    for piece, rank in ranks.items():
-        pieces[rank] = piece
-    table = F.from_json(F.lit(json.dumps([base64.b64encode(p).decode() for p in pieces])), "array<binary>")
-    return F.array_join(F.transform(ids, lambda i: F.element_at(table, i + 1).cast("string")), "").cast("binary")
+def decode(ids: Column, ranks: dict[bytes, int], table: Column | None = None) -> Column:
+    """The bytes of the ids: pieces from ``table``, a literal by default, concatenated. Strings serve as carriers of raw bytes."""
+    pieces = F.from_json(F.lit(_piece_list(ranks)), PIECES) if table is None else table
+    return F.array_join(F.transform(ids, lambda i: F.element_at(pieces, i + 1).cast("string")), "").cast("binary")
+
+
+def decoded_digest(coded: DataFrame, ranks: dict[bytes, int], name: str = "decoded_sha256") -> DataFrame:
+    """All columns and the SHA-256 of what ``ids`` decode to."""
+    rest = [F.col(f"`{c}`") for c in coded.columns if c != name]
+    # A name that is longer than all others is free.
+    free = "_" * (1 + max(len(c) for c in coded.columns))
+    digest = F.sha2(decode(F.col("ids"), ranks, F.col(free)), 256)
+    return with_table(coded, _piece_list(ranks), PIECES, free).select(*rest, digest.alias(name))

@@ -117,7 +117,7 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
     """Every text encoded and decoded again."""
     ranks, pattern = vocabulary()
     ids = bpe.encode(table(spark, folder, "documents").select("doc_id", "text"), ranks, pattern)
-    return ids.select("doc_id", "n_tokens", "ids_sha256", F.sha2(bpe.decode(F.col("ids"), ranks), 256).alias("decoded_sha256"))
+    return bpe.decoded_digest(ids, ranks).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
 @query("op8_simhash")

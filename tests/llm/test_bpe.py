@@ -2,12 +2,14 @@
 
 import hashlib
 import random
+import re
 
 import numpy as np
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from sheetloom.llm import bpe
 from sheetloom.llm.queries import vocabulary
 
@@ -42,6 +44,20 @@ def test_fold_and_python_merges_agree(spark, ranks, library):
         assert r.ids == bpe.merged(bytes(r.word), ranks) == library.encode_ordinary(bytes(r.word).decode())
 
 
+def test_plans_do_not_spell_out_the_vocabulary(spark, ranks, library):
+    plain = spark.createDataFrame([("hello wörld",), ("Don't  stop",), (None,)], "text string")
+    coded = bpe.decoded_digest(bpe.encode(plain.withColumn("_pieces", F.lit("kept")), ranks, vocabulary()[1]), ranks)
+    words = bpe.folded_words(spark.createDataFrame([(b"hello",), (b" stop",)], "word binary"), ranks)
+    for df in (coded, words, corpus_pipeline.encode(spark, plain, "")):
+        assert len(df._jdf.queryExecution().toString()) < 200_000
+        # The table stands in its one use; a projection of its own would copy it into each row.
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Subquery" in plan and not re.search(r"\] AS _(ranks|_+)#", plan)
+    assert {r.decoded_sha256 for r in coded.collect()} == {hashlib.sha256(t.encode()).hexdigest() for t in ("hello wörld", "Don't  stop", "")}
+    assert {r._pieces for r in coded.collect()} == {"kept"}
+    assert all(r.ids == library.encode_ordinary(bytes(r.word).decode()) for r in words.collect())
+
+
 def test_long_words(ranks, library):
     g = random.Random(4)
     for n in (64, 65, 66, 500, 20_000):
