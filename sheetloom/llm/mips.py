@@ -1,8 +1,8 @@
 """Exact top-k search by inner product over vectors in order of length.
 
-Candidates are range partitioned by descending length, rotated onto the axes of their second-moment matrix (by singular
-value decomposition, so the first coordinates carry most of every product), and packed into blocks of ``BLOCK`` rows.
-Queries are packed alike. A first pass over the longest blocks gives each query a score that its k-th result must reach.
+Candidates are range partitioned by descending length and packed into blocks of ``BLOCK`` rows, as whole numbers of as few
+bytes as hold them; queries are packed alike. Where blocks meet they are rotated onto the axes of the candidates'
+second-moment matrix (by singular value decomposition, so the first coordinates carry most of every product). A first pass over the longest blocks gives each query a score that its k-th result must reach.
 A query block then meets only the blocks long enough to reach it, and inside a block candidates are left out once
 the Cauchy-Schwarz bound (the product over the first coordinates plus that of the lengths of the rest) falls short.
 What remains is scored in whole numbers, so results are exact.
@@ -32,11 +32,30 @@ QUERIES = 512
 # Share of the coordinates in the first sum.
 HEAD = 0.25
 
-BLOCK_SCHEMA = "part int, nth int, top double, ids binary, nulls binary, ints binary, turned binary"
+# Pairs of blocks that one task compares, on average.
+TASK_PAIRS = 128
+# All products of a slice of a block are taken at once if more than one in so many is left.
+MANY = 16
 
+BLOCK_SCHEMA = "part int, nth int, top double, ids binary, nulls binary, ints binary"
 
-def _matrix(blob: bytes, dims: int, kind: type) -> np.ndarray:
-    return np.frombuffer(blob, kind).reshape(-1, dims)
+
+def _narrow(ints: np.ndarray) -> bytes:
+    """Whole numbers in the fewest bytes each that hold them all: a block is sent once for each block that it meets."""
+    low, high = ints.min(initial=0), ints.max(initial=0)
+    kind = next((k for k in (np.int16, np.int32) if np.iinfo(k).min <= low and high <= np.iinfo(k).max), np.int64)
+    return ints.astype(kind).tobytes()
+
+
+def _wide(blob: bytes, count: int, dims: int) -> np.ndarray:
+    """The vectors of ``_narrow``."""
+    return np.frombuffer(blob, f"i{len(blob) // (count * dims)}").reshape(count, dims).astype(np.int64)
+
+
+def _turned(ints: np.ndarray, axes: np.ndarray, head: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Vectors on the axes, their lengths, and the lengths of what comes after the first ``head`` coordinates."""
+    turned = ints @ axes
+    return turned, np.sqrt((turned**2).sum(1)), np.sqrt((turned[:, head:] ** 2).sum(1))
 
 
 def whole_vectors(df: DataFrame, id_col: str, vector: str, scale: int = SCALE) -> DataFrame:
@@ -74,9 +93,8 @@ def second_moments(rows: DataFrame, dims: int) -> np.ndarray:
     return out
 
 
-def packed(rows: DataFrame, axes: np.ndarray, block: int, extra_part: Column) -> DataFrame:
-    """Rows, sorted by descending length inside their partitions, as blocks of integer and rotated vectors."""
-    dims = len(axes)
+def packed(rows: DataFrame, dims: int, block: int, extra_part: Column) -> DataFrame:
+    """Rows, sorted by descending length inside their partitions, as blocks of integer vectors."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -87,12 +105,11 @@ def packed(rows: DataFrame, axes: np.ndarray, block: int, extra_part: Column) ->
             ids, nulls, ints = (np.concatenate(x) for x in zip(*held, strict=True))
             held = [(ids[n:], nulls[n:], ints[n:])]
             ids, nulls, ints = ids[:n], nulls[:n], ints[:n]
-            turned = ints @ axes
             top = float(np.sqrt((ints.astype(float) ** 2).sum(1)).max(initial=0))
-            values = [[part], [nth], [top], [ids.tobytes()], [nulls.tobytes()], [ints.tobytes()], [turned.tobytes()]]
-            kinds = [pa.int32(), pa.int32(), pa.float64(), *[pa.binary()] * 4]
+            values = [[part], [nth], [top], [ids.tobytes()], [nulls.tobytes()], [_narrow(ints)]]
+            kinds = [pa.int32(), pa.int32(), pa.float64(), *[pa.binary()] * 3]
             nth += 1
-            return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, kinds, strict=True)], names=["part", "nth", "top", "ids", "nulls", "ints", "turned"])
+            return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, kinds, strict=True)], names=["part", "nth", "top", "ids", "nulls", "ints"])
 
         for batch in batches:
             if not batch.num_rows:
@@ -108,18 +125,23 @@ def packed(rows: DataFrame, axes: np.ndarray, block: int, extra_part: Column) ->
     return rows.withColumn("part", extra_part).select("part", "vec_id", "v").mapInArrow(pack, BLOCK_SCHEMA)
 
 
-def _meet(batches: Iterator[pa.RecordBatch], dims: int, k: int) -> Iterator[pa.RecordBatch]:
+def _meet(batches: Iterator[pa.RecordBatch], axes: np.ndarray, k: int) -> Iterator[pa.RecordBatch]:
     """Best k of each query against the candidates of one block, for each row of two packed blocks."""
+    dims = len(axes)
     head = max(1, int(dims * HEAD))
+    held, ci, ct, c_len, c_rest = None, *[np.zeros(0)] * 4
     for batch in batches:
         rows = batch.to_pydict()
         out: list[tuple[np.ndarray, ...]] = []
-        for q_ids, q_ints, q_turned, floors, ids, nulls, ints, turned in zip(*(rows[c] for c in ("q_ids", "q_ints", "q_turned", "floors", "ids", "nulls", "ints", "turned")), strict=True):
+        for q_ids, q_ints, floors, ids, nulls, ints in zip(*(rows[c] for c in ("q_ids", "q_ints", "floors", "ids", "nulls", "ints")), strict=True):
             qid, cid, gone = np.frombuffer(q_ids, np.int64), np.frombuffer(ids, np.int64), np.frombuffer(nulls, bool)
-            qi, ci, qt, ct = _matrix(q_ints, dims, np.int64), _matrix(ints, dims, np.int64), _matrix(q_turned, dims, float), _matrix(turned, dims, float)
+            qi = _wide(q_ints, len(qid), dims)
+            qt, q_len, q_rest = _turned(qi, axes, head)
+            # The rows of a block of candidates come one after the other.
+            if (len(cid), ints) != held:
+                held, ci = (len(cid), ints), _wide(ints, len(cid), dims)
+                ct, c_len, c_rest = _turned(ci, axes, head)
             need = np.frombuffer(floors, float).copy() if floors else np.full(len(qid), -np.inf)
-            q_len, c_len = np.sqrt((qt**2).sum(1)), np.sqrt((ct**2).sum(1))
-            q_rest, c_rest = np.sqrt((qt[:, head:] ** 2).sum(1)), np.sqrt((ct[:, head:] ** 2).sum(1))
             for at in range(0, len(cid), 512):
                 part = slice(at, at + 512)
                 # Lengths fall, so the first one bounds all that follow.
@@ -129,9 +151,18 @@ def _meet(batches: Iterator[pa.RecordBatch], dims: int, k: int) -> Iterator[pa.R
                 bound = qt[open_, :head] @ ct[part, :head].T
                 bound += q_rest[open_, None] * c_rest[None, part]
                 slack = 1e-9 * q_len[open_, None] * c_len[None, part] + 1e-6
-                a, b = np.nonzero(bound + slack >= need[open_, None])
-                a, b = open_[a], b + at
-                score = np.concatenate([(qi[a[i : i + 65536]] * ci[b[i : i + 65536]]).sum(1) for i in range(0, len(a), 65536)] or [np.zeros(0, np.int64)])
+                left = bound + slack >= need[open_, None]
+                # Sums below 2^53 are exact in doubles as well, where all products at once are quicker than many one by one.
+                if q_len.max() * c_len[at] < 2.0**52 and np.count_nonzero(left) * MANY > left.size:
+                    score = qi[open_].astype(float) @ ci[part].T.astype(float)
+                    left &= score >= need[open_, None]
+                    score = score[left].astype(np.int64)
+                    a, b = np.nonzero(left)
+                    a, b = open_[a], b + at
+                else:
+                    a, b = np.nonzero(left)
+                    a, b = open_[a], b + at
+                    score = np.concatenate([(qi[a[i : i + 65536]] * ci[b[i : i + 65536]]).sum(1) for i in range(0, len(a), 65536)] or [np.zeros(0, np.int64)])
                 good = (score >= need[a]) & ((qid[a] != cid[b]) | gone[b])
                 a, b, score = a[good], b[good], score[good]
                 out.append((qid[a], cid[b], gone[b], score))
@@ -166,21 +197,21 @@ def top_k(candidates: DataFrame, queries: DataFrame, k: int = 10, id_col: str =
     axes = np.linalg.svd(second_moments(rows, dims))[0]
     parts = max(1, min(partitions(spark), -(-count // BLOCK)), -(-count // (16 * BLOCK)))
     sorted_rows = rows.repartitionByRange(parts, F.col("length2").desc(), F.xxhash64("vec_id", "v")).sortWithinPartitions(F.col("length2").desc())
-    blocks = staged(packed(sorted_rows, axes, BLOCK, F.spark_partition_id()), "vector-blocks")
+    blocks = staged(packed(sorted_rows, dims, BLOCK, F.spark_partition_id()), "vector-blocks")
     wanted = asked.where("vec_id is not null").distinct()
     groups = max(1, -(-wanted.count() // QUERIES))
     dealt = wanted.repartition(groups).sortWithinPartitions(F.col("length2").desc())
-    asking = staged(packed(dealt, axes, QUERIES, F.spark_partition_id()), "query-blocks").select(
-        F.col("part").alias("q_part"), F.col("nth").alias("q_nth"), F.col("top").alias("q_top"), F.col("ids").alias("q_ids"), F.col("ints").alias("q_ints"), F.col("turned").alias("q_turned")
+    asking = staged(packed(dealt, dims, QUERIES, F.spark_partition_id()), "query-blocks").select(
+        F.col("part").alias("q_part"), F.col("nth").alias("q_nth"), F.col("top").alias("q_top"), F.col("ids").alias("q_ids"), F.col("ints").alias("q_ints")
     )
     result = "query_id long, vec_id long, score long"
     # The longest block of all partitions gives each query its first floor.
     first = blocks.agg(F.max_by(F.struct("part", "nth"), "top").alias("first")).first()
     if first is None or first[0] is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    top = F.broadcast(blocks.where((F.col("part") == first[0][0]) & (F.col("nth") == first[0][1])).select("ids", "nulls", "ints", "turned"))
+    top = F.broadcast(blocks.where((F.col("part") == first[0][0]) & (F.col("nth") == first[0][1])).select("ids", "nulls", "ints"))
     seed = asking.withColumn("floors", F.lit(None).cast("binary")).withColumn("_one", F.lit(1)).join(top.withColumn("_one", F.lit(1)), "_one").drop("_one")
-    floors = _best(seed.mapInArrow(lambda b: _meet(b, dims, k), result), k).where(F.col("rank") == k).select("query_id", F.col("score").cast("double").alias("floor"))
+    floors = _best(seed.mapInArrow(lambda b: _meet(b, axes, k), result), k).where(F.col("rank") == k).select("query_id", F.col("score").cast("double").alias("floor"))
 
     def with_floors(key, left: pa.Table, right: pa.Table) -> pa.Table:
         known = dict(zip(right.column("query_id").to_pylist(), right.column("floor").to_pylist(), strict=True))
@@ -193,7 +224,7 @@ def top_k(candidates: DataFrame, queries: DataFrame, k: int = 10, id_col: str =
     place = asking.select(F.col("q_part").alias("part"), F.col("q_nth").alias("nth"), F.explode(_unpacked(F.col("q_ids"), "bigint")).alias("query_id"))
     known = place.join(floors, "query_id")
     armed = asking.groupBy("q_part", "q_nth").cogroup(known.groupBy("part", "nth")).applyInArrow(
-        with_floors, "q_part int, q_nth int, q_top double, q_ids binary, q_ints binary, q_turned binary, floors binary"
+        with_floors, "q_part int, q_nth int, q_top double, q_ids binary, q_ints binary, floors binary"
     )
     armed = staged(armed.withColumn("least", F.array_min(_unpacked(F.col("floors"), "double"))), "query-floors")
     least = F.col("least")
@@ -202,8 +233,13 @@ def top_k(candidates: DataFrame, queries: DataFrame, k: int = 10, id_col: str =
     entries = F.array(*[F.struct(F.lit(r.part).alias("part"), F.lit(r.last).alias("last"), F.lit(r.longest).alias("longest")) for r in shape])
     near = F.filter(entries, lambda e: F.col("q_top") * e["longest"] * (1 + 1e-9) + 1e-6 >= least)
     reach = armed.withColumn("_near", F.explode(near)).select("*", F.col("_near.part").alias("part"), F.explode(F.sequence(F.lit(0), F.col("_near.last"))).alias("nth")).drop("_near")
-    pairs = reach.join(blocks, ["part", "nth"]).where(F.col("q_top") * F.col("top") * (1 + 1e-9) + 1e-6 >= least)
-    met = pairs.select("q_ids", "q_ints", "q_turned", "floors", "ids", "nulls", "ints", "turned").mapInArrow(lambda b: _meet(b, dims, k), result)
+    # Neither side may be sent to all machines by way of the driver: Spark takes the queries for as many as they were before
+    # they were repeated for each block. Bytes tell nothing about the work either, so tasks follow the pairs.
+    tasks = max(partitions(spark), groups * (sum(r.last + 1 for r in shape) // TASK_PAIRS + 1))
+    met_at = ["part", "nth"]
+    pairs = reach.repartition(tasks, *met_at).join(blocks.repartition(tasks, *met_at).hint("merge"), met_at)
+    pairs = pairs.where(F.col("q_top") * F.col("top") * (1 + 1e-9) + 1e-6 >= least)
+    met = pairs.select("q_ids", "q_ints", "floors", "ids", "nulls", "ints").mapInArrow(lambda b: _meet(b, axes, k), result)
     return _best(met, k).select("query_id", "rank", "vec_id", "score")
 
 

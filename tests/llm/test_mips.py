@@ -41,3 +41,20 @@ def test_ties_nulls_and_short_vectors(spark):
 def test_empty_table(spark):
     empty = spark.createDataFrame([], "vec_id bigint, embedding array<float>")
     assert mips.top_k(empty, empty, 10).count() == 0
+
+
+@pytest.mark.parametrize("size, many", [(1.0, 16), (30.0, 0), (1e5, 16), (1e5, 1 << 40)])
+def test_numbers_of_any_width(spark, size, many, monkeypatch):
+    monkeypatch.setattr(mips, "BLOCK", 64)
+    monkeypatch.setattr(mips, "QUERIES", 3)
+    monkeypatch.setattr(mips, "MANY", many)
+    x = size * np.random.default_rng(2).normal(size=(400, 5))
+    check(spark, [(i, v.tolist()) for i, v in enumerate(x)])
+
+
+def test_queries_are_not_sent_by_way_of_the_driver(spark, monkeypatch):
+    monkeypatch.setattr(mips, "BLOCK", 8)
+    x = np.random.default_rng(3).normal(size=(200, 4))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<float>")
+    plan = mips.top_k(df, df.where("vec_id % 100 = 0"), 3)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
