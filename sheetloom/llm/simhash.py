@@ -117,12 +117,13 @@ def near_links(fps: DataFrame, distance: int = DISTANCE, groups: int = GROUPS, c
     rows = spread.select("fp", pair.alias("_counts")).select("fp", F.explode(cells).alias("k")).select(F.col("k.c").alias("c"), F.col("k.at").alias("at"), "fp")
     shared = rows.groupBy("c", "at").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     parts = F.expr(f"(n + {chunk - 1}) div {chunk}")
-    held = rows.join(shared, ["c", "at"]).withColumn("parts", parts).withColumn("part", F.expr("pmod(xxhash64(fp), parts)"))
+    # Spark sizes what an explosion makes as if each row stayed one, so it must not choose to broadcast such tables.
+    held = rows.join(shared.hint("merge"), ["c", "at"]).withColumn("parts", parts).withColumn("part", F.expr("pmod(xxhash64(fp), parts)"))
     chunks = staged(held.groupBy("c", "at", "parts", "part").agg(F.collect_list("fp").alias("left")), "cells")
     alone = chunks.select("left", F.lit(None).cast("array<bigint>").alias("right"))
     wide = chunks.where("parts > 1")
     others = wide.select("c", "at", F.col("part").alias("to"), F.col("left").alias("right"))
-    meets = wide.where("part + 1 < parts").withColumn("to", F.explode(F.expr("sequence(part + 1, parts - 1)"))).join(others, ["c", "at", "to"])
+    meets = wide.where("part + 1 < parts").withColumn("to", F.explode(F.expr("sequence(part + 1, parts - 1)"))).join(others.hint("merge"), ["c", "at", "to"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def links(x: np.ndarray, y: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
@@ -154,12 +155,13 @@ def labelled(rows: DataFrame, distance: int = DISTANCE) -> DataFrame:
     fps = staged(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "fingerprints")
     roots = components(near_links(fps.select("fp"), distance))
     linked = roots.union(roots.select("root", "root").distinct())
-    named = linked.join(fps.withColumnRenamed("fp", "node"), "node")
+    # These follow the documents, and a file is a fraction of what it becomes in memory.
+    named = linked.join(fps.withColumnRenamed("fp", "node").hint("merge"), "node")
     least = named.groupBy("root").agg(F.min("first").alias("least"))
     moved = linked.join(least, "root").select(F.col("node").alias("fp"), "least")
     # Written first, so that both sides of the join come straight from a shuffle: adaptive execution then splits a frequent fingerprint.
     known = staged(fps.join(moved, "fp", "left").select("fp", F.coalesce("least", "first").alias("component_id")), "component-ids")
-    return rows.join(known, "fp")
+    return rows.join(known.hint("merge"), "fp")
 
 
 def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", distance: int = DISTANCE) -> DataFrame:

@@ -87,3 +87,19 @@ def test_one_of_each_group(awkward):
 
 def test_empty_table(nothing):
     assert simhash.near_groups(nothing).count() == 0 and simhash.one_of_each_group(nothing).count() == 0
+
+
+def test_exploded_cells_are_not_broadcast(spark, monkeypatch):
+    plans, real = [], simhash.staged
+    monkeypatch.setattr(simhash, "staged", lambda df, label: plans.append(df._jdf.queryExecution().executedPlan().toString()) or real(df, label))
+    links = simhash.near_links(spark.range(200).select(F.xxhash64("id").alias("fp")), chunk=8)
+    plans.append(links._jdf.queryExecution().executedPlan().toString())
+    assert len(plans) == 2 and all("SortMergeJoin" in p and "BroadcastHashJoin" not in p for p in plans)
+
+
+def test_fingerprints_of_all_documents_are_not_broadcast(spark, monkeypatch):
+    plans, real = {}, simhash.staged
+    monkeypatch.setattr(simhash, "staged", lambda df, label: plans.update({label: df._jdf.queryExecution().executedPlan().toString()}) or real(df, label))
+    rows = spark.range(200).select(F.col("id").alias("doc_id"), F.xxhash64("id").alias("fp"))
+    found = simhash.labelled(rows)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plans["component-ids"] and "SortMergeJoin" in found and "BroadcastHashJoin" not in found
