@@ -98,7 +98,8 @@ def near_pairs(words: DataFrame) -> DataFrame:
     shifted = words.select("id", "word", F.explode(F.array(F.lit(0), F.lit(1))).alias("shift"))
     grams = shifted.select(F.col("id").alias("b"), F.col("word").alias("short"), "shift", (size + F.col("shift")).alias("size"), F.explode(_keys(size + F.col("shift"), F.col("shift"))).alias("k"))
     grams = grams.select("b", "short", "shift", "size", F.col("k.quarter").alias("quarter"), F.col("k.kept").alias("kept"))
-    met = chunks.join(grams, ["size", "quarter", "kept"])
+    # Spark sizes what an explosion makes as if each row stayed one, so it must not choose to broadcast chunks or grams.
+    met = chunks.join(grams.hint("merge"), ["size", "quarter", "kept"])
     # A shorter word may fit several quarters: it counts at the first, where the quarter before does not fit.
     first = (F.col("quarter") == 0) | (F.expr("substring(long, at + 1)") != F.expr("substring(short, at)"))
     once = F.when(F.col("shift") == 0, F.col("a") < F.col("b")).otherwise(first)
@@ -110,7 +111,7 @@ def _roots(forms: DataFrame) -> DataFrame:
     steps = staged(forms.select("id", F.col("form").alias("top")), "steps")
     while True:
         onward = steps.select(F.col("id").alias("top"), F.col("top").alias("_further"))
-        longer = steps.join(onward, "top", "left")
+        longer = steps.join(onward.hint("merge"), "top", "left")
         steps = staged(longer.select("id", F.coalesce("_further", "top").alias("top"), F.col("_further").isNotNull().alias("moved")), "steps")
         if steps.where("moved").isEmpty():
             return steps.select("id", "top")
@@ -133,9 +134,10 @@ def variants(counts: DataFrame, least_length: int = 5, least_count: int = 3, rat
     both = pairs.select(F.explode(F.array(F.struct(F.col("a").alias("id"), F.col("b").alias("near")), F.struct(F.col("b").alias("id"), F.col("a").alias("near")))).alias("p")).select("p.*")
     near = staged(both.groupBy("id").agg(F.count(F.lit(1)).alias("n_near"), F.min("near").alias("best")), "near")
     named = words.select(F.col("id").alias("best"), F.col("word").alias("form"), F.col("n").alias("form_n"))
-    best = words.join(near, "id", "left").join(named, "best", "left")
+    # These follow the vocabulary, and numbers in order are far fewer bytes in a file than in memory, by which they would be broadcast.
+    best = words.join(near.hint("merge"), "id", "left").join(named.hint("merge"), "best", "left")
     enough = F.col("form_n") >= ratio * F.col("n")
     shaped = staged(best.select("id", "word", "n", F.coalesce("n_near", F.lit(0).cast("long")).alias("n_near"), *[F.when(enough, F.col(c)).alias(c) for c in ("best", "form", "form_n")]), "forms")
     roots = _roots(shaped.where("best IS NOT NULL").select("id", F.col("best").alias("form")))
-    tops = roots.join(words.select(F.col("id").alias("top"), F.col("word").alias("root")), "top").select("id", "root")
-    return shaped.join(tops, "id", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
+    tops = roots.join(words.select(F.col("id").alias("top"), F.col("word").alias("root")).hint("merge"), "top").select("id", "root")
+    return shaped.join(tops.hint("merge"), "id", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")

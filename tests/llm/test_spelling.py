@@ -115,3 +115,17 @@ def test_query_equals_brute_force(spark):
             counts[misspelt(str(r.doc_id), word)] += 1
     got = found(QUERIES["op11_spelling_variants"](spark, FOLDER))
     assert got == brute(counts) and any(r[1] for r in got)
+
+
+def test_chunks_and_grams_are_not_broadcast(spark):
+    words = spark.range(300).select("id", F.concat(F.lit("word"), F.conv("id", 10, 26)).alias("word"))
+    plan = spelling.near_pairs(words)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
+def test_the_vocabulary_is_not_broadcast(spark, monkeypatch):
+    plans, real = [], spelling.staged
+    monkeypatch.setattr(spelling, "staged", lambda df, label: plans.append(df._jdf.queryExecution().executedPlan().toString()) or real(df, label))
+    counts = spark.range(300).select(F.concat(F.lit("word"), F.conv("id", 10, 26)).alias("word"), (F.col("id") * 7 % 90 + 3).alias("n"))
+    plans.append(spelling.variants(counts)._jdf.queryExecution().executedPlan().toString())
+    assert sum("SortMergeJoin" in p for p in plans) >= 4 and not any("BroadcastHashJoin" in p for p in plans)
