@@ -55,5 +55,6 @@ def running_total(df: DataFrame, by: list[str], key: str, value: str, name: str,
     totals = celled.groupBy(*by, cell).agg(F.sum(value).alias(total))
     offsets = running_total(totals, by, cell, total, offset, bits - FAN).drop(total)
     window = Window.partitionBy(*by, cell).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    joined = celled.withColumn(part, before(window)).join(offsets, [*by, cell])
+    # The rows are dealt and sorted by cell for the window already; a broadcast could take them, as their file is small beside them.
+    joined = celled.withColumn(part, before(window)).join(offsets.hint("merge"), [*by, cell])
     return joined.withColumn(name, F.col(offset) + F.col(part)).drop(cell, offset, part)

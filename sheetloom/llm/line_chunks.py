@@ -180,7 +180,8 @@ def repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     firsts = found.groupBy("body").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("times")).where("times > 1").drop("times")
     # Written first, so that both sides of the join come straight from a shuffle: adaptive execution then splits a frequent line.
     firsts = staged(firsts, "first-chunks")
-    later = found.join(firsts, "body").where(place != F.col("first"))
+    # Bodies are repeated lines, far fewer bytes in a file than in memory: their file must not let Spark choose to broadcast them.
+    later = found.join(firsts.hint("merge"), "body").where(place != F.col("first"))
     return later.groupBy("row_key").agg(F.collect_set(F.struct("a", "b")).alias("drop"))
 
 

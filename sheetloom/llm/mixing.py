@@ -80,7 +80,8 @@ def slots(sources: DataFrame, block: int = BLOCK) -> DataFrame:
     pieces = laid.where("_slots > 0").withColumn("_stretch", F.explode(F.expr("sequence(_from div 64, (_from + _slots - 1) div 64)")))
     points = spark.range(0, count, 1, max(1, min(partitions(spark), count // 4096))).select(F.col("id").alias("_point"))
     points = points.withColumn("_stretch", F.expr("_point div 64"))
-    met = points.join(pieces, (points["_stretch"] == pieces["_stretch"]) & F.expr("_point >= _from and _point < _from + _slots"))
+    # Spark sizes what an explosion makes as if each row stayed one, so it must not choose to broadcast the pieces.
+    met = points.join(pieces.hint("merge"), (points["_stretch"] == pieces["_stretch"]) & F.expr("_point >= _from and _point < _from + _slots"))
     bits = bits_for(count)
     placed = met.select("_src", "source_size", "_rounds", "_blocks", "_rest", _bit_reversed(F.col("_point"), bits).alias("slot"), F.lit(1).alias("_one"))
     ranked = running_total(placed, ["_src"], "slot", "_one", "_nth", bits)

@@ -113,3 +113,10 @@ def test_repeated_runs_of_short_and_long_lines(spark):
         assert kept == [""] or all(any(x == y for y in left) for x in kept)
         assert not Counter(x for k, x in enumerate(lines) if (i, k) not in may and x.split()) - Counter(kept)
         assert got[i].dropped_words == len(text.split()) - len(got[i].text.split())
+
+
+def test_repeated_lines_are_not_broadcast(spark):
+    passage = "\n".join(f"line {i} of a passage that many documents share word for word" for i in range(30))
+    docs = spark.createDataFrame([(i, passage) for i in range(5)], "doc_id bigint, text string")
+    plan = line_chunks.repeated(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan

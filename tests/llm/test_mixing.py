@@ -84,3 +84,17 @@ def test_sources_may_repeat_more_often(spark):
     docs = spark.createDataFrame([(1, "a b c d", "s"), (2, "e f g h i j", "t")], "doc_id bigint, text string, source string")
     rows = {r.source: r for r in mixing.mix_plan(docs, share=3.0, repeat=4.0, block=2).collect()}
     assert rows["s"].taken == 16 and rows["t"].taken == 14 and rows["s"].target == 16.0
+
+
+def test_a_running_total_does_not_broadcast_its_rows(spark):
+    rows = spark.range(5000).select((F.col("id") % 3).alias("g"), "id", F.lit(2).alias("v"))
+    total = running_total(rows, ["g"], "id", "v", "before", 16)
+    plan = total._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    assert {(r.id, r.before) for r in total.collect()} == {(i, i // 3 * 2) for i in range(5000)}
+
+
+def test_pieces_of_the_schedule_are_not_broadcast(spark):
+    sources = spark.range(4).select(F.col("id").cast("string").alias("_src"), F.col("id").alias("_rank"), F.lit(300000).cast("long").alias("source_size"), F.lit(300000.0).alias("target"), F.lit(600000).cast("long").alias("_cap"))
+    plan = mixing.slots(sources)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
