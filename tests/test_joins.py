@@ -223,3 +223,43 @@ def test_boxes_crowded_cells_and_other_shapes_meet_their_points(spark, monkeypat
     got = S.spatial_join(points, shapes, "x", "y")
     assert got.rdd.getNumPartitions() > 4
     assert sorted((r.p, r.area) for r in got.collect()) == sorted((i, a) for i, (x, y) in enumerate(spots) for a, ring in enumerate(closed) if inside(x, y, ring))
+
+
+def _boxes(spark, corners):
+    rings = [(i, [[(x, y), (x + 1, y), (x + 1, y + 1), (x, y + 1), (x, y)]]) for i, (x, y) in enumerate(corners)]
+    return spark.createDataFrame(rings, "area int, polygon array<array<struct<x:double,y:double>>>")
+
+
+def _spied(monkeypatch):
+    counts, real = [], S._dealt
+
+    def spy(*given):
+        out = real(*given)
+        counts.append(tuple(df.count() for df in out))
+        return out
+
+    monkeypatch.setattr(S, "_dealt", spy)
+    return counts
+
+
+@pytest.mark.parametrize("known", [200_000, 1])
+def test_points_in_cells_without_polygons_are_not_dealt(spark, monkeypatch, known):
+    monkeypatch.setattr(S, "KNOWN_CELLS", known, raising=False)
+    shapes = _boxes(spark, [(-60.0, -60.0), (0.0, 0.0), (100.0, 100.0)])
+    points = spark.createDataFrame([(i, i / 10, i / 10) for i in range(-600, 1010)], "p int, x double, y double")
+    counts = _spied(monkeypatch)
+    got = S.spatial_join(points, shapes, "x", "y")
+    assert counts[0][0] < (100 if known > 1 else 2000)
+    assert sorted((r.p, r.area) for r in got.collect()) == [(i, a) for a, at in ((0, -600), (1, 0), (2, 1000)) for i in range(at, at + 10)]
+
+
+def test_shares_of_a_crowded_cell_repeat_few_rows(spark, monkeypatch):
+    monkeypatch.setattr(S, "TASK_PAIRS", 50)
+    monkeypatch.setattr(S, "PLAIN_TIMES", 1, raising=False)
+    shapes = _boxes(spark, [*[(i / 1000, 0.0) for i in range(200)], (1000.0, 1000.0)])
+    points = spark.createDataFrame([(i, i / 200, 0.5) for i in range(200)], "p int, x double, y double")
+    counts = _spied(monkeypatch)
+    got = S.spatial_join(points, shapes, "x", "y")
+    assert sum(counts[0]) < 40_000
+    want = sorted((i, a) for i in range(200) for a in range(200) if a / 1000 <= i / 200 < a / 1000 + 1)
+    assert sorted((r.p, r.area) for r in got.collect()) == want
